@@ -1,0 +1,394 @@
+"""DuckDB SQL with the same results as the registered queries, over the same whole tables."""
+
+from __future__ import annotations
+
+import string
+from collections.abc import Sequence
+
+from corpuslens.functions.countries import SURNAME_COUNTRY, SURNAME_PATTERNS
+from corpuslens.functions.lexicon import DOMAIN_STOPWORDS, ENGLISH_STOPWORDS, GENERIC_STOPWORDS
+from corpuslens.operators.tfidf import known_terms
+from corpuslens.operators.trends import OTHER_JOURNALS
+from corpuslens.plans.inputs import KEYWORDS, TREND_TYPES, VECTOR_WIDTH
+
+_WORD = r"[\p{L}\p{M}\p{N}_]{2,}"
+
+
+def _quote(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _items(words: Sequence[str]) -> str:
+    return ", ".join(_quote(w) for w in words)
+
+
+def _tokens(text: str) -> str:
+    return f"regexp_extract_all(lower({text}), '{_WORD}')"
+
+
+def _ngrams(tokens: str, n: int) -> str:
+    if n == 1:
+        return tokens
+    joined = " || ' ' || ".join(f"{tokens}[i + {k}]" for k in range(n))
+    return f"list_transform(range(1, len({tokens}) - {n - 2}), lambda i: {joined})"
+
+
+# ---- keywords and terms
+
+_KEYWORD_HITS = """
+    (length(d.text) - length(replace(lower(d.text), k.keyword, ''))) // length(k.keyword)
+"""
+
+
+def _frequency(keyword_table: str) -> str:
+    return f"""
+    SELECT k.keyword, count(*) FILTER ({_KEYWORD_HITS} > 0) AS doc_freq,
+           sum({_KEYWORD_HITS})::BIGINT AS abs_freq,
+           round_even(count(*) FILTER ({_KEYWORD_HITS} > 0)::DOUBLE / count(*) * 100, 2) AS pct
+    FROM {keyword_table} k CROSS JOIN documents d GROUP BY k.keyword
+    """
+
+
+_KNOWN = f"(SELECT unnest([{_items(KEYWORDS)}]) AS keyword)"
+_KEYWORD_FREQUENCY = _frequency(_KNOWN)
+
+
+def _weights(source: str, text: str, stop: Sequence[str], min_df: int, cap: int) -> str:
+    """CTEs ending in ``weights(doc_id, term, w)`` for sublinear uni- and bigram TF-IDF."""
+    tokens = _tokens(text)
+    if stop:
+        tokens = f"list_filter({tokens}, lambda t: t NOT IN ({_items(stop)}))"
+    return f"""
+    toks AS (SELECT doc_id, {tokens} AS t FROM {source}),
+    grams AS (SELECT doc_id, unnest(list_concat(t, {_ngrams("t", 2)})) AS term FROM toks),
+    counts AS (SELECT doc_id, term, count(*) AS tf FROM grams GROUP BY ALL),
+    total AS (SELECT count(*) AS n FROM {source}),
+    vocab AS (
+      SELECT term, ln((n + 1)::DOUBLE / (df + 1)) + 1 AS idf FROM (
+        SELECT term, count(*) AS df, sum(tf) AS cf FROM counts GROUP BY term), total
+      WHERE df >= {min_df} AND df <= 0.95::DOUBLE * n ORDER BY cf DESC, term LIMIT {cap}),
+    raw AS (SELECT doc_id, term, (ln(tf) + 1) * idf AS r FROM counts JOIN vocab USING (term)),
+    weights AS (
+      SELECT doc_id, term, r / sqrt(sum(r * r) OVER (PARTITION BY doc_id)) AS w FROM raw)
+    """
+
+
+_ALPHA = r"regexp_replace(lower(text), '[^a-zA-Z\s]', ' ', 'g')"
+
+_NEW_TERMS = f"""
+    WITH docs AS (SELECT doc_id, {_ALPHA} AS text FROM documents WHERE trim(text) <> ''),
+    {_weights("docs", "text", ENGLISH_STOPWORDS, 2, 300)},
+    scores AS (SELECT term, sum(w) / (SELECT n FROM total) AS score FROM weights GROUP BY term)
+    SELECT term, round_even(score, 5) AS tfidf_score FROM scores
+    WHERE length(term) >= 4 AND NOT regexp_matches(term, '^[0-9 ]+$')
+      AND term NOT IN ({_items(known_terms(KEYWORDS))})
+      AND NOT list_has_any(string_split(term, ' '), [{_items(GENERIC_STOPWORDS)}])
+    ORDER BY round(score, 12) DESC, term LIMIT 15
+"""
+
+_GROUP_COMPARISON = f"""
+    SELECT keyword, doc_freq, 'Originales' AS grupo FROM ({_KEYWORD_FREQUENCY})
+    UNION ALL
+    SELECT keyword, doc_freq, 'Nuevas (TF-IDF)' AS grupo
+    FROM ({_frequency(f"(SELECT term AS keyword FROM ({_NEW_TERMS}))")})
+"""
+
+_CORPUS_TFIDF = f"""
+    WITH {_weights("documents", "text", (), 1, 3000)}
+    SELECT term, count(*) AS docs, round(sum(w), 6) AS total_weight FROM weights GROUP BY term
+"""
+
+# ---- text
+
+_NO_DIGITS = r"regexp_replace(lower(text), '\d+', ' ', 'g')"
+_CLEAN = (
+    r"trim(regexp_replace(translate(" + _NO_DIGITS + f", {_quote(string.punctuation)}, ''), "
+    r"'\s+', ' ', 'g'))"
+)
+_STOP = sorted({*ENGLISH_STOPWORDS, *DOMAIN_STOPWORDS})
+
+_PREPROCESS = f"""
+    SELECT doc_id, coalesce(array_to_string(list_filter(string_split({_CLEAN}, ' '),
+      lambda t: length(t) > 2 AND t NOT IN ({_items(_STOP)})), ' '), '') AS preprocessed
+    FROM documents
+"""
+
+_NGRAM_COUNTS = f"""
+    WITH toks AS (SELECT {_tokens("text")} AS t FROM documents)
+    SELECT ngram, count(*) AS n FROM (
+      SELECT unnest(list_concat(t, {_ngrams("t", 2)}, {_ngrams("t", 3)})) AS ngram FROM toks)
+    GROUP BY ngram
+"""
+
+_WORDS = r"(SELECT doc_id, unnest(regexp_split_to_array(text, '\s+')) AS word FROM documents)"
+
+_FOLDED = f"""
+    SELECT trim(strip_accents(lower(word))) AS folded, count(*) AS n FROM {_WORDS} GROUP BY 1
+"""
+
+# ---- selection
+
+_VALID = """
+    SELECT lang, count(*) FILTER (trim(text) <> '') AS with_abstract,
+           count(*) FILTER (trim(text) <> '') AS with_both,
+           nullif(count(*) FILTER (length(trim(text, chr(32) || chr(9) || chr(10) || chr(13)))
+             > 50), 0) AS clusterable
+    FROM documents GROUP BY lang
+"""
+
+
+def _label(limit: int) -> str:
+    return f"CASE WHEN length(text) > {limit} THEN left(text, {limit}) || '…' ELSE text END"
+
+
+_TRUNCATE = f"SELECT doc_id, {_label(45)} AS label45, {_label(55)} AS label55 FROM documents"
+
+_SELECTABLE = """
+    (SELECT doc_id AS ord, source || ' ' || lang || ' ' || doc_id AS title FROM documents
+     WHERE length(trim(text, chr(32) || chr(9) || chr(10) || chr(13))) > 50)
+"""
+
+# ---- pair similarities
+
+_DOC_PAIRS = """
+    (SELECT a.doc_id AS a_id, b.doc_id AS b_id, a.text AS text_a, b.text AS text_b
+     FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1)
+"""
+
+
+def _lcs(a: str, b: str) -> str:
+    zero = f"list_transform(range(0, length({b}) + 1), lambda z: 0::BIGINT)"
+    step = (
+        f"list_reduce(range(1, length({b}) + 1), lambda line, j: list_append(line, "
+        f"CASE WHEN {a}[i] = {b}[j] THEN prev[j] + 1 ELSE greatest(prev[j + 1], line[j]) END), "
+        f"[0::BIGINT])"
+    )
+    return f"list_reduce(range(1, length({a}) + 1), lambda prev, i: {step}, {zero})[-1]"
+
+
+_INDEL = f"""
+    SELECT a_id, b_id, round(CASE WHEN length(a) + length(b) = 0 THEN 1.0
+      ELSE 2.0 * {_lcs("a", "b")} / (length(a) + length(b)) END, 6)::DOUBLE AS levenshtein
+    FROM (SELECT p.p_partkey AS a_id, q.p_partkey AS b_id, lower(p.p_name) AS a,
+                 lower(q.p_name) AS b
+          FROM part p JOIN part q ON q.p_partkey = p.p_partkey + 1)
+"""
+
+
+def _wordset(text: str) -> str:
+    return (
+        rf"list_distinct(list_filter(regexp_split_to_array(lower({text}), '\s+'), "
+        "lambda t: t <> ''))"
+    )
+
+
+_JACCARD = f"""
+    SELECT a_id, b_id, round(CASE WHEN len(a) + len(b) = 0 THEN 0.0 ELSE
+      len(list_intersect(a, b))::DOUBLE / (len(a) + len(b) - len(list_intersect(a, b))) END, 6)
+      AS jaccard
+    FROM (SELECT a_id, b_id, {_wordset("text_a")} AS a, {_wordset("text_b")} AS b
+          FROM {_DOC_PAIRS})
+"""
+
+_PAIR_TFIDF = f"""
+    WITH toks AS (SELECT doc_id, unnest({_tokens("text")}) AS term FROM documents),
+    tf AS (SELECT doc_id, term, count(*)::DOUBLE AS n FROM toks GROUP BY ALL),
+    ids AS (SELECT a_id, b_id FROM {_DOC_PAIRS}),
+    sides AS (
+      SELECT a_id, term, n AS x, 0.0::DOUBLE AS y FROM ids JOIN tf ON doc_id = a_id
+      UNION ALL SELECT a_id, term, 0.0::DOUBLE, n FROM ids JOIN tf ON doc_id = b_id),
+    terms AS (SELECT a_id, term, sum(x) AS x, sum(y) AS y FROM sides GROUP BY ALL),
+    sums AS (SELECT a_id, sum(x * y) AS dot, sum(x * x * k) AS aa, sum(y * y * k) AS bb FROM (
+      SELECT *, CASE WHEN x > 0 AND y > 0 THEN 1.0::DOUBLE ELSE pow(1 + ln(1.5::DOUBLE), 2) END
+        AS k FROM terms) GROUP BY a_id),
+    scored AS (SELECT *, CASE WHEN aa > 0 AND bb > 0 THEN dot / sqrt(aa * bb) ELSE 0.0 END AS c
+      FROM sums)
+    SELECT a_id, b_id, round(coalesce(c, 0.0), 6)::DOUBLE AS cosine,
+      round(CASE WHEN c IS NULL THEN 0.0 WHEN aa > 0 AND bb > 0
+        THEN 1 / (1 + sqrt(greatest(0.0, 2 - 2 * c))) ELSE 0.5 END, 6)::DOUBLE AS euclidean
+    FROM ids LEFT JOIN scored USING (a_id)
+"""
+
+
+def _cos(a: str, b: str) -> str:
+    return f"greatest(0.0, least(1.0, list_cosine_similarity({a}::DOUBLE[], {b}::DOUBLE[])))"
+
+
+_EMBEDDING = f"""
+    SELECT a.vec_id AS a_id, b.vec_id AS b_id,
+           round({_cos("a.embedding", "b.embedding")}, 6)::DOUBLE AS embedding
+    FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1
+"""
+
+_DIGEST = ", ".join(
+    f"('0x' || substr(md5(token), {1 + 4 * i}, 4))::BIGINT::DOUBLE / 65535 - 0.5"
+    for i in range(VECTOR_WIDTH)
+)
+_MEANS = ", ".join(f"sum(v[{i + 1}] * n)" for i in range(VECTOR_WIDTH))
+_WORD_VECTORS = f"""
+    WITH toks AS (SELECT doc_id, unnest({_tokens("text")}) AS token FROM documents),
+    counts AS (SELECT doc_id, token, count(*)::DOUBLE AS n FROM toks GROUP BY ALL),
+    vectors AS (SELECT token, [{_DIGEST}] AS v FROM (SELECT DISTINCT token FROM counts)),
+    docs AS (SELECT doc_id, [{_MEANS}] AS v FROM counts JOIN vectors USING (token)
+             GROUP BY doc_id)
+    SELECT p.a_id, p.b_id, round(coalesce({_cos("a.v", "b.v")}, 0.0), 6)::DOUBLE AS word_vectors
+    FROM {_DOC_PAIRS} p LEFT JOIN docs a ON a.doc_id = p.a_id LEFT JOIN docs b ON b.doc_id = p.b_id
+"""
+
+# ---- term precision
+
+_PRECISION = f"""
+    SELECT term, round_even(s, 4) AS precision, round_even(s * 100, 2) AS pct,
+      CASE WHEN s >= 0.70 THEN 'Alta' WHEN s >= 0.40 THEN 'Media' ELSE 'Baja' END AS label
+    FROM (SELECT 'term' || e.vec_id AS term, {_cos("e.embedding", "c.embedding")}::DOUBLE AS s
+          FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) c)
+"""
+
+_PRECISION_SUMMARY = f"""
+    SELECT round_even(avg(precision), 4) AS average_precision,
+      count(*) FILTER (precision >= 0.70) AS high,
+      count(*) FILTER (precision >= 0.40 AND precision < 0.70) AS medium,
+      count(*) FILTER (precision < 0.40) AS low
+    FROM ({_PRECISION})
+"""
+
+# ---- geography
+
+_DICTIONARY = ", ".join(f"({_quote(n)}, {_quote(c)}, {i})" for i, (n, c) in enumerate(SURNAME_COUNTRY))
+
+
+def _country(surnames: str, extra: str = "") -> str:
+    """``surnames`` must yield ``surname`` and the columns named in ``extra``."""
+    chain = " ".join(
+        f"WHEN regexp_matches(s.surname, {_quote('(?i)' + p)}) THEN {_quote(c)}"
+        for p, c in SURNAME_PATTERNS
+    )
+    return f"""
+    SELECT s.surname, {extra} CASE WHEN s.surname = '' THEN 'Unknown'
+      WHEN x.place IS NOT NULL THEN x.place {chain} ELSE 'United States' END AS country
+    FROM {surnames} s LEFT JOIN (
+      SELECT strip_accents(lower(name)) AS name, arg_min(place, n) AS place
+      FROM (VALUES {_DICTIONARY}) t(name, place, n) GROUP BY 1) x
+    ON x.name = strip_accents(lower(s.surname))
+    """
+
+
+_FIRST = r"""
+    (SELECT doc_id, CASE WHEN contains(f, ',') THEN trim(split_part(f, ',', 1)) ELSE f END
+      AS surname
+     FROM (SELECT doc_id, trim(split_part(regexp_replace(text, '\s+', '; ', 'g'), ';', 1)) AS f
+           FROM documents))
+"""
+_COUNTRY_COUNTS = f"""
+    SELECT country, count(*) AS count FROM ({_country(_FIRST)}) WHERE country <> 'Unknown'
+    GROUP BY country
+"""
+
+# ---- trends
+
+_PUBLICATIONS = """
+    (SELECT year(o_orderdate)::INTEGER AS year, n_name AS journal, c_mktsegment AS document_type
+     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+"""
+_TYPES = _items([t.lower() for t in TREND_TYPES])
+_OF_TYPES = f"""
+    (SELECT lower(document_type) AS document_type, year, journal FROM {_PUBLICATIONS}
+     WHERE lower(document_type) IN ({_TYPES}))
+"""
+
+
+def _display(top: str, name: str = "journal") -> str:
+    return f"""CASE WHEN {top} THEN CASE WHEN length({name}) > 55 THEN left({name}, 55) || '…'
+               ELSE {name} END ELSE '{OTHER_JOURNALS}' END"""
+
+
+_TOP_TEN = f"""
+    (SELECT journal, count(*) AS count FROM {_PUBLICATIONS} GROUP BY journal
+     ORDER BY count DESC, journal LIMIT 10)
+"""
+_YEAR_TOP = f"""
+    SELECT year, {_display(f"journal IN (SELECT journal FROM {_TOP_TEN})")} AS journal_display,
+           count(*) AS count
+    FROM {_PUBLICATIONS} GROUP BY 1, 2
+"""
+_TYPE_KPIS = f"""
+    WITH p AS {_OF_TYPES},
+    y AS (SELECT document_type, year, count(*) AS n FROM p GROUP BY ALL),
+    j AS (SELECT document_type, journal, count(*) AS n FROM p GROUP BY ALL),
+    yr AS (SELECT *, row_number() OVER (PARTITION BY document_type ORDER BY n DESC, year) AS r,
+           sum(n) OVER (PARTITION BY document_type) AS total FROM y),
+    jr AS (SELECT *, row_number() OVER (PARTITION BY document_type ORDER BY n DESC, journal) AS r
+           FROM j)
+    SELECT document_type, total::BIGINT AS total, year AS peak_year,
+      CASE WHEN length(journal) > 45 THEN left(journal, 45) || '…' ELSE journal END AS top_journal
+    FROM yr JOIN jr USING (document_type) WHERE yr.r = 1 AND jr.r = 1
+"""
+_PER_TYPE = f"""
+    WITH p AS {_OF_TYPES},
+    top AS (SELECT document_type, journal FROM (
+      SELECT document_type, journal, row_number() OVER (
+        PARTITION BY document_type ORDER BY count(*) DESC, journal) AS r
+      FROM p GROUP BY document_type, journal) WHERE r <= 5)
+    SELECT p.document_type, year, {_display("t.journal IS NOT NULL", "p.journal")} AS journal_display, count(*) AS count
+    FROM p LEFT JOIN top t ON t.document_type = p.document_type AND t.journal = p.journal
+    GROUP BY 1, 2, 3
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "keyword_frequency": _KEYWORD_FREQUENCY,
+    "new_terms_tfidf": _NEW_TERMS,
+    "keyword_group_comparison": _GROUP_COMPARISON,
+    "corpus_tfidf": _CORPUS_TFIDF,
+    "clean_texts": f"SELECT doc_id, {_CLEAN} AS cleaned FROM documents",
+    "preprocess_tokens": _PREPROCESS,
+    "alpha_texts": f"SELECT doc_id, {_ALPHA} AS normalized FROM documents",
+    "word_ngrams": _NGRAM_COUNTS,
+    "folded_words": _FOLDED,
+    "valid_abstracts": _VALID,
+    "label_truncate": _TRUNCATE,
+    "first_n": f"SELECT ord, title FROM {_SELECTABLE} ORDER BY ord LIMIT 40",
+    "seeded_sample": f"SELECT ord, title FROM {_SELECTABLE} ORDER BY md5('42:' || ord), ord LIMIT 40",
+    "title_lookup": """
+        SELECT p_name AS title, arg_min(p_type || ' ' || p_brand, p_partkey) AS abstract
+        FROM part GROUP BY p_name""",
+    "display_rename": f"""
+        SELECT keyword AS palabra, doc_freq AS articulos, abs_freq AS ocurrencias,
+               pct AS porcentaje FROM ({_KEYWORD_FREQUENCY})""",
+    "sim_indel": _INDEL,
+    "sim_jaccard": _JACCARD,
+    "sim_tfidf": _PAIR_TFIDF,
+    "sim_embedding": _EMBEDDING,
+    "sim_word_vectors": _WORD_VECTORS,
+    "term_precision": _PRECISION,
+    "precision_summary": _PRECISION_SUMMARY,
+    "infer_country": _country(f"(SELECT DISTINCT word AS surname FROM {_WORDS})"),
+    "first_surname": f"SELECT doc_id, surname FROM {_FIRST}",
+    "country_from_authors": _country(_FIRST, "s.doc_id,"),
+    "country_counts": _COUNTRY_COUNTS,
+    "country_kpis": f"""
+        SELECT sum(count)::BIGINT AS articles, count(*) AS countries,
+          (SELECT country FROM ({_COUNTRY_COUNTS}) ORDER BY count DESC, country LIMIT 1)
+            AS top_country
+        FROM ({_COUNTRY_COUNTS})""",
+    "trend_kpis": f"""
+        SELECT count(*) AS total, count(DISTINCT year) AS years,
+          count(DISTINCT journal) AS journals, count(DISTINCT document_type) AS types
+        FROM {_PUBLICATIONS}""",
+    "distinct_years": f"SELECT DISTINCT year FROM {_PUBLICATIONS}",
+    "year_range": f"""
+        SELECT year, document_type, count(*) AS count FROM {_PUBLICATIONS}
+        WHERE year BETWEEN 1994 AND 1996 GROUP BY ALL""",
+    "top_journals": f"SELECT journal, count FROM {_TOP_TEN}",
+    "year_trend_top_n": _YEAR_TOP,
+    "display_order": f"SELECT DISTINCT journal_display FROM ({_YEAR_TOP})",
+    "type_kpis": _TYPE_KPIS,
+    "year_journal_table": f"""
+        SELECT year, journal, count(*) AS count FROM {_PUBLICATIONS}
+        WHERE lower(document_type) = 'machinery' GROUP BY ALL""",
+    "year_type_counts": f"""
+        SELECT year, document_type, count(*) AS count FROM {_PUBLICATIONS} GROUP BY ALL""",
+    "year_detail": f"""
+        SELECT year, document_type, journal, count(*) AS count FROM {_PUBLICATIONS}
+        GROUP BY ALL""",
+    "per_type_trend": _PER_TYPE,
+}

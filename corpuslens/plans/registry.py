@@ -1,0 +1,366 @@
+"""Every operator as a named query over the given tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpuslens.functions.text import (
+    accent_fold,
+    alpha_normalize,
+    clean_text,
+    ngrams,
+    remove_stopwords,
+    strip,
+    tokenize,
+    truncate_label,
+    word_tokens,
+)
+from corpuslens.operators import geography, keywords, precision, selection, similarity, tfidf, trends
+from corpuslens.plans import inputs
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _rounded(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({n: F.round(n, 6) for n in names})
+
+
+# ---- keywords and terms
+
+
+def keyword_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keywords.keyword_frequency(inputs.documents(spark, sf_dir), inputs.KEYWORDS)
+
+
+def new_terms_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tfidf.extract_new_keywords(inputs.documents(spark, sf_dir), inputs.KEYWORDS)
+
+
+def _new_term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # At most fifteen terms come back to the driver to become the next scan's keyword columns.
+    terms = [r.term for r in new_terms_tfidf(spark, sf_dir).select("term").collect()]
+    return keywords.keyword_frequency(inputs.documents(spark, sf_dir), terms)
+
+
+def keyword_group_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keywords.group_comparison(
+        keyword_frequency(spark, sf_dir), _new_term_frequency(spark, sf_dir)
+    )
+
+
+def corpus_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weights = tfidf.tfidf(inputs.documents(spark, sf_dir), tfidf.CLUSTERING)
+    return weights.groupBy("term").agg(
+        F.count(F.lit(1)).alias("docs"), F.round(F.sum("w"), 6).alias("total_weight")
+    )
+
+
+# ---- text
+
+
+def clean_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.documents(spark, sf_dir).select(
+        "doc_id", clean_text(F.col("text")).alias("cleaned")
+    )
+
+
+def preprocess_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = remove_stopwords(tokenize(clean_text(F.col("text"))))
+    return inputs.documents(spark, sf_dir).select(
+        "doc_id", F.array_join(tokens, " ").alias("preprocessed")
+    )
+
+
+def alpha_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.documents(spark, sf_dir).select(
+        "doc_id", alpha_normalize(F.col("text")).alias("normalized")
+    )
+
+
+def word_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = word_tokens(F.col("text"))
+    grams = F.concat(*[ngrams(tokens, n) for n in (1, 2, 3)])
+    return (
+        inputs.documents(spark, sf_dir)
+        .select(F.explode(grams).alias("ngram"))
+        .groupBy("ngram")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def folded_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        inputs.words(spark, sf_dir)
+        .groupBy(accent_fold(F.col("word")).alias("folded"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+# ---- selection
+
+
+def valid_abstracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    articles = inputs.document_articles(spark, sf_dir)
+    counts = [
+        df.groupBy("lang").agg(F.count(F.lit(1)).alias(name))
+        for name, df in (
+            ("with_abstract", selection.valid_abstracts(articles)),
+            ("with_both", selection.valid_abstract_titles(articles)),
+            ("clusterable", selection.clusterable(articles)),
+        )
+    ]
+    return counts[0].join(counts[1], "lang", "left").join(counts[2], "lang", "left")
+
+
+def label_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.documents(spark, sf_dir).select(
+        "doc_id",
+        truncate_label(F.col("text"), 45).alias("label45"),
+        truncate_label(F.col("text"), 55).alias("label55"),
+    )
+
+
+def first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    articles = selection.clusterable(inputs.document_articles(spark, sf_dir))
+    return selection.first_n(articles).select("ord", "title")
+
+
+def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    articles = selection.clusterable(inputs.document_articles(spark, sf_dir))
+    return selection.seeded_sample(articles).select("ord", "title")
+
+
+def title_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = inputs.table(spark, sf_dir, "part")
+    articles = part.select(
+        F.col("p_partkey").alias("ord"),
+        F.col("p_name").alias("title"),
+        F.concat_ws(" ", "p_type", "p_brand").alias("abstract"),
+    )
+    return selection.title_lookup(articles, articles)
+
+
+def display_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return selection.display_rename(
+        keyword_frequency(spark, sf_dir),
+        {
+            "keyword": "palabra",
+            "doc_freq": "articulos",
+            "abs_freq": "ocurrencias",
+            "pct": "porcentaje",
+        },
+    )
+
+
+# ---- pair similarities
+
+
+def sim_indel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ratio = similarity.levenshtein_similarity(F.col("text_a"), F.col("text_b"))
+    return inputs.name_pairs(spark, sf_dir).select(
+        "a_id", "b_id", F.round(ratio, 6).alias("levenshtein")
+    )
+
+
+def sim_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    score = similarity.jaccard_similarity(F.col("text_a"), F.col("text_b"))
+    return inputs.document_pairs(spark, sf_dir).select(
+        "a_id", "b_id", F.round(score, 6).alias("jaccard")
+    )
+
+
+def sim_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = similarity.tfidf_pair_similarity(inputs.document_pairs(spark, sf_dir))
+    return _rounded(scored, "cosine", "euclidean")
+
+
+def _successor_ids(ids: DataFrame, id_col: str) -> DataFrame:
+    return ids.select(F.col(id_col).alias("a_id"), (F.col(id_col) + 1).alias("b_id"))
+
+
+def sim_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = inputs.table(spark, sf_dir, "embeddings")
+    pairs = similarity.attach_vectors(
+        _successor_ids(vectors, "vec_id"), vectors, "vec_id", "embedding", "emb"
+    ).filter(F.col("emb_b").isNotNull())
+    score = similarity.embedding_similarity(
+        F.lit("text"), F.lit("text"), F.col("emb_a"), F.col("emb_b")
+    )
+    return pairs.select("a_id", "b_id", F.round(score, 6).alias("embedding"))
+
+
+def _document_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.mean_word_vectors(
+        inputs.documents(spark, sf_dir), inputs.word_vectors(spark, sf_dir)
+    )
+
+
+def sim_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = similarity.attach_vectors(
+        inputs.document_pairs(spark, sf_dir),
+        _document_word_vectors(spark, sf_dir),
+        "doc_id",
+        "vector",
+        "wv",
+    )
+    score = similarity.embedding_similarity(
+        F.col("text_a"), F.col("text_b"), F.col("wv_a"), F.col("wv_b")
+    )
+    return pairs.select("a_id", "b_id", F.round(score, 6).alias("word_vectors"))
+
+
+def similarity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = similarity.attach_vectors(
+        inputs.document_pairs(spark, sf_dir),
+        inputs.table(spark, sf_dir, "embeddings"),
+        "vec_id",
+        "embedding",
+        "emb",
+    )
+    pairs = similarity.attach_vectors(
+        pairs, _document_word_vectors(spark, sf_dir), "doc_id", "vector", "wv"
+    )
+    return similarity.similarity_report(pairs)
+
+
+# ---- term precision
+
+
+def term_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = inputs.table(spark, sf_dir, "embeddings")
+    terms = vectors.select(
+        F.concat(F.lit("term"), F.col("vec_id").cast("string")).alias("term"), "embedding"
+    )
+    category = vectors.filter(F.col("vec_id") == 0).select("embedding").scalar()
+    return precision.term_precision(terms, category)
+
+
+def precision_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return precision.precision_summary(term_precision(spark, sf_dir))
+
+
+# ---- geography
+
+
+def infer_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    surnames = inputs.words(spark, sf_dir).select(F.col("word").alias("surname")).distinct()
+    return geography.with_country(surnames)
+
+
+def first_surname(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.author_articles(spark, sf_dir).select(
+        "doc_id", geography.first_surname(F.col("authors")).alias("surname")
+    )
+
+
+def country_from_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    located = geography.country_from_authors(inputs.author_articles(spark, sf_dir))
+    return located.select("doc_id", "surname", "country")
+
+
+def country_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return geography.country_counts(inputs.author_articles(spark, sf_dir))
+
+
+def country_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return geography.country_kpis(country_counts(spark, sf_dir))
+
+
+# ---- trends
+
+
+def _trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trends.trend_clean(inputs.publications(spark, sf_dir))
+
+
+def trend_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trends.trend_kpis(_trend(spark, sf_dir))
+
+
+def distinct_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trends.distinct_years(_trend(spark, sf_dir))
+
+
+def year_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trends.year_type_counts(trends.year_range(_trend(spark, sf_dir), 1994, 1996))
+
+
+def top_journals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trends.top_journals(_trend(spark, sf_dir), 10)
+
+
+def year_trend_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trends.year_journal_counts(_trend(spark, sf_dir), 10)
+
+
+def display_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trends.display_order(year_trend_top_n(spark, sf_dir))
+
+
+def type_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trends.type_kpis(_trend(spark, sf_dir), inputs.TREND_TYPES)
+
+
+def year_journal_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trends.year_journal_table(trends.of_type(_trend(spark, sf_dir), "Machinery"))
+
+
+def year_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trends.year_type_counts(_trend(spark, sf_dir))
+
+
+def year_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trends.year_type_journal_table(_trend(spark, sf_dir))
+
+
+def per_type_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trends.per_type_trend(_trend(spark, sf_dir), 5, inputs.TREND_TYPES)
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        keyword_frequency,
+        new_terms_tfidf,
+        keyword_group_comparison,
+        corpus_tfidf,
+        clean_texts,
+        preprocess_tokens,
+        alpha_texts,
+        word_ngrams,
+        folded_words,
+        valid_abstracts,
+        label_truncate,
+        first_n,
+        seeded_sample,
+        title_lookup,
+        display_rename,
+        sim_indel,
+        sim_jaccard,
+        sim_tfidf,
+        sim_embedding,
+        sim_word_vectors,
+        similarity_report,
+        term_precision,
+        precision_summary,
+        infer_country,
+        first_surname,
+        country_from_authors,
+        country_counts,
+        country_kpis,
+        trend_kpis,
+        distinct_years,
+        year_range,
+        top_journals,
+        year_trend_top_n,
+        display_order,
+        type_kpis,
+        year_journal_table,
+        year_type_counts,
+        year_detail,
+        per_type_trend,
+    )
+}
