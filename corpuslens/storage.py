@@ -17,14 +17,14 @@ def shared_dir(spark: SparkSession) -> str:
     Where the session names none, a local master gets a scratch folder; on a cluster that is an
     error, because a folder on one machine is neither visible to nor survives other executors.
     """
-    configured = spark.conf.get(_CHECKPOINT_CONF, None)
+    context = spark.sparkContext
+    configured = spark.conf.get(_CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_CHECKPOINT_CONF} to a folder shared by all executors")
-    local = tempfile.mkdtemp(prefix="corpuslens-")
-    spark.conf.set(_CHECKPOINT_CONF, local)
-    return local
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="corpuslens-"))
+    return context.getCheckpointDir()
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -70,7 +70,7 @@ def skew_safe_lookup(
         F.col(key).alias("_cold_key"), F.struct(*payload).alias("_cold")
     )
     probe_key = F.when(F.col("_hot").isNull(), F.col(key)).otherwise(
-        F.concat(F.lit("\u0000"), F.uuid())
+        F.concat(F.lit("\u0000"), F.xxhash64(*rows.columns).cast("string"))
     )
     joined = (
         rows.join(F.broadcast(hot), key, "left")
