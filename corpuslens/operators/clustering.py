@@ -79,142 +79,70 @@ def cosine_distance_edges(
     )
 
 
-def _distance() -> Column:
-    """Cluster distance from the sums over all member pairs, by method.
-
-    ``s1`` and ``s2`` add up the distances and squared distances between two clusters, ``q`` the
-    squared distances inside one, ``n`` is its size. Lance-Williams recurrences of the three
-    methods reduce to these sums, so updating an edge is one plain aggregation.
-    """
-    n = F.col("n_i") * F.col("n_j")
-    inside = F.col("q_i") / (F.col("n_i") * F.col("n_i")) + F.col("q_j") / (
-        F.col("n_j") * F.col("n_j")
-    )
-    ward = F.sqrt(
-        F.greatest(F.lit(0.0), 2 * n / (F.col("n_i") + F.col("n_j")) * (F.col("s2") / n - inside))
-    )
-    by_method = (
-        F.when(F.col("method") == "complete", F.col("mx"))
-        .when(F.col("method") == "average", F.col("s1") / n)
-        .otherwise(ward)
-    )
-    return F.round(by_method, _DIGITS)
-
-
-def _reciprocal(edges: DataFrame) -> DataFrame:
-    """Edges whose two clusters are each other's nearest neighbour."""
-    ends = F.explode(
-        F.array(
-            F.struct(F.col("i").alias("x"), F.col("j").alias("y")),
-            F.struct(F.col("j").alias("x"), F.col("i").alias("y")),
-        )
-    )
-    nearest = (
-        edges.select(*_KEY, "d", ends.alias("e"))
-        .groupBy(*_KEY, "e.x")
-        .agg(F.min_by("e.y", F.struct("d", "e.y")).alias("y"))
-    )
-    return edges.join(nearest.withColumnsRenamed({"x": "i", "y": "j"}), [*_KEY, "i", "j"]).join(
-        nearest.withColumnsRenamed({"x": "j", "y": "i"}), [*_KEY, "i", "j"]
-    )
-
-
-def _leaves(edges: DataFrame) -> DataFrame:
-    """State of the leaves before any merge."""
-    leaf = F.explode(F.array("i", "j")).alias("leaf")
-    return (
-        edges.select("block", leaf)
-        .distinct()
-        .select(
-            "block", F.explode(F.array(*[F.lit(m) for m in METHODS])).alias("method"), "leaf",
-            F.col("leaf").alias("id"), F.lit(1).cast("bigint").alias("n"),
-            F.lit(0.0).alias("q"), F.lit(0).alias("node"), F.lit(0.0).alias("h"),
-        )
-    )
-
-
-def _current(leaves: DataFrame, events: DataFrame | None) -> DataFrame:
-    """Cluster of every leaf after the merges so far, with the cluster's size and sums."""
-    if events is None:
-        return leaves
-    latest = events.groupBy(*_KEY, "leaf").agg(
-        F.max_by(
-            F.struct(
-                F.col("i").alias("id"), (F.col("n_i") + F.col("n_j")).alias("n"),
-                (F.col("q_i") + F.col("q_j") + F.col("s2")).alias("q"),
-                F.col("round").alias("node"), F.col("height").alias("h"),
-            ),
-            "round",
-        ).alias("now")
-    )
-    return leaves.select(*_KEY, "leaf").join(latest, [*_KEY, "leaf"], "left").select(
-        *_KEY,
-        "leaf",
-        F.coalesce("now.id", "leaf").alias("id"),
-        F.coalesce("now.n", F.lit(1)).cast("bigint").alias("n"),
-        F.coalesce("now.q", F.lit(0.0)).alias("q"),
-        F.coalesce("now.node", F.lit(0)).alias("node"),
-        F.coalesce("now.h", F.lit(0.0)).alias("h"),
-    )
-
-
-def _side(clusters: DataFrame, side: str) -> DataFrame:
-    return clusters.withColumnsRenamed(
-        {"id": side, "n": f"n_{side}", "q": f"q_{side}", "node": f"node_{side}", "h": f"h_{side}"}
-    )
+# An edge joins clusters ``a`` and ``b`` (a.id < b.id), each carrying its size ``n``, the sum ``q`` of
+# squared distances inside it, its merge height ``h`` and the round ``node`` that made it (0: leaf).
+# ``mx``, ``s1`` and ``s2`` are the maximum, sum and sum of squares of the distances between their
+# members. The Lance-Williams recurrences of the three methods reduce to these additive values, so
+# updating all edges after a round of merges is one plain aggregation.
+_EDGE_DISTANCE = f"""
+    round(CASE method
+      WHEN 'complete' THEN mx
+      WHEN 'average' THEN s1 / (a.n * b.n)
+      ELSE sqrt(greatest(0D, 2D * a.n * b.n / (a.n + b.n)
+             * (s2 / (a.n * b.n) - a.q / (a.n * a.n) - b.q / (b.n * b.n)))) END, {_DIGITS})
+"""
 
+_START = """
+    SELECT block, explode(array({methods})) AS method, d, d AS mx, d AS s1, d * d AS s2,
+      struct(i AS id, 1L AS n, 0D AS q, 0D AS h, 0 AS node) AS a,
+      struct(j AS id, 1L AS n, 0D AS q, 0D AS h, 0 AS node) AS b
+    FROM {distances}
+"""
 
-def _merge_events(edges: DataFrame, members: DataFrame, number: int) -> DataFrame:
-    """This round's merges, one row per member leaf of the two joined clusters."""
-    clusters = members.filter(F.col("leaf") == F.col("id")).drop("leaf")
-    merges = (
-        _reciprocal(edges)
-        .select(*_KEY, "i", "j", "d", "s1", "s2")
-        .join(_side(clusters, "i"), [*_KEY, "i"])
-        .join(_side(clusters, "j"), [*_KEY, "j"])
-        .withColumn("height", F.greatest("d", "h_i", "h_j"))
-        .withColumn("round", F.lit(number))
-        .drop("d", "h_i", "h_j")
-    )
-    by_side = reduce(
-        DataFrame.unionByName,
-        (merges.withColumns({"id": F.col(s), "side": F.lit(s)}) for s in ("i", "j")),
-    )
-    return by_side.join(members.select(*_KEY, "leaf", "id"), [*_KEY, "id"]).drop("id")
+# Nearest neighbour of every cluster; an edge that is nearest for both its ends is merged.
+_MERGE = """
+    WITH nearest AS (
+      SELECT block, method, end.x, min_by(edge, struct(d, end.y)) AS edge
+      FROM (SELECT block, method, d, struct(d, s1, s2, a, b) AS edge,
+              explode(array(struct(a.id AS x, b.id AS y), struct(b.id AS x, a.id AS y))) AS end
+            FROM {edges})
+      GROUP BY block, method, end.x)
+    SELECT block, method, {number} AS round, edge.a.id AS i, edge.b.id AS j,
+      greatest(edge.d, edge.a.h, edge.b.h) AS height, edge.a.n AS n_i, edge.b.n AS n_j,
+      edge.a.node AS node_i, edge.b.node AS node_j, edge.s1, edge.s2,
+      edge.a.q + edge.b.q + edge.s2 AS q
+    FROM nearest GROUP BY block, method, edge HAVING count(*) = 2
+"""
 
+_UPDATE = """
+    WITH moved AS (
+      SELECT block, method, explode(array(i, j)) AS id,
+        struct(i AS id, n_i + n_j AS n, q, height AS h, round AS node) AS into
+      FROM {merges}),
+    ends AS (
+      SELECT e.block, e.method, mx, s1, s2, coalesce(x.into, a) AS a, coalesce(y.into, b) AS b
+      FROM {edges} e
+      LEFT JOIN moved x ON x.block = e.block AND x.method = e.method AND x.id = e.a.id
+      LEFT JOIN moved y ON y.block = e.block AND y.method = e.method AND y.id = e.b.id),
+    summed AS (
+      SELECT block, method, lo AS a, hi AS b, max(mx) AS mx, sum(s1) AS s1, sum(s2) AS s2
+      FROM (SELECT *, least(a, b) AS lo, greatest(a, b) AS hi FROM ends WHERE a.id <> b.id)
+      GROUP BY block, method, lo, hi)
+    SELECT block, method, """ + _EDGE_DISTANCE + """ AS d, mx, s1, s2, a, b FROM summed
+"""
 
-def _merged_edges(edges: DataFrame, events: DataFrame, members: DataFrame) -> DataFrame:
-    """Edges between the clusters that exist after this round's merges."""
-    clusters = members.filter(F.col("leaf") == F.col("id")).drop("leaf", "node", "h")
-    merged = events.filter(F.col("leaf").isin(F.col("i"), F.col("j"))).select(
-        *_KEY, F.col("leaf").alias("id"), F.col("i").alias("into"),
-        (F.col("n_i") + F.col("n_j")).alias("nn"),
-        (F.col("q_i") + F.col("q_j") + F.col("s2")).alias("qq"),
-    )
-    moved = clusters.join(merged, [*_KEY, "id"], "left").select(
-        *_KEY, "id",
-        F.struct(
-            F.coalesce("into", "id").alias("id"), F.coalesce("nn", "n").alias("n"),
-            F.coalesce("qq", "q").alias("q"),
-        ).alias("to"),
-    )
-    joined = edges.select(*_KEY, "i", "j", "mx", "s1", "s2")
-    for side in ("i", "j"):
-        joined = joined.join(
-            moved.withColumnsRenamed({"id": side, "to": f"to_{side}"}), [*_KEY, side]
-        )
-    return (
-        joined.filter(F.col("to_i.id") != F.col("to_j.id"))
-        .withColumns({"lo": F.least("to_i", "to_j"), "hi": F.greatest("to_i", "to_j")})
-        .groupBy(*_KEY, F.col("lo.id").alias("i"), F.col("hi.id").alias("j"))
-        .agg(
-            F.max("mx").alias("mx"), F.sum("s1").alias("s1"), F.sum("s2").alias("s2"),
-            F.max("lo.n").alias("n_i"), F.max("lo.q").alias("q_i"),
-            F.max("hi.n").alias("n_j"), F.max("hi.q").alias("q_j"),
-        )
-        .withColumn("d", _distance())
-        .drop("n_i", "q_i", "n_j", "q_j")
-    )
+_CLIMB = """
+    SELECT p.block, p.method, p.leaf, coalesce(m.into, p.id) AS id,
+      CASE WHEN m.into IS NULL THEN path ELSE array_append(path, m.step) END AS path
+    FROM {paths} p
+    LEFT JOIN (
+      SELECT block, method, i AS into, side.id, struct(round, i, side.name AS side) AS step
+      FROM {merges} LATERAL VIEW
+        explode(array(struct(i AS id, 'i' AS name), struct(j AS id, 'j' AS name))) t AS side) m
+    ON m.block = p.block AND m.method = p.method AND m.id = p.id
+"""
+# Rounds after which the paths, extended by one join per round, are written out.
+_PATH_ROUNDS = 12
 
 
 def merge_tree(distances: DataFrame, methods: Sequence[str] = METHODS) -> DataFrame:
@@ -227,22 +155,31 @@ def merge_tree(distances: DataFrame, methods: Sequence[str] = METHODS) -> DataFr
     unknown = set(methods) - set(METHODS)
     if unknown:
         raise ValueError(f"unknown linkage methods {sorted(unknown)}")
-    distances = stage(distances, "distances")
-    leaves = _leaves(distances).filter(F.col("method").isin(*methods))
-    edges = distances.select(
-        "block", F.explode(F.array(*[F.lit(m) for m in methods])).alias("method"), "i", "j",
-        F.col("d").alias("mx"), F.col("d").alias("s1"), (F.col("d") * F.col("d")).alias("s2"),
-        "d",
+    sql = distances.sparkSession.sql
+    quoted = ", ".join(f"'{m}'" for m in methods)
+    edges = stage(sql(_START.replace("{methods}", quoted), distances=distances), "edges")
+    paths = (
+        edges.select(*_KEY, F.explode(F.array("a.id", "b.id")).alias("leaf"))
+        .distinct()
+        .select(
+            *_KEY, "leaf", F.col("leaf").alias("id"),
+            F.expr("cast(array() AS array<struct<round:int,i:bigint,side:string>>)").alias("path"),
+        )
     )
-    events, number = None, 0
-    while True:
-        number += 1
-        members = _current(leaves, events)
-        round_events = stage(_merge_events(edges, members, number), "merges")
-        events = round_events if events is None else events.unionByName(round_events)
-        edges = stage(_merged_edges(edges, round_events, members), "edges")
-        if edges.isEmpty():
-            return events
+    rounds: list[DataFrame] = []
+    while not rounds or not edges.isEmpty():
+        number = len(rounds) + 1
+        merges = stage(sql(_MERGE.replace("{number}", str(number)), edges=edges), "merges")
+        edges = stage(sql(_UPDATE, edges=edges, merges=merges), "edges")
+        paths = sql(_CLIMB, paths=paths, merges=merges)
+        if number % _PATH_ROUNDS == 0:
+            paths = stage(paths, "paths")
+        rounds.append(merges)
+    leaves = paths.select(*_KEY, "leaf", F.explode("path").alias("hop")).select(
+        *_KEY, "leaf", "hop.*"
+    )
+    merged = reduce(DataFrame.unionByName, rounds)
+    return stage(merged.join(leaves, [*_KEY, "round", "i"]), "tree")
 
 
 def _merges(tree: DataFrame) -> DataFrame:
