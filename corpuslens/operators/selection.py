@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslens.functions.text import strip
@@ -44,9 +44,20 @@ def _checked_size(n: int) -> int:
     return n
 
 
-def first_n(df: DataFrame, n: int = CLUSTER_DEFAULT_ROWS, ord_col: str = "ord") -> DataFrame:
-    """The first ``n`` rows in ingest order, as a distributed top-k."""
-    return df.orderBy(ord_col).limit(_checked_size(n))
+def first_n(
+    df: DataFrame,
+    n: int = CLUSTER_DEFAULT_ROWS,
+    ord_col: str = "ord",
+    by: str | None = None,
+) -> DataFrame:
+    """The first ``n`` rows in ingest order, of the whole table or of each ``by`` group.
+
+    Both forms keep at most ``n`` rows per map task (and group) before anything is shuffled.
+    """
+    if by is None:
+        return df.orderBy(ord_col).limit(_checked_size(n))
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(ord_col))
+    return df.withColumn("_rank", rank).filter(F.col("_rank") <= _checked_size(n)).drop("_rank")
 
 
 def seeded_sample(

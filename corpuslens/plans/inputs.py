@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslens.functions.text import word_tokens
-from corpuslens.storage import spread
+from corpuslens.operators.selection import clusterable, first_n
+from corpuslens.storage import spread, work_path
 
 KEYWORDS = ("thatin", "ononst", "inoran", "orantion", "privacy")
 TREND_TYPES = ("AUTOMOBILE", "BUILDING", "MACHINERY")
@@ -104,3 +105,121 @@ def author_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select(
         "doc_id", F.regexp_replace("text", r"\s+", "; ").alias("authors")
     )
+
+
+def cluster_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first forty clusterable documents of every source: ``block, doc_id, text, title``."""
+    articles = clusterable(document_articles(spark, sf_dir))
+    return first_n(articles, by="source").select(
+        F.col("source").alias("block"),
+        F.col("ord").alias("doc_id"),
+        F.col("abstract").alias("text"),
+        "title",
+    )
+
+
+def plural_lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lemma table for the documents' own words: a final s is dropped from words over three."""
+    tokens = documents(spark, sf_dir).select(F.explode(word_tokens(F.col("text"))).alias("token"))
+    plurals = tokens.distinct().filter(F.col("token").rlike("^.{3,}s$"))
+    return plurals.select("token", F.regexp_replace("token", "s$", "").alias("lemma"))
+
+
+def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as articles whose title is the address: ``ord, title``."""
+    pages = table(spark, sf_dir, "pages")
+    return pages.select(F.col("page_id").alias("ord"), F.col("url").alias("title"))
+
+
+def part_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as articles whose title is the name: ``ord, title``."""
+    part = table(spark, sf_dir, "part")
+    return part.select(F.col("p_partkey").alias("ord"), F.col("p_name").alias("title"))
+
+
+def _export_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the fields of a bibliographic export, all of them text."""
+    docs = table(spark, sf_dir, "documents")
+    number = F.col("doc_id").cast("string")
+    year = (F.lit(1990) + F.col("doc_id") % 30).cast("string")
+    kind = F.col("doc_id") % 4
+    return spread(
+        docs.select(
+            F.concat_ws(" ", "source", "lang", number).alias("title"),
+            F.concat(F.initcap("lang"), F.lit(", A.; "), "source").alias("authors"),
+            F.concat("lang", F.lit("; "), "source").alias("keywords"),
+            F.col("text").alias("abstract"),
+            F.col("source").alias("journal"),
+            year.alias("year"),
+            F.when(kind == 1, F.concat(year, F.lit("-05-01")))
+            .when(kind == 2, F.concat(year, F.lit(".0")))
+            .otherwise(year)
+            .alias("date"),
+            F.concat(F.lit("10.1/"), number).alias("doi"),
+            F.concat(F.lit("http://x/"), number).alias("url"),
+            F.when(kind == 1, "Conference").when(kind == 2, "Periodical").alias("kind"),
+        )
+    )
+
+
+def csv_export(spark: SparkSession, sf_dir: str) -> str:
+    """Write the documents as a CSV export and return its path."""
+    path = work_path(spark, "export.csv")
+    _export_fields(spark, sf_dir).select(
+        "title",
+        F.col("authors").alias("contributors"),
+        F.col("keywords").alias("subjects"),
+        "abstract",
+        F.col("journal").alias("source"),
+        F.col("date").alias("publicationDate"),
+        "doi",
+        F.col("url").alias("plink"),
+        F.col("kind").alias("docTypes"),
+    ).write.options(header=True, quote='"', escape='"').csv(path)
+    return path
+
+
+def bibtex_export(spark: SparkSession, sf_dir: str) -> str:
+    """Write the documents as BibTeX entries and return the path."""
+    path = work_path(spark, "export.bib")
+    fields = {
+        "title": F.col("title"),
+        "author": F.replace("authors", F.lit("; "), F.lit(" and ")),
+        "keywords": F.replace("keywords", F.lit("; "), F.lit(", ")),
+        "abstract": F.col("abstract"),
+        "journal": F.col("journal"),
+        "year": F.col("year"),
+        "doi": F.col("doi"),
+        "url": F.col("url"),
+    }
+    lines = [F.concat(F.lit(f"  {n} = {{"), v, F.lit("}")) for n, v in fields.items()]
+    entry = F.concat(F.lit("@article{key,\n"), F.concat_ws(",\n", *lines), F.lit("\n}\n"))
+    _export_fields(spark, sf_dir).select(entry.alias("value")).write.text(path)
+    return path
+
+
+def ris_export(spark: SparkSession, sf_dir: str) -> str:
+    """Write the documents as RIS references and return the path."""
+    path = work_path(spark, "export.ris")
+
+    def line(tag: str, value: Column | str) -> Column:
+        return F.concat(F.lit(f"{tag}  - "), value)
+
+    def repeated(tag: str, column: str) -> Column:
+        return F.array_join(F.transform(F.split(column, "; "), lambda v: line(tag, v)), "\n")
+
+    reference = F.concat_ws(
+        "\n",
+        line("TY", F.lit("JOUR")),
+        line("TI", "title"),
+        repeated("AU", "authors"),
+        repeated("KW", "keywords"),
+        line("PY", "year"),
+        line("DO", "doi"),
+        line("DB", "journal"),
+        line("UR", "url"),
+        line("AB", F.regexp_replace("abstract", r"\s*\n\s*", " ")),
+        F.lit("ER  - "),
+    )
+    _export_fields(spark, sf_dir).select(reference.alias("value")).write.text(path)
+    return path

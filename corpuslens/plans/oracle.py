@@ -334,6 +334,208 @@ _PER_TYPE = f"""
     GROUP BY 1, 2, 3
 """
 
+# ---- deduplication
+
+
+def _near_pairs(titles: str) -> str:
+    """CTEs ending in ``near(a_id, b_id, score)`` over ``titles(ord, title)``."""
+    return f"""
+    names AS (SELECT trim(lower(title)) AS t, min(ord) AS id FROM {titles} GROUP BY 1),
+    scored AS (SELECT x.id AS a_id, y.id AS b_id,
+        round_even(200.0 * {_lcs("x.t", "y.t")} / (length(x.t) + length(y.t)), 0)::INTEGER
+          AS score
+      FROM names x JOIN names y ON x.id < y.id),
+    near AS (SELECT * FROM scored WHERE score >= 85)
+    """
+
+
+def _dedup_labels(titles: str) -> str:
+    """The sequential scan over distinct titles, one recursion step per title."""
+    return f"""
+    WITH RECURSIVE {_near_pairs(titles)},
+    earlier AS (SELECT b_id AS id, list(a_id) AS ids FROM near GROUP BY b_id),
+    queue AS (
+      SELECT n.id, row_number() OVER (ORDER BY n.id) AS k,
+        coalesce(ids, []::BIGINT[]) AS earlier
+      FROM names n LEFT JOIN earlier USING (id)),
+    scan AS (
+      SELECT 0::BIGINT AS k, []::BIGINT[] AS kept
+      UNION ALL
+      SELECT q.k, CASE WHEN list_has_any(s.kept, q.earlier) THEN s.kept
+                       ELSE list_append(s.kept, q.id) END
+      FROM scan s JOIN queue q ON q.k = s.k + 1),
+    kept AS (SELECT unnest(kept) AS id FROM (SELECT kept FROM scan ORDER BY k DESC LIMIT 1)),
+    removed AS (SELECT b_id AS id, min(a_id) AS kept_id, arg_min(score, a_id) AS score
+      FROM near WHERE a_id IN (SELECT id FROM kept) AND b_id NOT IN (SELECT id FROM kept)
+      GROUP BY b_id)
+    SELECT r.ord, r.title, d.id IS NOT NULL OR r.ord > n.id AS is_duplicate,
+      coalesce(d.kept_id, CASE WHEN r.ord > n.id THEN n.id END) AS kept_ord,
+      coalesce(d.score, CASE WHEN r.ord > n.id THEN 100 END)::INTEGER AS score
+    FROM {titles} r JOIN names n ON n.t = trim(lower(r.title)) LEFT JOIN removed d ON d.id = n.id
+    """
+
+
+_PARTS = "(SELECT p_partkey AS ord, p_name AS title FROM part)"
+_PAGES = "(SELECT page_id AS ord, url AS title FROM pages)"
+_PART_LABELS = _dedup_labels(_PARTS)
+
+# ---- corpus similarity
+
+_SIMILAR = f"""
+    WITH toks AS (SELECT doc_id, unnest({_tokens("text")}) AS term FROM documents),
+    tf AS (SELECT doc_id, term, count(*) AS tf FROM toks GROUP BY ALL),
+    total AS (SELECT count(*) AS n FROM documents),
+    idf AS (SELECT term, ln((n + 1)::DOUBLE / (count(*) + 1)) + 1 AS idf FROM tf, total
+            GROUP BY term, n),
+    raw AS (SELECT doc_id, term, tf * idf AS r FROM tf JOIN idf USING (term)),
+    names AS (SELECT text, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY text),
+    w AS (SELECT doc_id, term, r / sqrt(sum(r * r) OVER (PARTITION BY doc_id)) AS w FROM raw
+          WHERE doc_id IN (SELECT doc_id FROM names)),
+    pairs AS (SELECT a.doc_id AS a_id, b.doc_id AS b_id, sum(a.w * b.w) AS s
+      FROM w a JOIN w b ON a.term = b.term AND a.doc_id < b.doc_id GROUP BY ALL
+      HAVING sum(a.w * b.w) >= 0.8::DOUBLE)
+    SELECT a_id, b_id, round(s, 6)::DOUBLE AS similarity, x.copies AS a_copies,
+      y.copies AS b_copies
+    FROM pairs JOIN names x ON x.doc_id = a_id JOIN names y ON y.doc_id = b_id
+"""
+_TOP_SIMILAR = f"""
+    WITH found AS ({_SIMILAR})
+    SELECT * FROM (SELECT id, partner, similarity,
+      row_number() OVER (PARTITION BY id ORDER BY similarity DESC, partner)::INTEGER AS rank
+      FROM (SELECT a_id AS id, b_id AS partner, similarity FROM found
+            UNION ALL SELECT b_id, a_id, similarity FROM found))
+    WHERE rank <= 3
+"""
+
+# ---- clustering
+
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(13)"
+_SELECTION = f"""
+    (SELECT source AS block, doc_id, text, source || ' ' || lang || ' ' || doc_id AS title
+     FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents
+           WHERE length(trim(text, {_BLANKS})) > 50) WHERE r <= 40)
+"""
+_FILTERED = f"""
+    list_filter(string_split({_CLEAN}, ' '), lambda t: length(t) > 2 AND t NOT IN ({_items(_STOP)}))
+"""
+_EDGES = f"""
+    WITH sel AS {_SELECTION},
+    cleaned AS (SELECT block, doc_id, coalesce(array_to_string({_FILTERED}, ' '), '') AS text
+      FROM sel),
+    toks AS (SELECT block, doc_id, {_tokens("text")} AS t FROM cleaned),
+    grams AS (SELECT block, doc_id, unnest(list_concat(t, {_ngrams("t", 2)})) AS term FROM toks),
+    counts AS (SELECT block, doc_id, term, count(*) AS tf FROM grams GROUP BY ALL),
+    total AS (SELECT block, count(*) AS n FROM sel GROUP BY block),
+    terms AS (SELECT block, term, count(*) AS df, sum(tf) AS cf FROM counts GROUP BY block, term),
+    vocab AS (SELECT block, term, ln((n + 1)::DOUBLE / (df + 1)) + 1 AS idf,
+        row_number() OVER (PARTITION BY block ORDER BY cf DESC, term) AS rank
+      FROM terms JOIN total USING (block) WHERE df <= 0.95::DOUBLE * n),
+    raw AS (SELECT block, doc_id, term, (ln(tf) + 1) * idf AS r
+      FROM counts JOIN (SELECT * FROM vocab WHERE rank <= 3000) v USING (block, term)),
+    w AS (SELECT block, doc_id, term, r / sqrt(sum(r * r) OVER (PARTITION BY doc_id)) AS w
+      FROM raw),
+    cos AS (SELECT a.block, a.doc_id AS i, b.doc_id AS j, sum(a.w * b.w) AS c
+      FROM w a JOIN w b ON a.block = b.block AND a.term = b.term AND a.doc_id < b.doc_id
+      GROUP BY ALL)
+    SELECT a.block, a.doc_id AS i, b.doc_id AS j,
+      round(greatest(0.0::DOUBLE, 1 - coalesce(c, 0.0)), 6)::DOUBLE AS d
+    FROM sel a JOIN sel b ON a.block = b.block AND a.doc_id < b.doc_id
+    LEFT JOIN cos ON cos.i = a.doc_id AND cos.j = b.doc_id
+"""
+
+# ---- word weights
+
+_CLOUD = r"regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_][\p{L}\p{M}\p{N}_'']+')"
+
+
+def _plural_stem(word: str) -> str:
+    return (
+        f"CASE WHEN {word} LIKE '%s' AND {word} NOT LIKE '%ss' "
+        f"THEN left({word}, length({word}) - 1) END"
+    )
+
+
+def _likelihood(k: str, n: str, x: str) -> str:
+    return f"(ln(greatest({x}, 1e-10)) * {k} + ln(greatest(1 - {x}, 1e-10)) * ({n} - {k}))"
+
+
+_CLOUD_SCORE = " ".join(
+    [
+        "-2 * (",
+        _likelihood("c12", "c1", "(c2 / m)"),
+        "+",
+        _likelihood("(c2 - c12)", "(m - c1)", "(c2 / m)"),
+        "-",
+        _likelihood("c12", "c1", "(c12 / c1)"),
+        "-",
+        _likelihood("(c2 - c12)", "(m - c1)", "((c2 - c12) / (m - c1))"),
+        ")",
+    ]
+)
+_ENGLISH = _items(ENGLISH_STOPWORDS)
+_WORD_WEIGHTS = f"""
+    WITH toks AS (SELECT list_filter(list_transform({_CLOUD},
+        lambda t: regexp_replace(t, '''s$', '')),
+        lambda t: NOT regexp_matches(t, '^[0-9]+$')) AS t
+      FROM (SELECT text FROM documents UNION ALL SELECT text FROM benchmark)),
+    uni AS (SELECT word, count(*) AS n FROM (SELECT unnest(t) AS word FROM toks)
+      WHERE word NOT IN ({_ENGLISH}) GROUP BY word),
+    words AS (SELECT u.word, u.n, coalesce(s.word, u.word) AS standard
+      FROM uni u LEFT JOIN uni s ON s.word = {_plural_stem("u.word")}),
+    unigrams AS (SELECT standard, sum(n)::BIGINT AS n FROM words GROUP BY standard),
+    bi AS (SELECT p[1] || ' ' || p[2] AS word, count(*) AS n FROM (
+        SELECT unnest(list_transform(range(1, len(t)), lambda i: [t[i], t[i + 1]])) AS p FROM toks)
+      WHERE p[1] NOT IN ({_ENGLISH}) AND p[2] NOT IN ({_ENGLISH}) GROUP BY 1),
+    pairs AS (SELECT coalesce(s.word, b.word) AS pair, sum(b.n)::BIGINT AS n
+      FROM bi b LEFT JOIN bi s ON s.word = {_plural_stem("b.word")} GROUP BY 1),
+    named AS (SELECT word, standard, unigrams.n FROM words JOIN unigrams USING (standard)),
+    strong AS (SELECT pair, w1, w2, n FROM (
+      SELECT pair, x.standard AS w1, y.standard AS w2, p.n, p.n::DOUBLE AS c12,
+        x.n::DOUBLE AS c1, y.n::DOUBLE AS c2, (SELECT sum(n) FROM uni)::DOUBLE AS m
+      FROM pairs p JOIN named x ON x.word = split_part(pair, ' ', 1)
+      JOIN named y ON y.word = split_part(pair, ' ', 2))
+      WHERE m > c1 AND m > c2 AND {_CLOUD_SCORE} > 30),
+    taken AS (SELECT w, sum(n)::BIGINT AS n FROM (
+      SELECT w1 AS w, n FROM strong UNION ALL SELECT w2, n FROM strong) GROUP BY w),
+    entries AS (
+      SELECT standard AS word, unigrams.n - coalesce(taken.n, 0) AS count
+      FROM unigrams LEFT JOIN taken ON taken.w = standard
+      UNION ALL SELECT pair, n FROM strong),
+    heavy AS (SELECT word, count FROM entries WHERE count > 0 ORDER BY count DESC, word LIMIT 150)
+    SELECT word, count, round(count::DOUBLE / (SELECT max(count) FROM heavy), 6) AS weight
+    FROM heavy
+"""
+
+# ---- ingest
+
+_LEMMATIZED = f"""
+    WITH plurals AS (SELECT list(DISTINCT w) AS known FROM (
+      SELECT unnest({_tokens("text")}) AS w FROM documents) WHERE length(w) > 3 AND w LIKE '%s'),
+    words AS (SELECT doc_id, unnest({_FILTERED}) AS t,
+      generate_subscripts({_FILTERED}, 1) AS pos FROM documents),
+    lemmas AS (SELECT unnest(known) AS t FROM plurals),
+    joined AS (SELECT doc_id, pos, CASE WHEN l.t IS NULL THEN w.t
+        ELSE left(w.t, length(w.t) - 1) END AS lemma
+      FROM words w LEFT JOIN lemmas l ON l.t = w.t)
+    SELECT d.doc_id, coalesce(string_agg(lemma, ' ' ORDER BY pos), '') AS preprocessed
+    FROM documents d LEFT JOIN joined j ON j.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+def _ingested(abstract: str, source: str, kind: str, journal: str) -> str:
+    return f"""
+    SELECT source || ' ' || lang || ' ' || doc_id AS title,
+      upper(left(lang, 1)) || substr(lang, 2) || ', A.; ' || source AS authors,
+      lang || '; ' || source AS keywords, {abstract} AS abstract, {journal} AS journal,
+      (1990 + doc_id % 30)::INTEGER AS year, '10.1/' || doc_id AS doi, {source} AS source,
+      'http://x/' || doc_id AS url, {kind} AS document_type
+    FROM documents
+    """
+
+
+_ONE_LINE = r"trim(regexp_replace(text, '\s*\n\s*', ' ', 'g'))"
+_KIND = "CASE doc_id % 4 WHEN 1 THEN 'Conference' WHEN 2 THEN 'Periodical' ELSE 'Article' END"
+
 ORACLE_SQL: dict[str, str] = {
     "keyword_frequency": _KEYWORD_FREQUENCY,
     "new_terms_tfidf": _NEW_TERMS,
@@ -391,4 +593,24 @@ ORACLE_SQL: dict[str, str] = {
         SELECT year, document_type, journal, count(*) AS count FROM {_PUBLICATIONS}
         GROUP BY ALL""",
     "per_type_trend": _PER_TYPE,
+    "dedup_labels": _PART_LABELS,
+    "dedup_report": f"""
+        SELECT ord, left(title, 50) AS title_head, score, kept_ord FROM ({_PART_LABELS})
+        WHERE is_duplicate""",
+    "dedup_summary": f"""
+        SELECT count(*) AS original, count(*) FILTER (NOT is_duplicate) AS "unique",
+          count(*) FILTER (is_duplicate) AS duplicates FROM ({_PART_LABELS})""",
+    "dedup_page_labels": _dedup_labels(_PAGES),
+    "near_duplicate_pairs": f"WITH {_near_pairs(_PAGES)} SELECT a_id, b_id, score FROM near",
+    "similarity_join": _SIMILAR,
+    "top_similar": _TOP_SIMILAR,
+    "distance_edges": _EDGES,
+    "cluster_labels": f"""
+        SELECT block, doc_id, CASE WHEN length(title) > 45 THEN left(title, 45) || '…'
+          ELSE title END AS label FROM {_SELECTION}""",
+    "word_weights": _WORD_WEIGHTS,
+    "lemmatized": _LEMMATIZED,
+    "csv_ingest": _ingested(f"trim(text, {_BLANKS})", "'EBSCO'", _KIND, "source"),
+    "bibtex_ingest": _ingested(_ONE_LINE, "'EBSCO'", "'Article'", "source"),
+    "ris_ingest": _ingested(_ONE_LINE, "source", "'JOUR'", "NULL::VARCHAR"),
 }

@@ -18,8 +18,22 @@ from corpuslens.functions.text import (
     truncate_label,
     word_tokens,
 )
-from corpuslens.operators import geography, keywords, precision, selection, similarity, tfidf, trends
+from corpuslens.operators import (
+    clustering,
+    dedup,
+    geography,
+    keywords,
+    precision,
+    preprocess,
+    selection,
+    similarity,
+    simjoin,
+    tfidf,
+    trends,
+    wordcloud,
+)
 from corpuslens.plans import inputs
+from corpuslens.sources.exports import read_exports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -320,6 +334,132 @@ def per_type_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trends.per_type_trend(_trend(spark, sf_dir), 5, inputs.TREND_TYPES)
 
 
+# ---- deduplication
+
+
+def dedup_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.greedy_dedup(inputs.part_titles(spark, sf_dir))
+
+
+def dedup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.dedup_report(dedup_labels(spark, sf_dir))
+
+
+def dedup_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.dedup_summary(dedup_labels(spark, sf_dir))
+
+
+def dedup_page_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.greedy_dedup(inputs.page_titles(spark, sf_dir))
+
+
+def near_duplicate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    titles = dedup.distinct_titles(inputs.page_titles(spark, sf_dir))
+    return dedup.near_duplicate_pairs(titles)
+
+
+# ---- corpus similarity
+
+
+def similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = simjoin.similarity_join(inputs.documents(spark, sf_dir), 0.8)
+    return _rounded(pairs, "similarity")
+
+
+def top_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = simjoin.similarity_join(inputs.documents(spark, sf_dir), 0.8)
+    return simjoin.top_similar(_rounded(pairs, "similarity"), 3)
+
+
+# ---- clustering
+
+
+def distance_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edges = clustering.cosine_distance_edges(inputs.cluster_selection(spark, sf_dir))
+    return _rounded(edges, "d")
+
+
+def _tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    selected = inputs.cluster_selection(spark, sf_dir)
+    return clustering.merge_tree(clustering.cosine_distance_edges(selected))
+
+
+def cluster_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    selected = clustering.labels(inputs.cluster_selection(spark, sf_dir))
+    return selected.select("block", "doc_id", "label")
+
+
+def linkage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.linkage(_tree(spark, sf_dir))
+
+
+def cophenetic_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cophenetic_distances(_tree(spark, sf_dir))
+
+
+def compare_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.compare_methods(_tree(spark, sf_dir))
+
+
+def best_method(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.best_method(_tree(spark, sf_dir))
+
+
+def cut_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cut_clusters(_tree(spark, sf_dir))
+
+
+def leaf_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.leaf_order(_tree(spark, sf_dir))
+
+
+# ---- word weights
+
+
+def word_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = [
+        inputs.documents(spark, sf_dir).select("text"),
+        inputs.table(spark, sf_dir, "benchmark").select("text"),
+    ]
+    return _rounded(wordcloud.word_weights(texts), "weight")
+
+
+# ---- ingest
+
+
+def lemmatized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preprocess.preprocess(
+        inputs.documents(spark, sf_dir), lemmas=inputs.plural_lemmas(spark, sf_dir)
+    ).withColumnRenamed("text", "preprocessed")
+
+
+def _articles(spark: SparkSession, path: str) -> DataFrame:
+    return read_exports(spark, [("EBSCO", path)]).select(
+        "title",
+        F.array_join("authors", "; ").alias("authors"),
+        F.array_join("keywords", "; ").alias("keywords"),
+        "abstract",
+        "journal",
+        "year",
+        "doi",
+        "source",
+        "url",
+        "document_type",
+    )
+
+
+def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _articles(spark, inputs.csv_export(spark, sf_dir))
+
+
+def bibtex_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _articles(spark, inputs.bibtex_export(spark, sf_dir))
+
+
+def ris_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _articles(spark, inputs.ris_export(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -362,5 +502,25 @@ QUERIES: dict[str, Query] = {
         year_type_counts,
         year_detail,
         per_type_trend,
+        dedup_labels,
+        dedup_report,
+        dedup_summary,
+        dedup_page_labels,
+        near_duplicate_pairs,
+        similarity_join,
+        top_similar,
+        distance_edges,
+        cluster_labels,
+        linkage,
+        cophenetic_distances,
+        compare_methods,
+        best_method,
+        cut_clusters,
+        leaf_order,
+        word_weights,
+        lemmatized,
+        csv_ingest,
+        bibtex_ingest,
+        ris_ingest,
     )
 }

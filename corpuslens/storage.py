@@ -27,6 +27,11 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def work_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses, ending in ``name``."""
+    return f"{shared_dir(spark)}/{uuid.uuid4().hex}-{name}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back.
 
@@ -34,7 +39,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     table is column-pruned by its readers, and its size on disk lets Catalyst choose between
     broadcast and shuffle joins from a known size.
     """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = work_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
