@@ -338,14 +338,33 @@ _PER_TYPE = f"""
 
 
 def _near_pairs(titles: str) -> str:
-    """CTEs ending in ``near(a_id, b_id, score)`` over ``titles(ord, title)``."""
+    """CTEs ending in ``near(a_id, b_id, score)`` over ``titles(ord, title)``.
+
+    Titles of up to 120 characters are compared in one 128-bit word per row of the table, longer
+    ones cell by cell.
+    """
+    row = "(v + (v & m)) | (v - (v & m))"
+    mask = "coalesce(x.masks[c], 0::HUGEINT)"
+    step = f"({row}) & x.full".replace("v & m", f"v & {mask}")
     return f"""
     names AS (SELECT trim(lower(title)) AS t, min(ord) AS id FROM {titles} GROUP BY 1),
-    scored AS (SELECT x.id AS a_id, y.id AS b_id,
-        round_even(200.0 * {_lcs("x.t", "y.t")} / (length(x.t) + length(y.t)), 0)::INTEGER
-          AS score
-      FROM names x JOIN names y ON x.id < y.id),
-    near AS (SELECT * FROM scored WHERE score >= 85)
+    places AS (SELECT id, t, unnest(range(1, length(t) + 1)) AS p FROM names
+      WHERE length(t) <= 120),
+    masked AS (SELECT id, map_from_entries(list({{'k': c, 'v': m}})) AS masks FROM (
+      SELECT id, t[p] AS c, bit_or(1::HUGEINT << (p - 1)::INTEGER) AS m FROM places
+      GROUP BY id, t[p]) GROUP BY id),
+    packed AS (SELECT n.*, masks, (1::HUGEINT << length(t)::INTEGER) - 1 AS full
+      FROM names n JOIN masked USING (id)),
+    common AS (
+      SELECT x.id AS a_id, y.id AS b_id, x.t AS a, y.t AS b, length(x.t) - bit_count(
+        list_reduce(string_split(y.t, ''), lambda v, c: {step}, x.full)) AS lcs
+      FROM packed x JOIN names y ON x.id < y.id
+      UNION ALL
+      SELECT x.id, y.id, x.t, y.t, {_lcs("x.t", "y.t")}
+      FROM names x JOIN names y ON x.id < y.id AND (length(x.t) > 120 OR x.t = '')),
+    near AS (
+      SELECT a_id, b_id, round_even(200.0 * lcs / (length(a) + length(b)), 0)::INTEGER AS score
+      FROM common WHERE round_even(200.0 * lcs / (length(a) + length(b)), 0) >= 85)
     """
 
 
