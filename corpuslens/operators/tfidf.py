@@ -15,6 +15,7 @@ from corpuslens.functions.lexicon import (
 )
 from corpuslens.functions.text import alpha_normalize, ngram_range, strip, word_tokens
 from corpuslens.operators.selection import valid_abstracts
+from corpuslens.storage import stage
 
 # Up to this many vocabulary rows (a few MB) the vocabulary is sent to every executor.
 _BROADCAST_VOCABULARY = 50_000
@@ -34,17 +35,17 @@ DISCOVERY = TfidfOptions((1, 2), 2, 0.95, 300, True, ENGLISH_STOPWORDS)
 CLUSTERING = TfidfOptions((1, 2), 1, 0.95, 3000, True)
 
 
-def term_counts(
+def exploded_terms(
     docs: DataFrame,
     options: TfidfOptions,
     doc_id: str = "doc_id",
     text: str = "text",
     by: str | None = None,
 ) -> DataFrame:
-    """Raw count of each term in each document: ``([by,] doc_id, term, tf)``.
+    """Every term occurrence: ``([by,] doc_id, term)``.
 
     Texts are shuffled once by document, before they are blown up into terms, so the per-document
-    grouping here and the per-document normalisation later need no further exchange.
+    grouping and normalisation that follow need no further exchange.
     """
     keys = [by, doc_id] if by else [doc_id]
     tokens = word_tokens(F.col(text), options.stopwords)
@@ -52,11 +53,14 @@ def term_counts(
         docs.select(*keys, text)
         .repartition(doc_id)
         .select(*keys, F.explode(ngram_range(tokens, *options.ngrams)).alias("term"))
-        .groupBy(*keys, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
     )
 
 
+def term_counts(terms: DataFrame) -> DataFrame:
+    """Raw count ``tf`` of each term in each document."""
+    return terms.groupBy(*terms.columns).agg(F.count(F.lit(1)).alias("tf"))
+
+
 def vocabulary(
     counts: DataFrame, docs: DataFrame, options: TfidfOptions, by: str | None = None
 ) -> DataFrame:
@@ -91,18 +95,27 @@ def tfidf(
 ) -> DataFrame:
     """L2-normalised TF-IDF weights as a long table ``([by,] doc_id, term, w)``.
 
-    Holds non-zeros only. A vocabulary capped by ``max_features`` is broadcast, its size being
-    bounded by the option; any other is joined by shuffle with adaptive skew handling.
+    Holds non-zeros only. With a capped vocabulary, which the cap keeps small enough to broadcast,
+    the texts are tokenized again and reduced to kept terms before they are counted: cheaper than
+    keeping the counts of all terms. Without a cap the counts are written out once and joined by
+    shuffle, with adaptive skew handling.
     """
     keys = [by, doc_id] if by else [doc_id]
-    counts = term_counts(docs, options, doc_id, text, by)
-    vocab = vocabulary(counts, docs, options, by).drop("df", "cf")
-    if not by and (options.max_features or _BROADCAST_VOCABULARY + 1) <= _BROADCAST_VOCABULARY:
-        vocab = F.broadcast(vocab)
+    on = [by, "term"] if by else ["term"]
+    terms = exploded_terms(docs, options, doc_id, text, by)
+    if options.max_features is None:
+        counts = stage(term_counts(terms), "counts")
+        vocab = vocabulary(counts, docs, options, by).select(*on, "idf")
+        weighted = counts.join(vocab, on)
+    else:
+        vocab = vocabulary(term_counts(terms), docs, options, by).select(*on, "idf")
+        if not by and options.max_features <= _BROADCAST_VOCABULARY:
+            vocab = F.broadcast(vocab)
+        weighted = (
+            terms.join(vocab, on).groupBy(*keys, "term", "idf").agg(F.count(F.lit(1)).alias("tf"))
+        )
     tf = F.log("tf") + 1 if options.sublinear_tf else F.col("tf").cast("double")
-    raw = counts.join(vocab, [by, "term"] if by else "term").select(
-        *keys, "term", (tf * F.col("idf")).alias("raw")
-    )
+    raw = weighted.select(*keys, "term", (tf * F.col("idf")).alias("raw"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(doc_id)))
     return raw.select(*keys, "term", (F.col("raw") / norm).alias("w"))
 

@@ -107,10 +107,12 @@ _CLEAN = (
 )
 _STOP = sorted({*ENGLISH_STOPWORDS, *DOMAIN_STOPWORDS})
 
+_FILTERED = f"""
+    list_filter(string_split({_CLEAN}, ' '), lambda t: length(t) > 2 AND t NOT IN ({_items(_STOP)}))
+"""
+
 _PREPROCESS = f"""
-    SELECT doc_id, coalesce(array_to_string(list_filter(string_split({_CLEAN}, ' '),
-      lambda t: length(t) > 2 AND t NOT IN ({_items(_STOP)})), ' '), '') AS preprocessed
-    FROM documents
+    SELECT doc_id, coalesce(array_to_string({_FILTERED}, ' '), '') AS preprocessed FROM documents
 """
 
 _NGRAM_COUNTS = f"""
@@ -401,13 +403,15 @@ _PART_LABELS = _dedup_labels(_PARTS)
 # ---- corpus similarity
 
 _SIMILAR = f"""
-    WITH toks AS (SELECT doc_id, unnest({_tokens("text")}) AS term FROM documents),
+    WITH cleaned AS (
+      SELECT doc_id, coalesce(array_to_string({_FILTERED}, ' '), '') AS text FROM documents),
+    toks AS (SELECT doc_id, unnest({_tokens("text")}) AS term FROM cleaned),
     tf AS (SELECT doc_id, term, count(*) AS tf FROM toks GROUP BY ALL),
     total AS (SELECT count(*) AS n FROM documents),
     idf AS (SELECT term, ln((n + 1)::DOUBLE / (count(*) + 1)) + 1 AS idf FROM tf, total
-            GROUP BY term, n),
-    raw AS (SELECT doc_id, term, tf * idf AS r FROM tf JOIN idf USING (term)),
-    names AS (SELECT text, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY text),
+            GROUP BY term, n HAVING count(*) <= 0.95::DOUBLE * n),
+    raw AS (SELECT doc_id, term, (ln(tf) + 1) * idf AS r FROM tf JOIN idf USING (term)),
+    names AS (SELECT text, min(doc_id) AS doc_id, count(*) AS copies FROM cleaned GROUP BY text),
     w AS (SELECT doc_id, term, r / sqrt(sum(r * r) OVER (PARTITION BY doc_id)) AS w FROM raw
           WHERE doc_id IN (SELECT doc_id FROM names)),
     pairs AS (SELECT a.doc_id AS a_id, b.doc_id AS b_id, sum(a.w * b.w) AS s
@@ -434,9 +438,6 @@ _SELECTION = f"""
      FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents
            WHERE length(trim(text, {_BLANKS})) > 50) WHERE r <= 40)
 """
-_FILTERED = f"""
-    list_filter(string_split({_CLEAN}, ' '), lambda t: length(t) > 2 AND t NOT IN ({_items(_STOP)}))
-"""
 _EDGES = f"""
     WITH sel AS {_SELECTION},
     cleaned AS (SELECT block, doc_id, coalesce(array_to_string({_FILTERED}, ' '), '') AS text

@@ -362,13 +362,12 @@ def near_duplicate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = simjoin.similarity_join(inputs.documents(spark, sf_dir), 0.8)
-    return _rounded(pairs, "similarity")
+    texts = preprocess.preprocess(inputs.documents(spark, sf_dir))
+    return _rounded(simjoin.similarity_join(texts, 0.8), "similarity")
 
 
 def top_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = simjoin.similarity_join(inputs.documents(spark, sf_dir), 0.8)
-    return simjoin.top_similar(_rounded(pairs, "similarity"), 3)
+    return simjoin.top_similar(similarity_join(spark, sf_dir), 3)
 
 
 # ---- clustering
