@@ -40,26 +40,26 @@ def document_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its successor by id: ``a_id, b_id, text_a, text_b``."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     first = docs.select(F.col("doc_id").alias("a_id"), F.col("text").alias("text_a"))
     second = docs.select(
         (F.col("doc_id") - 1).alias("a_id"),
         F.col("doc_id").alias("b_id"),
         F.col("text").alias("text_b"),
     )
-    return spread(first.join(second, "a_id").select("a_id", "b_id", "text_a", "text_b"))
+    return first.join(second, "a_id").select("a_id", "b_id", "text_a", "text_b")
 
 
 def name_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part name with its successor's."""
-    part = table(spark, sf_dir, "part")
+    part = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name"))
     first = part.select(F.col("p_partkey").alias("a_id"), F.col("p_name").alias("text_a"))
     second = part.select(
         (F.col("p_partkey") - 1).alias("a_id"),
         F.col("p_partkey").alias("b_id"),
         F.col("p_name").alias("text_b"),
     )
-    return spread(first.join(second, "a_id").select("a_id", "b_id", "text_a", "text_b"))
+    return first.join(second, "a_id").select("a_id", "b_id", "text_a", "text_b")
 
 
 def publications(spark: SparkSession, sf_dir: str) -> DataFrame:

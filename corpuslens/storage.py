@@ -45,10 +45,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rebalance an input that arrives in fewer partitions than there are task slots.
+    """Rebalance a table scan that has fewer partitions than there are task slots.
 
-    Text operators are CPU-bound, so one unsplittable file must not become one task. Inputs that
-    are already well split (any large table) pass through without a shuffle.
+    Text operators are CPU-bound, so one unsplittable file must not become one task. Scans that
+    are already well split (any large table) pass through without a shuffle. Only for scans:
+    asking a shuffled plan for its partitions would run it.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:
