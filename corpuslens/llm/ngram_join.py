@@ -296,7 +296,7 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the documents whose class has one of a lesser id.
 
-    Rows without an id can't be named by a class and stay. Of repeated rows of a document one stays.
+    Rows without an id can't be named by a class and stay. Of rows of equal id and text one stays.
     """
     judged = near_duplicates(docs, doc_id=doc_id, text=text, **options)
     # A document of equal rows counts them all; rows of one id and different texts have classes apart.
@@ -308,4 +308,4 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     once = joined.filter(F.coalesce("_rows", F.lit(1)) == 1).select(*docs.columns)
     if kept.filter("_rows > 1").isEmpty():
         return once
-    return once.unionByName(joined.filter("_rows > 1").select(*docs.columns).dropDuplicates())
+    return once.unionByName(joined.filter("_rows > 1").select(*docs.columns).dropDuplicates([doc_id, text]))
