@@ -19,7 +19,7 @@ WIDTH = 20
 #: Text bytes to a slot of hashes, which meet in one task; slots at least and at most.
 SLOT_BYTES, LEAST_SLOTS, MOST_SLOTS = 3 << 19, 32, 1 << 18
 
-_COUNT = struct.Struct("<II")
+_COUNT, _COUNT_BYTES = "<II", 8
 _NO_ID = np.iinfo(np.int64).min
 _WORK = (
     "kind tinyint, doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, "
@@ -43,17 +43,17 @@ def pack_places(hashes: np.ndarray, doc_ids: np.ndarray, places: np.ndarray) ->
 
     steps = np.diff(doc_ids, prepend=np.int64(0)).astype("<i8")
     small = zstandard.ZstdCompressor(level=1).compress(_planes(steps) + _planes(places.astype("<u4")))
-    return _COUNT.pack(len(places), len(small)) + small + hashes.tobytes()
+    return struct.pack(_COUNT, len(places), len(small)) + small + hashes.tobytes()
 
 
 def unpack_places(data: bytes, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     import zstandard
 
-    n, size = _COUNT.unpack_from(data)
-    plain = zstandard.ZstdDecompressor().decompress(data[_COUNT.size : _COUNT.size + size], max_output_size=12 * n)
+    n, size = struct.unpack_from(_COUNT, data)
+    plain = zstandard.ZstdDecompressor().decompress(data[_COUNT_BYTES : _COUNT_BYTES + size], max_output_size=12 * n)
     ids = np.cumsum(_from_planes(plain[: 8 * n], "<i8", n)) if n else np.empty(0, np.int64)
     places = _from_planes(plain[8 * n :], "<u4", n).astype(np.int64) if n else np.empty(0, np.int64)
-    return np.frombuffer(data, kind, n, _COUNT.size + size), ids, places
+    return np.frombuffer(data, kind, n, _COUNT_BYTES + size), ids, places
 
 
 def _lists(doc_ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, pa.ListArray]:
@@ -141,7 +141,7 @@ class Anchors:
         given = []
         for d, h in zip(data, hit):
             if h:
-                n, size = _COUNT.unpack_from(d)
+                n, size = struct.unpack_from(_COUNT, d)
                 _, ids, places = unpack_places(d + bytes(4 * n), "<u4")
                 given.append((ids, places))
         known = [k for k in known if k is not None]

@@ -21,7 +21,7 @@ BLOCK, PERCENTILE = 1024, 0.9
 FILE_DOCS = 2048
 
 _MAGIC = b"PFORIDS1"
-_HEAD = struct.Struct("<8sQQQQ")  # magic, documents, ids, ids to a block, blocks
+_HEAD = "<8sQQQQ"  # magic, documents, ids, ids to a block, blocks
 _BLOCK_HEAD = np.dtype([("least", "<u4"), ("width", "u1"), ("exceptions", "<u2")])
 
 
@@ -78,7 +78,7 @@ def _file_bytes(doc_ids: list[int | None], counts: list[int], ids: np.ndarray, b
     starts = np.cumsum([0, *map(len, blocks)])
     absent = np.array([d is None for d in doc_ids], np.uint8)
     known = np.array([d or 0 for d in doc_ids], "<i8")
-    head = _HEAD.pack(_MAGIC, len(doc_ids), len(ids), block, len(blocks))
+    head = struct.pack(_HEAD, _MAGIC, len(doc_ids), len(ids), block, len(blocks))
     parts = [head, absent.tobytes(), known.tobytes(), np.array(counts, "<u8").tobytes(), starts.astype("<u8").tobytes()]
     return b"".join([*parts, *blocks])
 
@@ -87,10 +87,10 @@ class TokenFile:
     """A file of blocks; reads any run of ids from the blocks that hold it."""
 
     def __init__(self, data: bytes):
-        magic, docs, self.n_ids, self.block, blocks = _HEAD.unpack_from(data)
+        magic, docs, self.n_ids, self.block, blocks = struct.unpack_from(_HEAD, data)
         if magic != _MAGIC:
             raise ValueError("not a token file")
-        at = _HEAD.size
+        at = struct.calcsize(_HEAD)
         absent = np.frombuffer(data, np.uint8, docs, at)
         known = np.frombuffer(data, "<i8", docs, at := at + docs)
         self.doc_ids = [None if a else int(d) for a, d in zip(absent, known)]

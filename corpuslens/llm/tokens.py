@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+import os
+import sys
+import types
 
 import numpy as np
 
 #: Words whose ids a worker keeps; the older half goes when the newer is full.
 CACHE_WORDS = 300_000
 
-_encoders: dict[tuple[str, bool], "Encoder"] = {}
+#: Holds a worker's encoders from task to task: code that comes by value has no module to keep them.
+_KEPT = "corpuslens_llm_encoders"
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -55,12 +59,11 @@ class Encoder:
 
 def encoder(path: str, by_word: bool = True) -> Encoder:
     """This worker's encoder; kept between tasks."""
-    if (path, by_word) not in _encoders:
-        import os
-
+    kept = sys.modules.setdefault(_KEPT, types.ModuleType(_KEPT)).__dict__
+    if (path, by_word) not in kept:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        _encoders[path, by_word] = Encoder(path, by_word)
-    return _encoders[path, by_word]
+        kept[path, by_word] = Encoder(path, by_word)
+    return kept[path, by_word]
 
 
 def in_groups(texts: Sequence[str | None], limit: int = 1 << 20):
