@@ -1,17 +1,20 @@
 """Agglomerative clustering of article selections, many selections (blocks) at once.
 
-Every block is a selection of at most 120 articles clustered on its own; all blocks and all three
-linkage methods advance together in the same joins. A round merges every pair of clusters that are
-each other's nearest neighbour. The three linkages are reducible, so without ties this builds the
-same tree as merging one pair at a time; ties go to the smaller cluster id. Cluster ids are their
-smallest member.
+Every block is a selection of articles clustered on its own: its distance matrix, quadratic in its
+size by nature, is held by one task, so the size of a block is checked against a limit the caller
+sets, and the work grows with the number of blocks. One shuffle brings each block's pairs together;
+a small dense kernel then makes its tree under every linkage method. Ties go to the smaller cluster
+ids. Cluster ids are their smallest member.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterator, Sequence
+import sys
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,11 +24,16 @@ from corpuslens.operators.selection import CLUSTER_MAX_ROWS
 from corpuslens.operators.tfidf import CLUSTERING, TfidfOptions, tfidf
 from corpuslens.storage import stage
 
+# Executors receive the kernel by value, so the package need not be installed on them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 METHODS = ("ward", "complete", "average")
 CUT_SHARE = 0.70
 _LABEL = 45
 # Distances are compared at this precision, so that the order of a sum cannot break a tie.
 _DIGITS = 12
+# Heights are equal for numbering, and variances zero, at this precision.
+_HEIGHT_DIGITS = 9
 _KEY = ["block", "method"]
 
 
@@ -52,12 +60,13 @@ def cosine_distance_edges(
 ) -> DataFrame:
     """Cosine distances of all articles of a block: ``(block, i, j, d)`` with ``i < j``.
 
-    ``docs`` is ``(block, doc_id, text)``. Only articles sharing a term meet in the term join; the
-    others are completed with distance 1. Blocks are size-checked first, which bounds both joins.
+    ``docs`` is ``(block, doc_id, text)``; an article may stand in several blocks. Only articles
+    sharing a term meet in the term join; the others are completed with distance 1. Blocks are
+    size-checked first, which bounds both joins.
     """
     docs = stage(docs.select("block", "doc_id", "text"), "selection")
     ids = check_block_sizes(docs, limit).select("block", "doc_id")
-    cleaned = preprocess(docs, lemmas=lemmas).join(ids, "doc_id")
+    cleaned = preprocess(docs, ["block", "doc_id"], lemmas=lemmas)
     weights = tfidf(cleaned, options, by="block")
     a, b = weights.alias("a"), weights.alias("b")
     together = (F.col("a.block") == F.col("b.block")) & (F.col("a.doc_id") < F.col("b.doc_id"))
@@ -79,112 +88,92 @@ def cosine_distance_edges(
     )
 
 
-# An edge joins clusters ``a`` and ``b`` (a.id < b.id), each carrying its size ``n``, the sum ``q`` of
-# squared distances inside it, its merge height ``h`` and the round ``node`` that made it (0: leaf).
-# ``mx``, ``s1`` and ``s2`` are the maximum, sum and sum of squares of the distances between their
-# members. The Lance-Williams recurrences of the three methods reduce to these additive values, so
-# updating all edges after a round of merges is one plain aggregation.
-_EDGE_DISTANCE = f"""
-    round(CASE method
-      WHEN 'complete' THEN mx
-      WHEN 'average' THEN s1 / (a.n * b.n)
-      ELSE sqrt(greatest(0D, 2D * a.n * b.n / (a.n + b.n)
-             * (s2 / (a.n * b.n) - a.q / (a.n * a.n) - b.q / (b.n * b.n)))) END, {_DIGITS})
-"""
+_TREE = (
+    "block {block}, method string, round int, i bigint, j bigint, height double, n_i bigint, "
+    "n_j bigint, node_i int, node_j int, s1 double, s2 double, leaf bigint, side string"
+)
 
-_START = """
-    SELECT block, explode(array({methods})) AS method, d, d AS mx, d AS s1, d * d AS s2,
-      struct(i AS id, 1L AS n, 0D AS q, 0D AS h, 0 AS node) AS a,
-      struct(j AS id, 1L AS n, 0D AS q, 0D AS h, 0 AS node) AS b
-    FROM {distances}
-"""
 
-# Nearest neighbour of every cluster; an edge that is nearest for both its ends is merged.
-_MERGE = """
-    WITH nearest AS (
-      SELECT block, method, end.x, min_by(edge, struct(d, end.y)) AS edge
-      FROM (SELECT block, method, d, struct(d, s1, s2, a, b) AS edge,
-              explode(array(struct(a.id AS x, b.id AS y), struct(b.id AS x, a.id AS y))) AS end
-            FROM {edges})
-      GROUP BY block, method, end.x)
-    SELECT block, method, {number} AS round, edge.a.id AS i, edge.b.id AS j,
-      greatest(edge.d, edge.a.h, edge.b.h) AS height, edge.a.n AS n_i, edge.b.n AS n_j,
-      edge.a.node AS node_i, edge.b.node AS node_j, edge.s1, edge.s2,
-      edge.a.q + edge.b.q + edge.s2 AS q
-    FROM nearest GROUP BY block, method, edge HAVING count(*) = 2
-"""
+def _merge(distance: np.ndarray, method: str) -> Iterator[tuple]:
+    """Merges one pair at a time: ``(round, a, b, height, n_a, n_b, node_a, node_b, s1, s2, left, right)``.
 
-_UPDATE = """
-    WITH moved AS (
-      SELECT block, method, explode(array(i, j)) AS id,
-        struct(i AS id, n_i + n_j AS n, q, height AS h, round AS node) AS into
-      FROM {merges}),
-    ends AS (
-      SELECT e.block, e.method, mx, s1, s2, coalesce(x.into, a) AS a, coalesce(y.into, b) AS b
-      FROM {edges} e
-      LEFT JOIN moved x ON x.block = e.block AND x.method = e.method AND x.id = e.a.id
-      LEFT JOIN moved y ON y.block = e.block AND y.method = e.method AND y.id = e.b.id),
-    summed AS (
-      SELECT block, method, lo AS a, hi AS b, max(mx) AS mx, sum(s1) AS s1, sum(s2) AS s2
-      FROM (SELECT *, least(a, b) AS lo, greatest(a, b) AS hi FROM ends WHERE a.id <> b.id)
-      GROUP BY block, method, lo, hi)
-    SELECT block, method, """ + _EDGE_DISTANCE + """ AS d, mx, s1, s2, a, b FROM summed
-"""
-
-_CLIMB = """
-    SELECT p.block, p.method, p.leaf, coalesce(m.into, p.id) AS id,
-      CASE WHEN m.into IS NULL THEN path ELSE array_append(path, m.step) END AS path
-    FROM {paths} p
-    LEFT JOIN (
-      SELECT block, method, i AS into, side.id, struct(round, i, side.name AS side) AS step
-      FROM {merges} LATERAL VIEW
-        explode(array(struct(i AS id, 'i' AS name), struct(j AS id, 'j' AS name))) t AS side) m
-    ON m.block = p.block AND m.method = p.method AND m.id = p.id
-"""
-# Rounds after which the paths, extended by one join per round, are written out.
-_PATH_ROUNDS = 12
+    For every two clusters ``top``, ``s1`` and ``s2`` are the maximum, sum and sum of squares of the
+    distances between their members, and ``inside`` is the sum of squares within one: the
+    Lance-Williams recurrences of the three methods reduce to these additive values.
+    """
+    n = len(distance)
+    top, s1, s2 = distance.copy(), distance.copy(), distance**2
+    size, inside, height = np.ones(n), np.zeros(n), np.zeros(n)
+    node, alive = np.zeros(n, int), np.ones(n, bool)
+    members = [[k] for k in range(n)]
+    near = np.where(np.triu(np.ones((n, n), bool), 1), distance, np.inf)
+    for number in range(1, n):
+        a, b = divmod(int(near.argmin()), n)
+        h = max(near[a, b], height[a], height[b])
+        yield number, a, b, h, size[a], size[b], node[a], node[b], s1[a, b], s2[a, b], members[a], members[b]
+        inside[a] += inside[b] + s2[a, b]
+        for sums, joined in ((s1, s1[a] + s1[b]), (s2, s2[a] + s2[b]), (top, np.maximum(top[a], top[b]))):
+            sums[a], sums[:, a] = joined, joined
+        size[a] += size[b]
+        height[a], node[a] = h, number
+        members[a] = members[a] + members[b]
+        alive[b] = False
+        near[b, :] = near[:, b] = np.inf
+        alive[a] = False
+        v = np.flatnonzero(alive)
+        alive[a] = True
+        pairs = size[a] * size[v]
+        if method == "complete":
+            d = top[a, v]
+        elif method == "average":
+            d = s1[a, v] / pairs
+        else:
+            mean = s2[a, v] / pairs - inside[a] / size[a] ** 2 - inside[v] / size[v] ** 2
+            d = np.sqrt(np.maximum(0.0, 2 * pairs / (size[a] + size[v]) * mean))
+        near[np.minimum(a, v), np.maximum(a, v)] = np.round(d, _DIGITS)
+
+
+def _block_tree(part: pd.DataFrame, methods: Sequence[str]) -> pd.DataFrame:
+    """All merges of one block, a row for each leaf of the cluster that a merge makes."""
+    ids = np.unique(part[["i", "j"]].to_numpy())
+    distance = np.zeros((len(ids), len(ids)))
+    i, j = np.searchsorted(ids, part["i"]), np.searchsorted(ids, part["j"])
+    distance[i, j] = distance[j, i] = part["d"]
+    rows = []
+    for method in methods:
+        for number, a, b, h, n_a, n_b, node_a, node_b, s1, s2, left, right in _merge(distance, method):
+            merge = (method, number, ids[a], ids[b], h, n_a, n_b, node_a, node_b, s1, s2)
+            rows += [(*merge, ids[x], side) for side, held in (("i", left), ("j", right)) for x in held]
+    names = "method round i j height n_i n_j node_i node_j s1 s2 leaf side".split()
+    made = pd.DataFrame(rows, columns=names).astype({"n_i": "int64", "n_j": "int64"})
+    made.insert(0, "block", part["block"].iloc[0])
+    return made
 
 
 def merge_tree(distances: DataFrame, methods: Sequence[str] = METHODS) -> DataFrame:
     """All merges of all blocks and methods, one row per member leaf.
 
-    ``distances`` holds every pair of a block, as :func:`cosine_distance_edges` gives it. The tree
-    table carries what all later steps need: round, joined clusters ``i`` and ``j``, height, sizes,
-    sums of distances, and for each leaf the ``side`` it came from.
+    ``distances`` holds every pair of a block, as :func:`cosine_distance_edges` gives it; a block
+    has to fit a task. The tree table carries what all later steps need: round, joined clusters
+    ``i`` and ``j``, height, sizes, sums of distances, and for each leaf the ``side`` it came from.
     """
     unknown = set(methods) - set(METHODS)
     if unknown:
         raise ValueError(f"unknown linkage methods {sorted(unknown)}")
-    sql = distances.sparkSession.sql
-    quoted = ", ".join(f"'{m}'" for m in methods)
-    edges = stage(sql(_START.replace("{methods}", quoted), distances=distances), "edges")
-    paths = (
-        edges.select(*_KEY, F.explode(F.array("a.id", "b.id")).alias("leaf"))
-        .distinct()
-        .select(
-            *_KEY, "leaf", F.col("leaf").alias("id"),
-            F.expr("cast(array() AS array<struct<round:int,i:bigint,side:string>>)").alias("path"),
-        )
+    schema = _TREE.replace("{block}", distances.schema["block"].dataType.simpleString())
+    tree = (
+        distances.select("block", "i", "j", "d")
+        .groupBy("block")
+        .applyInPandas(lambda part: _block_tree(part, methods), schema)
     )
-    rounds: list[DataFrame] = []
-    while not rounds or not edges.isEmpty():
-        number = len(rounds) + 1
-        merges = stage(sql(_MERGE.replace("{number}", str(number)), edges=edges), "merges")
-        edges = stage(sql(_UPDATE, edges=edges, merges=merges), "edges")
-        paths = sql(_CLIMB, paths=paths, merges=merges)
-        if number % _PATH_ROUNDS == 0:
-            paths = stage(paths, "paths")
-        rounds.append(merges)
-    leaves = paths.select(*_KEY, "leaf", F.explode("path").alias("hop")).select(
-        *_KEY, "leaf", "hop.*"
-    )
-    merged = reduce(DataFrame.unionByName, rounds)
-    return stage(merged.join(leaves, [*_KEY, "round", "i"]), "tree")
+    return stage(tree, "tree")
 
 
 def _merges(tree: DataFrame) -> DataFrame:
-    """One row per merge, numbered from 0 by height as ``step``."""
-    by_height = Window.partitionBy(*_KEY).orderBy("height", "round", "i")
+    """One row per merge, numbered from 0 as ``step``: by height, then size, then first member."""
+    by_height = Window.partitionBy(*_KEY).orderBy(
+        F.round("height", _HEIGHT_DIGITS), F.col("n_i") + F.col("n_j"), "i"
+    )
     return (
         tree.filter(F.col("leaf") == F.col("i"))
         .drop("leaf", "side")
@@ -257,10 +246,10 @@ def cophenetic_scores(tree: DataFrame) -> DataFrame:
         F.sum(h * F.col("s1")).alias("dc"),
     )
     n, d, c = F.col("n"), F.col("d"), F.col("c")
-    spread = (n * F.col("dd") - d * d) * (n * F.col("cc") - c * c)
-    return sums.select(
-        *_KEY, F.when(spread > 0, (n * F.col("dc") - d * c) / F.sqrt(spread)).alias("ccc")
-    )
+    varied_d, varied_c = n * F.col("dd") - d * d, n * F.col("cc") - c * c
+    tiny = n * n * 10.0**-_HEIGHT_DIGITS
+    ccc = (n * F.col("dc") - d * c) / F.sqrt(varied_d * varied_c)
+    return sums.select(*_KEY, F.when((varied_d > tiny) & (varied_c > tiny), ccc).alias("ccc"))
 
 
 def _method_order() -> Column:
@@ -270,12 +259,13 @@ def _method_order() -> Column:
 def compare_methods(tree: DataFrame) -> DataFrame:
     """Scores with their quality band and the best method of each block marked."""
     ccc = F.col("ccc")
+    # A block without any spread has no correlation and counts as the lowest band.
     band = (
         F.when(ccc >= 0.85, "Excelente").when(ccc >= 0.75, "Bueno").when(ccc >= 0.65, "Moderado")
         .otherwise("Bajo")
     )
     ranked = Window.partitionBy("block").orderBy(
-        F.desc_nulls_last(F.round("ccc", _DIGITS)), _method_order()
+        F.desc_nulls_last(F.round("ccc", _HEIGHT_DIGITS)), _method_order()
     )
     return cophenetic_scores(tree).select(
         *_KEY, "ccc", band.alias("band"), (F.row_number().over(ranked) == 1).alias("is_best")

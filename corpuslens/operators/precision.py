@@ -14,7 +14,7 @@ HIGH, MEDIUM = 0.70, 0.40
 
 def precision_band(score: Column) -> Column:
     return (
-        F.when(score >= HIGH, "Alta").when(score >= MEDIUM, "Media").otherwise("Baja")
+        F.when(score >= HIGH, "Alta").when(score >= MEDIUM, "Media").when(score < MEDIUM, "Baja")
     )
 
 

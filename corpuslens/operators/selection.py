@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpuslens.functions.text import strip
 from corpuslens.schema import require_columns
 
+# Defaults of the interactive selection; all are arguments.
 CLUSTER_MIN_ROWS = 5
 CLUSTER_DEFAULT_ROWS = 40
 CLUSTER_MAX_ROWS = 120
@@ -39,8 +40,8 @@ def clusterable(df: DataFrame, abstract: str = "abstract", title: str = "title")
 
 
 def _checked_size(n: int) -> int:
-    if not CLUSTER_MIN_ROWS <= n <= CLUSTER_MAX_ROWS:
-        raise ValueError(f"selection size must be {CLUSTER_MIN_ROWS}..{CLUSTER_MAX_ROWS}, got {n}")
+    if n < 1:
+        raise ValueError(f"selection size must be positive, got {n}")
     return n
 
 
@@ -73,6 +74,28 @@ def has_min_rows(df: DataFrame, minimum: int = CLUSTER_MIN_ROWS) -> bool:
     return df.limit(minimum).count() >= minimum
 
 
+def groups_with_min_rows(
+    df: DataFrame, by: str, minimum: int = CLUSTER_MIN_ROWS
+) -> DataFrame:
+    """Rows of each group and whether they are enough to cluster: ``(by, rows, enough)``."""
+    rows = F.count(F.lit(1))
+    return df.groupBy(by).agg(rows.alias("rows"), (rows >= minimum).alias("enough"))
+
+
+def selection_counts(
+    df: DataFrame, by: str, abstract: str = "abstract", title: str = "title"
+) -> DataFrame:
+    """Rows of each group that each of the three row filters keeps, from one scan."""
+    require_columns(df, by, abstract, title)
+    body, name = strip(F.col(abstract)), F.col(title)
+    clusters = (F.length(body) > CLUSTER_MIN_ABSTRACT) & (strip(name) != "")
+    return df.groupBy(by).agg(
+        F.count_if(body != "").alias("with_abstract"),
+        F.count_if((body != "") & name.isNotNull()).alias("with_both"),
+        F.count_if(clusters).alias("clusterable"),
+    )
+
+
 def title_lookup(
     articles: DataFrame, wanted: DataFrame, title: str = "title", ord_col: str = "ord"
 ) -> DataFrame:

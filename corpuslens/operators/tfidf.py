@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuslens.functions.arrays import run_lengths
 from corpuslens.functions.lexicon import (
     CATEGORY_KEYWORDS,
     ENGLISH_STOPWORDS,
@@ -17,9 +18,6 @@ from corpuslens.functions.text import alpha_normalize, ngram_range, strip, word_
 from corpuslens.operators.selection import valid_abstracts
 from corpuslens.storage import stage
 
-# Up to this many vocabulary rows (a few MB) the vocabulary is sent to every executor.
-_BROADCAST_VOCABULARY = 50_000
-
 
 @dataclass(frozen=True)
 class TfidfOptions:
@@ -33,49 +31,53 @@ class TfidfOptions:
 
 DISCOVERY = TfidfOptions((1, 2), 2, 0.95, 300, True, ENGLISH_STOPWORDS)
 CLUSTERING = TfidfOptions((1, 2), 1, 0.95, 3000, True)
+# The same weights without the cap.
+ALL_TERMS = TfidfOptions((1, 2), 1, 1.0, None, True)
 
 
-def exploded_terms(
+def term_counts(
     docs: DataFrame,
     options: TfidfOptions,
     doc_id: str = "doc_id",
     text: str = "text",
     by: str | None = None,
 ) -> DataFrame:
-    """Every term occurrence: ``([by,] doc_id, term)``.
+    """``([by,] doc_id, term, tf)``, and for each document a row of a null term.
 
-    Texts are shuffled once by document, before they are blown up into terms, so the per-document
-    grouping and normalisation that follow need no further exchange.
+    A row is a whole document, so its terms are counted inside it: neither texts nor term
+    occurrences are shuffled. The rows of null terms count the documents.
     """
     keys = [by, doc_id] if by else [doc_id]
     tokens = word_tokens(F.col(text), options.stopwords)
-    return (
-        docs.select(*keys, text)
-        .repartition(doc_id)
-        .select(*keys, F.explode(ngram_range(tokens, *options.ngrams)).alias("term"))
-    )
+    counted = run_lengths(ngram_range(tokens, *options.ngrams))
+    itself = F.array(F.struct(F.lit(None).cast("string").alias("value"), F.lit(0).cast("bigint").alias("n")))
+    return docs.select(*keys, F.inline(F.concat(itself, counted)).alias("term", "tf"))
 
 
-def term_counts(terms: DataFrame) -> DataFrame:
-    """Raw count ``tf`` of each term in each document."""
-    return terms.groupBy(*terms.columns).agg(F.count(F.lit(1)).alias("tf"))
+def corpus_size(counts: DataFrame, by: str | None = None) -> DataFrame:
+    """Documents behind :func:`term_counts`, as ``([by,] n_docs)``."""
+    n_docs = F.count(F.lit(1)).alias("n_docs")
+    whole = counts.filter(F.col("term").isNull())
+    return whole.groupBy(by).agg(n_docs) if by else whole.agg(n_docs)
 
 
-def vocabulary(
-    counts: DataFrame, docs: DataFrame, options: TfidfOptions, by: str | None = None
-) -> DataFrame:
+def vocabulary(counts: DataFrame, options: TfidfOptions, by: str | None = None) -> DataFrame:
     """Kept terms with document frequency ``df``, total count ``cf`` and smoothed idf.
 
     With ``by``, every group is a corpus of its own: group size, bounds and the feature cap apply
     per group, the cap as a rank limit that Spark also evaluates before the shuffle.
     """
     keys = [by, "term"] if by else ["term"]
-    terms = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    terms = (
+        counts.filter(F.col("term").isNotNull())
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    )
     if by:
-        terms = terms.join(docs.groupBy(by).agg(F.count(F.lit(1)).alias("_n")), by)
-        n_docs = F.col("_n")
+        terms = terms.join(corpus_size(counts, by), by)
+        n_docs = F.col("n_docs")
     else:
-        n_docs = docs.agg(F.count(F.lit(1))).scalar()
+        n_docs = corpus_size(counts).scalar()
     terms = terms.filter((F.col("df") >= options.min_df) & (F.col("df") <= n_docs * options.max_df))
     if options.max_features is not None and by:
         rank = F.row_number().over(Window.partitionBy(by).orderBy(F.desc("cf"), "term"))
@@ -86,6 +88,23 @@ def vocabulary(
     return terms.select(*keys, "df", "cf", idf.alias("idf"))
 
 
+def weigh(
+    counts: DataFrame, options: TfidfOptions, doc_id: str = "doc_id", by: str | None = None
+) -> DataFrame:
+    """Weights from a stored table of :func:`term_counts`.
+
+    The vocabulary is stored too: from its size Catalyst chooses to send it to every executor or to
+    shuffle, in which case a term of many documents is split by adaptive execution.
+    """
+    keys = [by, doc_id] if by else [doc_id]
+    on = [by, "term"] if by else ["term"]
+    vocab = stage(vocabulary(counts, options, by), "vocabulary").select(*on, "idf")
+    tf = F.log("tf") + 1 if options.sublinear_tf else F.col("tf").cast("double")
+    raw = counts.join(vocab, on).select(*keys, "term", (tf * F.col("idf")).alias("raw"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*keys)))
+    return raw.select(*keys, "term", (F.col("raw") / norm).alias("w"))
+
+
 def tfidf(
     docs: DataFrame,
     options: TfidfOptions,
@@ -93,31 +112,11 @@ def tfidf(
     text: str = "text",
     by: str | None = None,
 ) -> DataFrame:
-    """L2-normalised TF-IDF weights as a long table ``([by,] doc_id, term, w)``.
+    """L2-normalised TF-IDF weights as a long table ``([by,] doc_id, term, w)`` of non-zeros.
 
-    Holds non-zeros only. With a capped vocabulary, which the cap keeps small enough to broadcast,
-    the texts are tokenized again and reduced to kept terms before they are counted: cheaper than
-    keeping the counts of all terms. Without a cap the counts are written out once and joined by
-    shuffle, with adaptive skew handling.
+    With ``by``, a document is known by both columns: one id may stand in several groups.
     """
-    keys = [by, doc_id] if by else [doc_id]
-    on = [by, "term"] if by else ["term"]
-    terms = exploded_terms(docs, options, doc_id, text, by)
-    if options.max_features is None:
-        counts = stage(term_counts(terms), "counts")
-        vocab = vocabulary(counts, docs, options, by).select(*on, "idf")
-        weighted = counts.join(vocab, on)
-    else:
-        vocab = vocabulary(term_counts(terms), docs, options, by).select(*on, "idf")
-        if not by and options.max_features <= _BROADCAST_VOCABULARY:
-            vocab = F.broadcast(vocab)
-        weighted = (
-            terms.join(vocab, on).groupBy(*keys, "term", "idf").agg(F.count(F.lit(1)).alias("tf"))
-        )
-    tf = F.log("tf") + 1 if options.sublinear_tf else F.col("tf").cast("double")
-    raw = weighted.select(*keys, "term", (tf * F.col("idf")).alias("raw"))
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(doc_id)))
-    return raw.select(*keys, "term", (F.col("raw") / norm).alias("w"))
+    return weigh(stage(term_counts(docs, options, doc_id, text, by), "counts"), options, doc_id, by)
 
 
 def mean_term_scores(weights: DataFrame, n_docs: Column) -> DataFrame:
@@ -142,8 +141,8 @@ def extract_new_keywords(
 ) -> DataFrame:
     """The best-scoring terms that are not known, not generic and long enough."""
     docs = valid_abstracts(corpus, text).select(doc_id, alpha_normalize(F.col(text)).alias(text))
-    n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    scored = mean_term_scores(tfidf(docs, options, doc_id, text), n_docs)
+    counts = stage(term_counts(docs, options, doc_id, text), "counts")
+    scored = mean_term_scores(weigh(counts, options, doc_id), corpus_size(counts).scalar())
     term = F.col("term")
     known = known_terms(keywords)
     eligible = (

@@ -13,7 +13,6 @@ from corpuslens.schema import require_columns
 UNKNOWN_JOURNAL = "Desconocida"
 DEFAULT_TYPE = "Article"
 OTHER_JOURNALS = "Otras revistas / conferencias"
-TOP_N_CHOICES = (5, 10, 15, 20)
 DOCUMENT_TYPES = ("conference", "periodical", "article")
 _JOURNAL_LABEL = 55
 _KPI_LABEL = 45
@@ -72,8 +71,8 @@ def trend_kpis(df: DataFrame) -> DataFrame:
 
 
 def _checked_top(n: int) -> int:
-    if n not in TOP_N_CHOICES:
-        raise ValueError(f"top n must be one of {TOP_N_CHOICES}, got {n}")
+    if n < 1:
+        raise ValueError(f"top n must be positive, got {n}")
     return n
 
 

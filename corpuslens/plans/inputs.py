@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslens.functions.text import word_tokens
-from corpuslens.operators.selection import clusterable, first_n
+from corpuslens.operators.selection import clusterable
 from corpuslens.storage import spread, work_path
 
 KEYWORDS = ("thatin", "ononst", "inoran", "orantion", "privacy")
 TREND_TYPES = ("AUTOMOBILE", "BUILDING", "MACHINERY")
 VECTOR_WIDTH = 8
+# Neighbouring ids that form one block to cluster.
+BLOCK_IDS = 100
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,7 +65,10 @@ def name_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as publications: order year, customer's nation as journal, segment as type."""
+    """Orders as publications: order year, customer's nation as journal, segment as type.
+
+    One year, one journal and one type are missing, as they are in exports.
+    """
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
@@ -71,9 +76,9 @@ def publications(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders.join(customer, orders.o_custkey == customer.c_custkey)
         .join(nation, customer.c_nationkey == nation.n_nationkey)
         .select(
-            F.year("o_orderdate").alias("year"),
-            F.col("n_name").alias("journal"),
-            F.col("c_mktsegment").alias("document_type"),
+            F.nullif(F.year("o_orderdate"), F.lit(1993)).alias("year"),
+            F.nullif(F.col("n_name"), F.lit("CANADA")).alias("journal"),
+            F.nullif(F.col("c_mktsegment"), F.lit("FURNITURE")).alias("document_type"),
         )
     )
 
@@ -108,10 +113,13 @@ def author_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first forty clusterable documents of every source: ``block, doc_id, text, title``."""
+    """Every clusterable document, in blocks of neighbouring ids: ``block, doc_id, text, title``.
+
+    The ids of a block span a fixed range, so its size is bounded whatever the corpus.
+    """
     articles = clusterable(document_articles(spark, sf_dir))
-    return first_n(articles, by="source").select(
-        F.col("source").alias("block"),
+    return articles.select(
+        F.expr(f"ord div {BLOCK_IDS}").alias("block"),
         F.col("ord").alias("doc_id"),
         F.col("abstract").alias("text"),
         "title",

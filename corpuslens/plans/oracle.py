@@ -6,10 +6,15 @@ import string
 from collections.abc import Sequence
 
 from corpuslens.functions.countries import SURNAME_COUNTRY, SURNAME_PATTERNS
-from corpuslens.functions.lexicon import DOMAIN_STOPWORDS, ENGLISH_STOPWORDS, GENERIC_STOPWORDS
+from corpuslens.functions.lexicon import (
+    CATEGORY_KEYWORDS,
+    DOMAIN_STOPWORDS,
+    ENGLISH_STOPWORDS,
+    GENERIC_STOPWORDS,
+)
 from corpuslens.operators.tfidf import known_terms
 from corpuslens.operators.trends import OTHER_JOURNALS
-from corpuslens.plans.inputs import KEYWORDS, TREND_TYPES, VECTOR_WIDTH
+from corpuslens.plans.inputs import BLOCK_IDS, KEYWORDS, TREND_TYPES, VECTOR_WIDTH
 
 _WORD = r"[\p{L}\p{M}\p{N}_]{2,}"
 
@@ -36,7 +41,7 @@ def _ngrams(tokens: str, n: int) -> str:
 # ---- keywords and terms
 
 _KEYWORD_HITS = """
-    (length(d.text) - length(replace(lower(d.text), k.keyword, ''))) // length(k.keyword)
+    (length(d.text) - length(replace(lower(d.text), lower(k.keyword), ''))) // length(k.keyword)
 """
 
 
@@ -51,13 +56,17 @@ def _frequency(keyword_table: str) -> str:
 
 _KNOWN = f"(SELECT unnest([{_items(KEYWORDS)}]) AS keyword)"
 _KEYWORD_FREQUENCY = _frequency(_KNOWN)
+_CATEGORY = _frequency(f"(SELECT unnest([{_items(CATEGORY_KEYWORDS)}]) AS keyword)")
 
 
-def _weights(source: str, text: str, stop: Sequence[str], min_df: int, cap: int) -> str:
+def _weights(
+    source: str, text: str, stop: Sequence[str], min_df: int, max_df: float, cap: int | None
+) -> str:
     """CTEs ending in ``weights(doc_id, term, w)`` for sublinear uni- and bigram TF-IDF."""
     tokens = _tokens(text)
     if stop:
         tokens = f"list_filter({tokens}, lambda t: t NOT IN ({_items(stop)}))"
+    order = f"ORDER BY cf DESC, term LIMIT {cap}" if cap else ""
     return f"""
     toks AS (SELECT doc_id, {tokens} AS t FROM {source}),
     grams AS (SELECT doc_id, unnest(list_concat(t, {_ngrams("t", 2)})) AS term FROM toks),
@@ -66,7 +75,7 @@ def _weights(source: str, text: str, stop: Sequence[str], min_df: int, cap: int)
     vocab AS (
       SELECT term, ln((n + 1)::DOUBLE / (df + 1)) + 1 AS idf FROM (
         SELECT term, count(*) AS df, sum(tf) AS cf FROM counts GROUP BY term), total
-      WHERE df >= {min_df} AND df <= 0.95::DOUBLE * n ORDER BY cf DESC, term LIMIT {cap}),
+      WHERE df >= {min_df} AND df <= {max_df}::DOUBLE * n {order}),
     raw AS (SELECT doc_id, term, (ln(tf) + 1) * idf AS r FROM counts JOIN vocab USING (term)),
     weights AS (
       SELECT doc_id, term, r / sqrt(sum(r * r) OVER (PARTITION BY doc_id)) AS w FROM raw)
@@ -77,7 +86,7 @@ _ALPHA = r"regexp_replace(lower(text), '[^a-zA-Z\s]', ' ', 'g')"
 
 _NEW_TERMS = f"""
     WITH docs AS (SELECT doc_id, {_ALPHA} AS text FROM documents WHERE trim(text) <> ''),
-    {_weights("docs", "text", ENGLISH_STOPWORDS, 2, 300)},
+    {_weights("docs", "text", ENGLISH_STOPWORDS, 2, 0.95, 300)},
     scores AS (SELECT term, sum(w) / (SELECT n FROM total) AS score FROM weights GROUP BY term)
     SELECT term, round_even(score, 5) AS tfidf_score FROM scores
     WHERE length(term) >= 4 AND NOT regexp_matches(term, '^[0-9 ]+$')
@@ -94,7 +103,7 @@ _GROUP_COMPARISON = f"""
 """
 
 _CORPUS_TFIDF = f"""
-    WITH {_weights("documents", "text", (), 1, 3000)}
+    WITH {_weights("documents", "text", (), 1, 1.0, None)}
     SELECT term, count(*) AS docs, round(sum(w), 6) AS total_weight FROM weights GROUP BY term
 """
 
@@ -115,6 +124,20 @@ _PREPROCESS = f"""
     SELECT doc_id, coalesce(array_to_string({_FILTERED}, ' '), '') AS preprocessed FROM documents
 """
 
+_LEMMATIZED = f"""
+    WITH plurals AS (SELECT list(DISTINCT w) AS known FROM (
+      SELECT unnest({_tokens("text")}) AS w FROM documents) WHERE length(w) > 3 AND w LIKE '%s'),
+    words AS (SELECT doc_id, unnest({_FILTERED}) AS t,
+      generate_subscripts({_FILTERED}, 1) AS pos FROM documents),
+    lemmas AS (SELECT unnest(known) AS t FROM plurals),
+    joined AS (SELECT doc_id, pos, CASE WHEN l.t IS NULL THEN w.t
+        ELSE left(w.t, length(w.t) - 1) END AS lemma
+      FROM words w LEFT JOIN lemmas l ON l.t = w.t)
+    SELECT d.doc_id, coalesce(string_agg(lemma, ' ' ORDER BY pos), '') AS preprocessed
+    FROM documents d LEFT JOIN joined j ON j.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
 _NGRAM_COUNTS = f"""
     WITH toks AS (SELECT {_tokens("text")} AS t FROM documents)
     SELECT ngram, count(*) AS n FROM (
@@ -133,8 +156,8 @@ _FOLDED = f"""
 _VALID = """
     SELECT lang, count(*) FILTER (trim(text) <> '') AS with_abstract,
            count(*) FILTER (trim(text) <> '') AS with_both,
-           nullif(count(*) FILTER (length(trim(text, chr(32) || chr(9) || chr(10) || chr(13)))
-             > 50), 0) AS clusterable
+           count(*) FILTER (length(trim(text, chr(32) || chr(9) || chr(10) || chr(13)))
+             > 50) AS clusterable
     FROM documents GROUP BY lang
 """
 
@@ -289,8 +312,11 @@ _COUNTRY_COUNTS = f"""
 # ---- trends
 
 _PUBLICATIONS = """
-    (SELECT year(o_orderdate)::INTEGER AS year, n_name AS journal, c_mktsegment AS document_type
-     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+    (SELECT year(o_orderdate)::INTEGER AS year,
+       CASE WHEN n_name = 'CANADA' THEN 'Desconocida' ELSE n_name END AS journal,
+       CASE WHEN c_mktsegment = 'FURNITURE' THEN 'Article' ELSE c_mktsegment END AS document_type
+     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+     WHERE year(o_orderdate) <> 1993)
 """
 _TYPES = _items([t.lower() for t in TREND_TYPES])
 _OF_TYPES = f"""
@@ -403,8 +429,7 @@ _PART_LABELS = _dedup_labels(_PARTS)
 # ---- corpus similarity
 
 _SIMILAR = f"""
-    WITH cleaned AS (
-      SELECT doc_id, coalesce(array_to_string({_FILTERED}, ' '), '') AS text FROM documents),
+    WITH cleaned AS (SELECT doc_id, preprocessed AS text FROM ({_LEMMATIZED})),
     toks AS (SELECT doc_id, unnest({_tokens("text")}) AS term FROM cleaned),
     tf AS (SELECT doc_id, term, count(*) AS tf FROM toks GROUP BY ALL),
     total AS (SELECT count(*) AS n FROM documents),
@@ -434,14 +459,13 @@ _TOP_SIMILAR = f"""
 
 _BLANKS = "chr(32) || chr(9) || chr(10) || chr(13)"
 _SELECTION = f"""
-    (SELECT source AS block, doc_id, text, source || ' ' || lang || ' ' || doc_id AS title
-     FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents
-           WHERE length(trim(text, {_BLANKS})) > 50) WHERE r <= 40)
-"""
-_EDGES = f"""
-    WITH sel AS {_SELECTION},
-    cleaned AS (SELECT block, doc_id, coalesce(array_to_string({_FILTERED}, ' '), '') AS text
-      FROM sel),
+    (SELECT doc_id // {BLOCK_IDS} AS block, doc_id, source || ' ' || lang || ' ' || doc_id AS title
+     FROM documents WHERE length(trim(text, {_BLANKS})) > 50)
+"""
+_DISTANCES = f"""
+    sel AS {_SELECTION},
+    cleaned AS (SELECT block, doc_id, preprocessed AS text
+      FROM sel JOIN ({_LEMMATIZED}) USING (doc_id)),
     toks AS (SELECT block, doc_id, {_tokens("text")} AS t FROM cleaned),
     grams AS (SELECT block, doc_id, unnest(list_concat(t, {_ngrams("t", 2)})) AS term FROM toks),
     counts AS (SELECT block, doc_id, term, count(*) AS tf FROM grams GROUP BY ALL),
@@ -452,16 +476,110 @@ _EDGES = f"""
       FROM terms JOIN total USING (block) WHERE df <= 0.95::DOUBLE * n),
     raw AS (SELECT block, doc_id, term, (ln(tf) + 1) * idf AS r
       FROM counts JOIN (SELECT * FROM vocab WHERE rank <= 3000) v USING (block, term)),
-    w AS (SELECT block, doc_id, term, r / sqrt(sum(r * r) OVER (PARTITION BY doc_id)) AS w
+    w AS (SELECT block, doc_id, term, r / sqrt(sum(r * r) OVER (PARTITION BY block, doc_id)) AS w
       FROM raw),
     cos AS (SELECT a.block, a.doc_id AS i, b.doc_id AS j, sum(a.w * b.w) AS c
       FROM w a JOIN w b ON a.block = b.block AND a.term = b.term AND a.doc_id < b.doc_id
-      GROUP BY ALL)
-    SELECT a.block, a.doc_id AS i, b.doc_id AS j,
-      round(greatest(0.0::DOUBLE, 1 - coalesce(c, 0.0)), 6)::DOUBLE AS d
-    FROM sel a JOIN sel b ON a.block = b.block AND a.doc_id < b.doc_id
-    LEFT JOIN cos ON cos.i = a.doc_id AND cos.j = b.doc_id
-"""
+      GROUP BY ALL),
+    dist AS (SELECT a.block, a.doc_id AS i, b.doc_id AS j,
+        round(greatest(0.0::DOUBLE, 1 - coalesce(c, 0.0)), 12)::DOUBLE AS d
+      FROM sel a JOIN sel b ON a.block = b.block AND a.doc_id < b.doc_id
+      LEFT JOIN cos ON cos.block = a.block AND cos.i = a.doc_id AND cos.j = b.doc_id)
+"""
+
+# One merge of every block and method per step of the recursion: s absorbs t, Lance-Williams gives
+# the distances of the others (v) to their union.
+_MERGES = f"""
+    {_DISTANCES},
+    state AS (
+      SELECT block, method, 0 AS k, i AS a, j AS b, d, 1::BIGINT AS na, 1::BIGINT AS nb
+      FROM dist, (VALUES ('ward'), ('complete'), ('average')) m(method)
+      UNION ALL
+      SELECT block, method, k + 1, lo, hi,
+        round(CASE WHEN NOT bool_or(touched) OR method = 'complete' THEN max(d)
+          WHEN method = 'average' THEN (max(ns) * max(d) FILTER (from_s)
+            + max(nt) * max(d) FILTER (NOT from_s)) / (max(ns) + max(nt))
+          ELSE sqrt(greatest(0.0::DOUBLE, ((max(nv) + max(ns)) * pow(max(d) FILTER (from_s), 2)
+            + (max(nv) + max(nt)) * pow(max(d) FILTER (NOT from_s), 2) - max(nv) * pow(max(h), 2))
+            / (max(ns) + max(nt) + max(nv)))) END, 12),
+        CASE WHEN bool_or(touched) AND lo = max(s) THEN max(ns) + max(nt) ELSE max(nlo) END,
+        CASE WHEN bool_or(touched) AND hi = max(s) THEN max(ns) + max(nt) ELSE max(nhi) END
+      FROM (SELECT *, least(x, y) AS lo, greatest(x, y) AS hi,
+          CASE WHEN x < y THEN nx ELSE ny END AS nlo, CASE WHEN x < y THEN ny ELSE nx END AS nhi
+        FROM (SELECT e.block, e.method, e.k, e.d, m.d AS h, m.a AS s, m.na AS ns, m.nb AS nt,
+            e.a IN (m.a, m.b) OR e.b IN (m.a, m.b) AS touched, m.a IN (e.a, e.b) AS from_s,
+            CASE WHEN e.a = m.b THEN m.a ELSE e.a END AS x,
+            CASE WHEN e.b = m.b THEN m.a ELSE e.b END AS y, e.na AS nx, e.nb AS ny,
+            CASE WHEN e.a IN (m.a, m.b) THEN e.nb ELSE e.na END AS nv
+          FROM state e JOIN (SELECT block, method, unnest(arg_min(
+              {{'a': a, 'b': b, 'd': d, 'na': na, 'nb': nb}}, (d, a, b)))
+            FROM state GROUP BY block, method) m USING (block, method)
+          WHERE NOT (e.a = m.a AND e.b = m.b)))
+      GROUP BY block, method, k, lo, hi),
+    merges AS (SELECT *, ns + nt AS size, count(*) OVER (PARTITION BY block, method) + 1 AS n,
+        row_number() OVER (PARTITION BY block, method ORDER BY round(height, 9), ns + nt, s) - 1
+          AS step
+      FROM (SELECT block, method, k, unnest(arg_min(
+          {{'s': a, 't': b, 'height': d, 'ns': na, 'nt': nb}}, (d, a, b)))
+        FROM state GROUP BY block, method, k)),
+    sides AS (
+      SELECT block, method, k, step, n, 'i' AS side, s AS id FROM merges
+      UNION ALL SELECT block, method, k, step, n, 'j', t FROM merges),
+    leaves AS (SELECT block, id, row_number() OVER (PARTITION BY block ORDER BY id) - 1 AS number
+      FROM (SELECT block, i AS id FROM dist UNION SELECT block, j FROM dist)),
+    numbered AS (SELECT x.*, coalesce(x.n + m.step, l.number) AS number
+      FROM sides x JOIN leaves l USING (block, id) ASOF LEFT JOIN merges m
+      ON m.block = x.block AND m.method = x.method AND m.s = x.id AND x.k > m.k),
+    parents AS (SELECT m.block, m.method, m.k, m.s, x.k AS up FROM merges m ASOF JOIN sides x
+      ON x.block = m.block AND x.method = m.method AND x.id = m.s AND m.k < x.k),
+    climb AS (
+      SELECT block, method, id AS leaf, min(k) AS k, id FROM sides GROUP BY ALL
+      UNION ALL
+      SELECT c.block, c.method, c.leaf, p.up, p.s FROM climb c JOIN parents p
+      ON p.block = c.block AND p.method = c.method AND p.k = c.k),
+    tree AS (SELECT c.block, c.method, c.leaf, m.k, m.step, m.s, m.height,
+        CASE WHEN c.id = m.s THEN 'i' ELSE 'j' END AS side
+      FROM climb c JOIN merges m USING (block, method, k)),
+    coph AS (SELECT x.block, x.method, least(x.leaf, y.leaf) AS i, greatest(x.leaf, y.leaf) AS j,
+        x.height FROM tree x JOIN tree y
+      ON x.block = y.block AND x.method = y.method AND x.k = y.k AND x.side < y.side),
+    scores AS (SELECT block, method, CASE WHEN var_pop(d) > 1e-9 AND var_pop(height) > 1e-9
+        THEN corr(d, height) END AS ccc
+      FROM coph JOIN dist USING (block, i, j) GROUP BY block, method),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY block ORDER BY round(ccc, 9) DESC NULLS LAST,
+        list_position(['ward', 'complete', 'average'], method)) = 1 AS is_best FROM scores)
+"""
+
+
+def _of_tree(select: str) -> str:
+    return f"WITH RECURSIVE {_MERGES} {select}"
+
+
+_LINKAGE = _of_tree("""
+    SELECT m.block, m.method, m.step, least(a.number, b.number) AS left,
+      greatest(a.number, b.number) AS right, round(m.height, 6) AS height, m.size
+    FROM merges m
+    JOIN numbered a ON a.block = m.block AND a.method = m.method AND a.k = m.k AND a.side = 'i'
+    JOIN numbered b ON b.block = m.block AND b.method = m.method AND b.k = m.k AND b.side = 'j'
+""")
+_CUT = _of_tree("""
+    SELECT block, method, leaf, coalesce(
+      arg_max(s, k) FILTER (height < 0.7::DOUBLE * top), leaf) AS cluster
+    FROM tree JOIN (SELECT block, method, max(height) AS top FROM merges GROUP BY ALL)
+    USING (block, method) GROUP BY block, method, leaf
+""")
+_LEAF_ORDER = _of_tree("""
+    SELECT block, method, leaf,
+      row_number() OVER (PARTITION BY block, method ORDER BY path) - 1 AS position
+    FROM (SELECT t.block, t.method, t.leaf, string_agg(
+        CASE WHEN x.number < y.number THEN '0' ELSE '1' END, '' ORDER BY t.step DESC) AS path
+      FROM tree t
+      JOIN numbered x ON x.block = t.block AND x.method = t.method AND x.k = t.k
+        AND x.side = t.side
+      JOIN numbered y ON y.block = t.block AND y.method = t.method AND y.k = t.k
+        AND y.side <> t.side
+      GROUP BY t.block, t.method, t.leaf)
+""")
 
 # ---- word weights
 
@@ -528,20 +646,6 @@ _WORD_WEIGHTS = f"""
 
 # ---- ingest
 
-_LEMMATIZED = f"""
-    WITH plurals AS (SELECT list(DISTINCT w) AS known FROM (
-      SELECT unnest({_tokens("text")}) AS w FROM documents) WHERE length(w) > 3 AND w LIKE '%s'),
-    words AS (SELECT doc_id, unnest({_FILTERED}) AS t,
-      generate_subscripts({_FILTERED}, 1) AS pos FROM documents),
-    lemmas AS (SELECT unnest(known) AS t FROM plurals),
-    joined AS (SELECT doc_id, pos, CASE WHEN l.t IS NULL THEN w.t
-        ELSE left(w.t, length(w.t) - 1) END AS lemma
-      FROM words w LEFT JOIN lemmas l ON l.t = w.t)
-    SELECT d.doc_id, coalesce(string_agg(lemma, ' ' ORDER BY pos), '') AS preprocessed
-    FROM documents d LEFT JOIN joined j ON j.doc_id = d.doc_id GROUP BY d.doc_id
-"""
-
-
 def _ingested(abstract: str, source: str, kind: str, journal: str) -> str:
     return f"""
     SELECT source || ' ' || lang || ' ' || doc_id AS title,
@@ -560,6 +664,7 @@ ORACLE_SQL: dict[str, str] = {
     "keyword_frequency": _KEYWORD_FREQUENCY,
     "new_terms_tfidf": _NEW_TERMS,
     "keyword_group_comparison": _GROUP_COMPARISON,
+    "category_keywords": _CATEGORY,
     "corpus_tfidf": _CORPUS_TFIDF,
     "clean_texts": f"SELECT doc_id, {_CLEAN} AS cleaned FROM documents",
     "preprocess_tokens": _PREPROCESS,
@@ -567,6 +672,8 @@ ORACLE_SQL: dict[str, str] = {
     "word_ngrams": _NGRAM_COUNTS,
     "folded_words": _FOLDED,
     "valid_abstracts": _VALID,
+    "min_rows": f"""
+        SELECT block, count(*) AS rows, count(*) >= 5 AS enough FROM {_SELECTION} GROUP BY block""",
     "label_truncate": _TRUNCATE,
     "first_n": f"SELECT ord, title FROM {_SELECTABLE} ORDER BY ord LIMIT 40",
     "seeded_sample": f"SELECT ord, title FROM {_SELECTABLE} ORDER BY md5('42:' || ord), ord LIMIT 40",
@@ -624,7 +731,20 @@ ORACLE_SQL: dict[str, str] = {
     "near_duplicate_pairs": f"WITH {_near_pairs(_PAGES)} SELECT a_id, b_id, score FROM near",
     "similarity_join": _SIMILAR,
     "top_similar": _TOP_SIMILAR,
-    "distance_edges": _EDGES,
+    "distance_edges": f"WITH {_DISTANCES} SELECT block, i, j, round(d, 6) AS d FROM dist",
+    "linkage": _LINKAGE,
+    "cophenetic_distances": _of_tree(
+        "SELECT block, method, i, j, round(height, 6) AS height FROM coph"
+    ),
+    "compare_methods": _of_tree("""
+        SELECT block, method, round(ccc, 6) AS ccc, CASE WHEN ccc >= 0.85 THEN 'Excelente'
+          WHEN ccc >= 0.75 THEN 'Bueno' WHEN ccc >= 0.65 THEN 'Moderado' ELSE 'Bajo' END AS band,
+          is_best FROM ranked"""),
+    "best_method": _of_tree(
+        "SELECT block, method, round(ccc, 6) AS ccc FROM ranked WHERE is_best"
+    ),
+    "cut_clusters": _CUT,
+    "leaf_order": _LEAF_ORDER,
     "cluster_labels": f"""
         SELECT block, doc_id, CASE WHEN length(title) > 45 THEN left(title, 45) || '…'
           ELSE title END AS label FROM {_SELECTION}""",

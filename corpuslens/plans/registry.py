@@ -65,8 +65,12 @@ def keyword_group_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def category_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keywords.keyword_frequency(inputs.documents(spark, sf_dir))
+
+
 def corpus_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = tfidf.tfidf(inputs.documents(spark, sf_dir), tfidf.CLUSTERING)
+    weights = tfidf.tfidf(inputs.documents(spark, sf_dir), tfidf.ALL_TERMS)
     return weights.groupBy("term").agg(
         F.count(F.lit(1)).alias("docs"), F.round(F.sum("w"), 6).alias("total_weight")
     )
@@ -117,16 +121,11 @@ def folded_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def valid_abstracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    articles = inputs.document_articles(spark, sf_dir)
-    counts = [
-        df.groupBy("lang").agg(F.count(F.lit(1)).alias(name))
-        for name, df in (
-            ("with_abstract", selection.valid_abstracts(articles)),
-            ("with_both", selection.valid_abstract_titles(articles)),
-            ("clusterable", selection.clusterable(articles)),
-        )
-    ]
-    return counts[0].join(counts[1], "lang", "left").join(counts[2], "lang", "left")
+    return selection.selection_counts(inputs.document_articles(spark, sf_dir), "lang")
+
+
+def min_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return selection.groups_with_min_rows(inputs.cluster_selection(spark, sf_dir), "block")
 
 
 def label_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,7 +219,7 @@ def sim_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vector",
         "wv",
     )
-    score = similarity.embedding_similarity(
+    score = similarity.word_vector_similarity(
         F.col("text_a"), F.col("text_b"), F.col("wv_a"), F.col("wv_b")
     )
     return pairs.select("a_id", "b_id", F.round(score, 6).alias("word_vectors"))
@@ -362,7 +361,8 @@ def near_duplicate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = preprocess.preprocess(inputs.documents(spark, sf_dir))
+    lemmas = inputs.plural_lemmas(spark, sf_dir)
+    texts = preprocess.preprocess(inputs.documents(spark, sf_dir), lemmas=lemmas)
     return _rounded(simjoin.similarity_join(texts, 0.8), "similarity")
 
 
@@ -373,14 +373,17 @@ def top_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- clustering
 
 
+def _distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    selected = inputs.cluster_selection(spark, sf_dir)
+    return clustering.cosine_distance_edges(selected, inputs.plural_lemmas(spark, sf_dir))
+
+
 def distance_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = clustering.cosine_distance_edges(inputs.cluster_selection(spark, sf_dir))
-    return _rounded(edges, "d")
+    return _rounded(_distances(spark, sf_dir), "d")
 
 
 def _tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    selected = inputs.cluster_selection(spark, sf_dir)
-    return clustering.merge_tree(clustering.cosine_distance_edges(selected))
+    return clustering.merge_tree(_distances(spark, sf_dir))
 
 
 def cluster_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -389,19 +392,19 @@ def cluster_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def linkage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clustering.linkage(_tree(spark, sf_dir))
+    return _rounded(clustering.linkage(_tree(spark, sf_dir)), "height")
 
 
 def cophenetic_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clustering.cophenetic_distances(_tree(spark, sf_dir))
+    return _rounded(clustering.cophenetic_distances(_tree(spark, sf_dir)), "height")
 
 
 def compare_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clustering.compare_methods(_tree(spark, sf_dir))
+    return _rounded(clustering.compare_methods(_tree(spark, sf_dir)), "ccc")
 
 
 def best_method(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clustering.best_method(_tree(spark, sf_dir))
+    return _rounded(clustering.best_method(_tree(spark, sf_dir)), "ccc")
 
 
 def cut_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -465,6 +468,7 @@ QUERIES: dict[str, Query] = {
         keyword_frequency,
         new_terms_tfidf,
         keyword_group_comparison,
+        category_keywords,
         corpus_tfidf,
         clean_texts,
         preprocess_tokens,
@@ -472,6 +476,7 @@ QUERIES: dict[str, Query] = {
         word_ngrams,
         folded_words,
         valid_abstracts,
+        min_rows,
         label_truncate,
         first_n,
         seeded_sample,

@@ -137,7 +137,7 @@ def test_selection(spark):
     assert sample == sorted(r.ord for r in selection.seeded_sample(df.repartition(7), 6).collect())
     assert len(sample) == 6 and selection.has_min_rows(df) and not selection.has_min_rows(df.limit(4))
     with pytest.raises(ValueError):
-        selection.first_n(df, 121)
+        selection.first_n(df, 0)
     with pytest.raises(MissingColumnsError):
         selection.clusterable(df.drop("title"))
     looked = selection.title_lookup(df, df.filter("ord = 4")).collect()
