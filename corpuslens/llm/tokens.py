@@ -9,8 +9,10 @@ import types
 
 import numpy as np
 
-#: Words whose ids a worker keeps; the older half goes when the newer is full.
+#: Words whose ids a worker keeps in a generation, of which there are two.
 CACHE_WORDS = 300_000
+_TOGETHER, _MARK = 4096, "\x01"
+_SIGNS = rb"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
 
 #: Holds a worker's encoders from task to task: code that comes by value has no module to keep them.
 _KEPT = "corpuslens_llm_encoders"
@@ -27,7 +29,10 @@ class Encoder:
 
     With ``by_word`` a word (a run of bytes but ASCII white space) is encoded once and its ids are
     kept: right for a tokenizer that drops white space and never joins what it parts, as the default
-    file does (it normalises by character, then splits into letters, digits and signs).
+    file does (it normalises by character, with lower case, then splits into letters, digits and
+    signs). For the same reason a word that ends in ASCII signs is its beginning, then the signs,
+    and ASCII letters may be lowered first. Unknown ones are encoded many at a time, with a mark
+    between them.
     """
 
     def __init__(self, path: str, by_word: bool):
@@ -35,26 +40,64 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._by_word = by_word
-        self._new: dict[bytes, bytes] = {}
-        self._old: dict[bytes, bytes] = {}
+        self._words = Generations(CACHE_WORDS)
+        self._parts = Generations(CACHE_WORDS)
+        self._mark = self._plain([_MARK])[0] if by_word else b""
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _plain(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(x.ids, "<u4").tobytes() for x in found]
 
+    def _marked(self, texts: list[str]) -> list[bytes]:
+        """Ids of short texts, encoded as one text where the mark can be told from them."""
+        if len(self._mark) != 4 or any(_MARK in t for t in texts):
+            return self._plain(texts)
+        ids = np.asarray(self._tokenizer.encode_batch_fast([f" {_MARK} ".join(texts)], add_special_tokens=False)[0].ids, "<u4")
+        at = np.flatnonzero(ids == np.frombuffer(self._mark, "<u4")[0])
+        if len(at) != len(texts) - 1:
+            return self._plain(texts)
+        raw, edges = ids.tobytes(), [-4, *(4 * at).tolist(), 4 * len(ids)]
+        return [raw[a + 4 : b] for a, b in zip(edges, edges[1:])]
+
+    def _learn(self, words: list[bytes]) -> None:
+        split = []
+        for w in words:
+            start = w.rstrip(_SIGNS)
+            if not start[-1:].isalnum() or b"<|" in w:  # the last character may go with the signs
+                start = w
+            split.append((start.lower() if start.isascii() else start, w[len(start) :]))
+        fresh = self._parts.missing({x for pair in split for x in pair if x})
+        parts = self._parts.now
+        for at in range(0, len(fresh), _TOGETHER):
+            some = fresh[at : at + _TOGETHER]
+            parts.update(zip(some, self._marked([x.decode() for x in some])))
+        parts[b""] = b""
+        self._words.now.update(zip(words, [parts[a] + parts[b] for a, b in split]))
+
     def ids(self, texts: Sequence[str | None]) -> list[bytes]:
         if not self._by_word:
-            return self._encode([t or "" for t in texts])
-        parts = [(t or "").encode().split() for t in texts]
-        if len(self._new) > CACHE_WORDS:
-            self._old, self._new = self._new, {}
-        known = self._new
-        fresh = set().union(*parts).difference(known)
-        for w in fresh.intersection(self._old):
-            known[w] = self._old[w]
-        unknown = [w for w in fresh if w not in known]
-        known.update(zip(unknown, self._encode([w.decode() for w in unknown])))
-        return [b"".join(map(known.__getitem__, p)) for p in parts]
+            return self._plain([t or "" for t in texts])
+        parted = [(t or "").encode().split() for t in texts]
+        self._learn(self._words.missing(set().union(*parted)))
+        known = self._words.now
+        return [b"".join(map(known.__getitem__, p)) for p in parted]
+
+
+class Generations:
+    """A table of bounded size: entries not asked for in a whole generation are dropped."""
+
+    def __init__(self, limit: int):
+        self.now: dict[bytes, bytes] = {}
+        self._limit, self._before = limit, {}
+
+    def missing(self, keys: set[bytes]) -> list[bytes]:
+        """Those of the keys that have no entry; the others' entries are in ``now``."""
+        if len(self.now) > self._limit:
+            self._before, self.now = self.now, {}
+        fresh = keys.difference(self.now)
+        again = {k: self._before[k] for k in fresh if k in self._before}
+        self.now.update(again)
+        return [k for k in fresh if k not in again]
 
 
 def encoder(path: str, by_word: bool = True) -> Encoder:
