@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslens.functions.lexicon import ENGLISH_STOPWORDS
@@ -136,5 +136,5 @@ def word_weights(
     heaviest = (
         entries.filter(F.col("count") > 0).orderBy(F.desc("count"), "word").limit(max_words)
     )
-    top = heaviest.agg(F.max("count")).scalar()
-    return heaviest.withColumn("weight", F.col("count") / top)
+    # A window over at most ``max_words`` rows.
+    return heaviest.withColumn("weight", F.col("count") / F.max("count").over(Window.partitionBy()))

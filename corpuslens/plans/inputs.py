@@ -14,6 +14,9 @@ TREND_TYPES = ("AUTOMOBILE", "BUILDING", "MACHINERY")
 VECTOR_WIDTH = 8
 # Neighbouring ids that form one block to cluster.
 BLOCK_IDS = 100
+# What the BibTeX export adds around an abstract.
+DEEP_HEAD = "{" * 12 + "deep" + "}" * 12 + " "
+AT_LINE = "\n@handle of an author"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +67,21 @@ def name_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.join(second, "a_id").select("a_id", "b_id", "text_a", "text_b")
 
 
+def part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names as short texts: ``doc_id, text``."""
+    part = table(spark, sf_dir, "part")
+    return part.select(F.col("p_partkey").alias("doc_id"), F.col("p_name").alias("text"))
+
+
+def part_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An embedding for every part, the vectors taken by turns: ``doc_id, vector``."""
+    vectors = table(spark, sf_dir, "embeddings")
+    turn = F.pmod(F.col("doc_id"), vectors.agg(F.count(F.lit(1))).scalar())
+    return part_names(spark, sf_dir).select("doc_id", turn.alias("vec_id")).join(vectors, "vec_id").select(
+        "doc_id", F.col("embedding").alias("vector")
+    )
+
+
 def publications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as publications: order year, customer's nation as journal, segment as type.
 
@@ -90,13 +108,9 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A vector for every distinct token of the documents, read off the token's MD5 digest."""
-    tokens = (
-        documents(spark, sf_dir)
-        .select(F.explode(word_tokens(F.col("text"))).alias("token"))
-        .distinct()
-    )
+def word_vectors(texts: DataFrame) -> DataFrame:
+    """A vector for every distinct token of the texts, read off the token's MD5 digest."""
+    tokens = texts.select(F.explode(word_tokens(F.col("text"))).alias("token")).distinct()
     digest = F.md5("token")
     parts = [
         (F.conv(F.substring(digest, 1 + 4 * i, 4), 16, 10).cast("double") / 65535 - 0.5)
@@ -145,15 +159,22 @@ def part_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select(F.col("p_partkey").alias("ord"), F.col("p_name").alias("title"))
 
 
-def _export_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with the fields of a bibliographic export, all of them text."""
+def _export_fields(spark: SparkSession, sf_dir: str, part: int | None = None) -> DataFrame:
+    """Documents with the fields of a bibliographic export, all of them text.
+
+    With ``part``, only one of three parts of the documents, in order, titled by their own heads.
+    """
     docs = table(spark, sf_dir, "documents")
     number = F.col("doc_id").cast("string")
     year = (F.lit(1990) + F.col("doc_id") % 30).cast("string")
     kind = F.col("doc_id") % 4
-    return spread(
+    title = F.concat_ws(" ", "source", "lang", number)
+    if part is not None:
+        docs = docs.filter(F.col("doc_id") % 3 == part).orderBy("doc_id")
+        title = F.regexp_replace(F.left("text", F.lit(60)), r"\s+", " ")
+    fields = (
         docs.select(
-            F.concat_ws(" ", "source", "lang", number).alias("title"),
+            title.alias("title"),
             F.concat(F.initcap("lang"), F.lit(", A.; "), "source").alias("authors"),
             F.concat("lang", F.lit("; "), "source").alias("keywords"),
             F.col("text").alias("abstract"),
@@ -168,12 +189,13 @@ def _export_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(kind == 1, "Conference").when(kind == 2, "Periodical").alias("kind"),
         )
     )
+    return spread(fields) if part is None else fields
 
 
-def csv_export(spark: SparkSession, sf_dir: str) -> str:
+def csv_export(spark: SparkSession, sf_dir: str, part: int | None = None) -> str:
     """Write the documents as a CSV export and return its path."""
     path = work_path(spark, "export.csv")
-    _export_fields(spark, sf_dir).select(
+    _export_fields(spark, sf_dir, part).select(
         "title",
         F.col("authors").alias("contributors"),
         F.col("keywords").alias("subjects"),
@@ -187,27 +209,32 @@ def csv_export(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def bibtex_export(spark: SparkSession, sf_dir: str) -> str:
-    """Write the documents as BibTeX entries and return the path."""
+def bibtex_export(spark: SparkSession, sf_dir: str, part: int | None = None) -> str:
+    """Write the documents as BibTeX entries and return the path.
+
+    Abstracts hold deeply nested braces and a line that starts with ``@``; keywords are joined
+    from parts.
+    """
     path = work_path(spark, "export.bib")
-    fields = {
+    listed = F.split("keywords", "; ")
+    braced = {
         "title": F.col("title"),
         "author": F.replace("authors", F.lit("; "), F.lit(" and ")),
-        "keywords": F.replace("keywords", F.lit("; "), F.lit(", ")),
-        "abstract": F.col("abstract"),
+        "abstract": F.concat(F.lit(DEEP_HEAD), "abstract", F.lit(AT_LINE)),
         "journal": F.col("journal"),
         "year": F.col("year"),
         "doi": F.col("doi"),
         "url": F.col("url"),
     }
-    lines = [F.concat(F.lit(f"  {n} = {{"), v, F.lit("}")) for n, v in fields.items()]
-    entry = F.concat(F.lit("@article{key,\n"), F.concat_ws(",\n", *lines), F.lit("\n}\n"))
-    _export_fields(spark, sf_dir).select(entry.alias("value")).write.text(path)
+    lines = [F.concat(F.lit(f"  {n} = {{"), v, F.lit("}")) for n, v in braced.items()]
+    joined = F.concat(F.lit('  keywords = "'), listed[0], F.lit('" # ", " # {'), listed[1], F.lit("}"))
+    entry = F.concat(F.lit("@article{key,\n"), F.concat_ws(",\n", joined, *lines), F.lit("\n}\n"))
+    _export_fields(spark, sf_dir, part).select(entry.alias("value")).write.text(path)
     return path
 
 
-def ris_export(spark: SparkSession, sf_dir: str) -> str:
-    """Write the documents as RIS references and return the path."""
+def ris_export(spark: SparkSession, sf_dir: str, part: int | None = None) -> str:
+    """Write the documents as RIS references, abstracts wrapped, and return the path."""
     path = work_path(spark, "export.ris")
 
     def line(tag: str, value: Column | str) -> Column:
@@ -226,8 +253,17 @@ def ris_export(spark: SparkSession, sf_dir: str) -> str:
         line("DO", "doi"),
         line("DB", "journal"),
         line("UR", "url"),
-        line("AB", F.regexp_replace("abstract", r"\s*\n\s*", " ")),
+        line("AB", "abstract"),
         F.lit("ER  - "),
     )
-    _export_fields(spark, sf_dir).select(reference.alias("value")).write.text(path)
+    _export_fields(spark, sf_dir, part).select(reference.alias("value")).write.text(path)
     return path
+
+
+def mixed_exports(spark: SparkSession, sf_dir: str) -> list[tuple[str, str]]:
+    """Three exports that hold all documents between them: CSV, BibTeX and RIS, with their labels."""
+    return [
+        ("EBSCO", csv_export(spark, sf_dir, 0)),
+        ("ACM", bibtex_export(spark, sf_dir, 1)),
+        ("SCOPUS", ris_export(spark, sf_dir, 2)),
+    ]

@@ -14,7 +14,14 @@ from corpuslens.functions.lexicon import (
 )
 from corpuslens.operators.tfidf import known_terms
 from corpuslens.operators.trends import OTHER_JOURNALS
-from corpuslens.plans.inputs import BLOCK_IDS, KEYWORDS, TREND_TYPES, VECTOR_WIDTH
+from corpuslens.plans.inputs import (
+    AT_LINE,
+    BLOCK_IDS,
+    DEEP_HEAD,
+    KEYWORDS,
+    TREND_TYPES,
+    VECTOR_WIDTH,
+)
 
 _WORD = r"[\p{L}\p{M}\p{N}_]{2,}"
 
@@ -191,15 +198,21 @@ def _lcs(a: str, b: str) -> str:
     return f"list_reduce(range(1, length({a}) + 1), lambda prev, i: {step}, {zero})[-1]"
 
 
-_INDEL = f"""
-    SELECT a_id, b_id, round(CASE WHEN length(a) + length(b) = 0 THEN 1.0
-      ELSE 2.0 * {_lcs("a", "b")} / (length(a) + length(b)) END, 6)::DOUBLE AS levenshtein
-    FROM (SELECT p.p_partkey AS a_id, q.p_partkey AS b_id, lower(p.p_name) AS a,
-                 lower(q.p_name) AS b
-          FROM part p JOIN part q ON q.p_partkey = p.p_partkey + 1)
+_NAMES = "(SELECT p_partkey AS doc_id, p_name AS text FROM part)"
+_NAME_PAIRS = """
+    (SELECT a.p_partkey AS a_id, b.p_partkey AS b_id, a.p_name AS text_a, b.p_name AS text_b
+     FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1)
 """
 
 
+def _indel(pairs: str) -> str:
+    return f"""
+    SELECT a_id, b_id, (CASE WHEN length(a) + length(b) = 0 THEN 1.0
+      ELSE 2.0 * {_lcs("a", "b")} / (length(a) + length(b)) END)::DOUBLE AS levenshtein
+    FROM (SELECT a_id, b_id, lower(text_a) AS a, lower(text_b) AS b FROM {pairs})
+    """
+
+
 def _wordset(text: str) -> str:
     return (
         rf"list_distinct(list_filter(regexp_split_to_array(lower({text}), '\s+'), "
@@ -207,18 +220,20 @@ def _wordset(text: str) -> str:
     )
 
 
-_JACCARD = f"""
-    SELECT a_id, b_id, round(CASE WHEN len(a) + len(b) = 0 THEN 0.0 ELSE
-      len(list_intersect(a, b))::DOUBLE / (len(a) + len(b) - len(list_intersect(a, b))) END, 6)
+def _jaccard(pairs: str) -> str:
+    return f"""
+    SELECT a_id, b_id, (CASE WHEN len(a) + len(b) = 0 THEN 0.0 ELSE
+      len(list_intersect(a, b))::DOUBLE / (len(a) + len(b) - len(list_intersect(a, b))) END)::DOUBLE
       AS jaccard
-    FROM (SELECT a_id, b_id, {_wordset("text_a")} AS a, {_wordset("text_b")} AS b
-          FROM {_DOC_PAIRS})
-"""
+    FROM (SELECT a_id, b_id, {_wordset("text_a")} AS a, {_wordset("text_b")} AS b FROM {pairs})
+    """
+
 
-_PAIR_TFIDF = f"""
-    WITH toks AS (SELECT doc_id, unnest({_tokens("text")}) AS term FROM documents),
+def _pair_tfidf(docs: str, pairs: str) -> str:
+    return f"""
+    WITH toks AS (SELECT doc_id, unnest({_tokens("text")}) AS term FROM {docs}),
     tf AS (SELECT doc_id, term, count(*)::DOUBLE AS n FROM toks GROUP BY ALL),
-    ids AS (SELECT a_id, b_id FROM {_DOC_PAIRS}),
+    ids AS (SELECT a_id, b_id FROM {pairs}),
     sides AS (
       SELECT a_id, term, n AS x, 0.0::DOUBLE AS y FROM ids JOIN tf ON doc_id = a_id
       UNION ALL SELECT a_id, term, 0.0::DOUBLE, n FROM ids JOIN tf ON doc_id = b_id),
@@ -228,11 +243,11 @@ _PAIR_TFIDF = f"""
         AS k FROM terms) GROUP BY a_id),
     scored AS (SELECT *, CASE WHEN aa > 0 AND bb > 0 THEN dot / sqrt(aa * bb) ELSE 0.0 END AS c
       FROM sums)
-    SELECT a_id, b_id, round(coalesce(c, 0.0), 6)::DOUBLE AS cosine,
-      round(CASE WHEN c IS NULL THEN 0.0 WHEN aa > 0 AND bb > 0
-        THEN 1 / (1 + sqrt(greatest(0.0, 2 - 2 * c))) ELSE 0.5 END, 6)::DOUBLE AS euclidean
+    SELECT a_id, b_id, coalesce(c, 0.0)::DOUBLE AS cosine,
+      (CASE WHEN c IS NULL THEN 0.0 WHEN aa > 0 AND bb > 0
+        THEN 1 / (1 + sqrt(greatest(0.0, 2 - 2 * c))) ELSE 0.5 END)::DOUBLE AS euclidean
     FROM ids LEFT JOIN scored USING (a_id)
-"""
+    """
 
 
 def _cos(a: str, b: str) -> str:
@@ -250,15 +265,45 @@ _DIGEST = ", ".join(
     for i in range(VECTOR_WIDTH)
 )
 _MEANS = ", ".join(f"sum(v[{i + 1}] * n)" for i in range(VECTOR_WIDTH))
-_WORD_VECTORS = f"""
-    WITH toks AS (SELECT doc_id, unnest({_tokens("text")}) AS token FROM documents),
+
+
+def _word_vectors(docs: str, pairs: str) -> str:
+    return f"""
+    WITH toks AS (SELECT doc_id, unnest({_tokens("text")}) AS token FROM {docs}),
     counts AS (SELECT doc_id, token, count(*)::DOUBLE AS n FROM toks GROUP BY ALL),
     vectors AS (SELECT token, [{_DIGEST}] AS v FROM (SELECT DISTINCT token FROM counts)),
     docs AS (SELECT doc_id, [{_MEANS}] AS v FROM counts JOIN vectors USING (token)
              GROUP BY doc_id)
-    SELECT p.a_id, p.b_id, round(coalesce({_cos("a.v", "b.v")}, 0.0), 6)::DOUBLE AS word_vectors
-    FROM {_DOC_PAIRS} p LEFT JOIN docs a ON a.doc_id = p.a_id LEFT JOIN docs b ON b.doc_id = p.b_id
-"""
+    SELECT p.a_id, p.b_id, coalesce({_cos("a.v", "b.v")}, 0.0)::DOUBLE AS word_vectors
+    FROM {pairs} p LEFT JOIN docs a ON a.doc_id = p.a_id LEFT JOIN docs b ON b.doc_id = p.b_id
+    """
+
+
+def _measured(sql: str, *names: str) -> str:
+    columns = ", ".join(f"round({n}, 6) AS {n}" for n in names)
+    return f"SELECT a_id, b_id, {columns} FROM ({sql})"
+
+
+_REPORT_PARTS = (
+    _indel(_NAME_PAIRS),
+    _jaccard(_NAME_PAIRS),
+    _pair_tfidf(_NAMES, _NAME_PAIRS),
+    f"""
+    WITH vectors AS (SELECT p_partkey AS id, embedding AS v FROM part JOIN embeddings
+      ON vec_id = p_partkey % (SELECT count(*) FROM embeddings))
+    SELECT p.a_id, p.b_id, CASE WHEN trim(text_a) = '' OR trim(text_b) = '' THEN 0.0
+      ELSE {_cos("a.v", "b.v")}::DOUBLE END AS embedding
+    FROM {_NAME_PAIRS} p LEFT JOIN vectors a ON a.id = p.a_id LEFT JOIN vectors b ON b.id = p.b_id
+    """,
+    _word_vectors(_NAMES, _NAME_PAIRS),
+)
+_MEASURES = ("levenshtein", "jaccard", "cosine", "euclidean", "embedding", "word_vectors")
+_REPORT = (
+    "SELECT a_id, b_id, "
+    + ", ".join(f"round_even({m} * 100, 2) AS {m}" for m in _MEASURES)
+    + f" FROM ({_REPORT_PARTS[0]}) "
+    + " ".join(f"JOIN ({p}) USING (a_id, b_id)" for p in _REPORT_PARTS[1:])
+)
 
 # ---- term precision
 
@@ -657,9 +702,38 @@ def _ingested(abstract: str, source: str, kind: str, journal: str) -> str:
     """
 
 
-_ONE_LINE = r"trim(regexp_replace(text, '\s*\n\s*', ' ', 'g'))"
+def _one_line(text: str) -> str:
+    return rf"trim(regexp_replace({text}, '\s*\n\s*', ' ', 'g'))"
+
+
+_DEEP = _one_line(f"{_quote(DEEP_HEAD)} || text || {_quote(AT_LINE)}")
 _KIND = "CASE doc_id % 4 WHEN 1 THEN 'Conference' WHEN 2 THEN 'Periodical' ELSE 'Article' END"
 
+
+# All documents, a third in each format, in the order of the files.
+_MIXED = rf"""
+    (SELECT *, row_number() OVER (ORDER BY doc_id % 3, doc_id) AS ord FROM (
+      SELECT *, trim(regexp_replace(left(text, 60), '\s+', ' ', 'g')) AS title FROM documents)
+     WHERE title <> '')
+"""
+
+
+def _unified(wanted: str) -> str:
+    return f"""
+    SELECT CASE doc_id % 3 WHEN 0 THEN {_KIND} WHEN 1 THEN 'Article' ELSE 'JOUR' END
+        AS document_type, title, upper(left(lang, 1)) || substr(lang, 2) || ', A.; ' || source AS authors,
+      lang || '; ' || source AS keywords,
+      CASE doc_id % 3 WHEN 0 THEN trim(text, {_BLANKS}) WHEN 1 THEN {_DEEP}
+        ELSE {_one_line("text")} END AS abstract,
+      CASE WHEN doc_id % 3 < 2 THEN source END AS journal, (1990 + doc_id % 30)::INTEGER AS year,
+      '10.1/' || doc_id AS doi,
+      CASE doc_id % 3 WHEN 0 THEN 'EBSCO' WHEN 1 THEN 'ACM' ELSE source END AS source,
+      'http://x/' || doc_id AS url, NULL::VARCHAR AS "publisherLocations"
+    FROM {_MIXED} JOIN (SELECT ord, is_duplicate FROM ({_dedup_labels(_MIXED)})) USING (ord)
+    WHERE {wanted}
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
     "keyword_frequency": _KEYWORD_FREQUENCY,
     "new_terms_tfidf": _NEW_TERMS,
@@ -683,11 +757,12 @@ ORACLE_SQL: dict[str, str] = {
     "display_rename": f"""
         SELECT keyword AS palabra, doc_freq AS articulos, abs_freq AS ocurrencias,
                pct AS porcentaje FROM ({_KEYWORD_FREQUENCY})""",
-    "sim_indel": _INDEL,
-    "sim_jaccard": _JACCARD,
-    "sim_tfidf": _PAIR_TFIDF,
+    "sim_indel": _measured(_indel(_NAME_PAIRS), "levenshtein"),
+    "sim_jaccard": _measured(_jaccard(_DOC_PAIRS), "jaccard"),
+    "sim_tfidf": _measured(_pair_tfidf("documents", _DOC_PAIRS), "cosine", "euclidean"),
     "sim_embedding": _EMBEDDING,
-    "sim_word_vectors": _WORD_VECTORS,
+    "sim_word_vectors": _measured(_word_vectors("documents", _DOC_PAIRS), "word_vectors"),
+    "similarity_report": _REPORT,
     "term_precision": _PRECISION,
     "precision_summary": _PRECISION_SUMMARY,
     "infer_country": _country(f"(SELECT DISTINCT word AS surname FROM {_WORDS})"),
@@ -751,6 +826,11 @@ ORACLE_SQL: dict[str, str] = {
     "word_weights": _WORD_WEIGHTS,
     "lemmatized": _LEMMATIZED,
     "csv_ingest": _ingested(f"trim(text, {_BLANKS})", "'EBSCO'", _KIND, "source"),
-    "bibtex_ingest": _ingested(_ONE_LINE, "'EBSCO'", "'Article'", "source"),
-    "ris_ingest": _ingested(_ONE_LINE, "source", "'JOUR'", "NULL::VARCHAR"),
+    "bibtex_ingest": _ingested(_DEEP, "'EBSCO'", "'Article'", "source"),
+    "ris_ingest": _ingested(_one_line("text"), "source", "'JOUR'", "NULL::VARCHAR"),
+    "unified_articles": _unified("NOT is_duplicate"),
+    "removed_articles": _unified("is_duplicate"),
+    "unified_sources": f"""
+        SELECT document_type, count(*) AS articles, count(*) AS positions
+        FROM ({_unified("NOT is_duplicate")}) GROUP BY document_type""",
 }

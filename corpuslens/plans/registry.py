@@ -33,7 +33,10 @@ from corpuslens.operators import (
     wordcloud,
 )
 from corpuslens.plans import inputs
+from corpuslens.plans.unify import unify
 from corpuslens.sources.exports import read_exports
+from corpuslens.sources.unified import read_unified
+from corpuslens.storage import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -206,9 +209,8 @@ def sim_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _document_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.mean_word_vectors(
-        inputs.documents(spark, sf_dir), inputs.word_vectors(spark, sf_dir)
-    )
+    docs = inputs.documents(spark, sf_dir)
+    return similarity.mean_word_vectors(docs, inputs.word_vectors(docs))
 
 
 def sim_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,16 +228,12 @@ def sim_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similarity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = inputs.part_names(spark, sf_dir)
     pairs = similarity.attach_vectors(
-        inputs.document_pairs(spark, sf_dir),
-        inputs.table(spark, sf_dir, "embeddings"),
-        "vec_id",
-        "embedding",
-        "emb",
-    )
-    pairs = similarity.attach_vectors(
-        pairs, _document_word_vectors(spark, sf_dir), "doc_id", "vector", "wv"
+        inputs.name_pairs(spark, sf_dir), inputs.part_vectors(spark, sf_dir), "doc_id", "vector", "emb"
     )
+    means = similarity.mean_word_vectors(names, inputs.word_vectors(names))
+    pairs = similarity.attach_vectors(pairs, means, "doc_id", "vector", "wv")
     return similarity.similarity_report(pairs)
 
 
@@ -462,6 +460,31 @@ def ris_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _articles(spark, inputs.ris_export(spark, sf_dir))
 
 
+# ---- pipeline
+
+
+def _unified(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Paths of the unified table and of the removed articles of a run over three exports."""
+    paths = work_path(spark, "unified"), work_path(spark, "removed")
+    unify(spark, inputs.mixed_exports(spark, sf_dir), *paths)
+    return paths
+
+
+def unified_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_unified(spark, _unified(spark, sf_dir)[0]).drop("ord")
+
+
+def removed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_unified(spark, _unified(spark, sf_dir)[1]).drop("ord")
+
+
+def unified_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    there, missing = _unified(spark, sf_dir)[0], work_path(spark, "missing")
+    both = read_unified(spark, missing).unionByName(read_unified(spark, there))
+    counts = F.count(F.lit(1)).alias("articles"), F.count_distinct("ord").alias("positions")
+    return both.groupBy("document_type").agg(*counts)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -526,5 +549,8 @@ QUERIES: dict[str, Query] = {
         csv_ingest,
         bibtex_ingest,
         ris_ingest,
+        unified_articles,
+        removed_articles,
+        unified_sources,
     )
 }

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 import tempfile
 import uuid
 
@@ -9,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
+_workspace: ContextVar[str | None] = ContextVar("workspace", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,7 +33,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses, ending in ``name``."""
-    return f"{shared_dir(spark)}/{uuid.uuid4().hex}-{name}"
+    return f"{_workspace.get() or shared_dir(spark)}/{uuid.uuid4().hex}-{name}"
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[str]:
+    """A folder for what is staged inside the block, deleted at its end.
+
+    For jobs that write their result elsewhere; a DataFrame that leaves the block must not read it.
+    """
+    folder = work_path(spark, "workspace")
+    token = _workspace.set(folder)
+    try:
+        yield folder
+    finally:
+        _workspace.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

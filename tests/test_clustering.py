@@ -135,3 +135,16 @@ def test_block_guard(spark):
         clustering.check_block_sizes(docs)
     with pytest.raises(ValueError):
         clustering.merge_tree(spark.createDataFrame([], SCHEMA), ("single",))
+
+
+def test_article_in_two_blocks(spark):
+    """A block's distances don't depend on what other blocks hold."""
+    texts = ["red fish blue fish", "red bird blue bird", "one fish two fish", "green bird one cat"]
+    docs = [("x", i, t) for i, t in enumerate(texts)]
+    more = docs + [("y", i, t) for i, t in enumerate(texts[:3])] + [("y", 9, "red red red cat")]
+    found = []
+    for rows in (docs, more):
+        df = spark.createDataFrame(rows, "block string, doc_id bigint, text string")
+        edges = clustering.cosine_distance_edges(df).filter("block = 'x'").collect()
+        found.append(sorted((r.i, r.j, r.d) for r in edges))
+    assert len(found[0]) == 6 and found[0] == found[1]

@@ -74,7 +74,7 @@ def test_timeline_merges_long_names_and_bucket(articles):
     per_type = trends.per_type_trend(articles, 5).filter("document_type = 'conference'").collect()
     assert {(r.year, r.journal_display): r["count"] for r in per_type} == cells
     with pytest.raises(ValueError):
-        trends.top_journals(conference, 7)
+        trends.top_journals(conference, 0)
 
 
 def test_type_kpis_and_tables(articles):
