@@ -12,6 +12,8 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _WINDOW_MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
 #: Texts are worked on in slices of about so many bytes, so that memory stays small.
 SLICE_BYTES = 4 << 20
+#: Words that are hashed at a time.
+CHUNK_WORDS = 1 << 15
 
 #: Byte classes: True separates words.
 SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -92,25 +94,27 @@ class Words:
         self.starts, self.ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
         self.doc = np.searchsorted(at, self.starts, "right") - 1
         self.counts = np.bincount(self.doc, minlength=last - first).astype(np.int64)
-        solid_bytes = self.bytes[solid]
-        self._values = _BYTE[solid_bytes if fold is None else fold[solid_bytes]]
+        self._solid = self.bytes[solid] if fold is None else fold[self.bytes[solid]]
         self.sizes = self.ends - self.starts
-        self._at = np.cumsum(self.sizes) - self.sizes
-        self._place = np.arange(len(solid_bytes)) - np.repeat(self._at, self.sizes)
-        if len(self._values):
-            self._values = self._values * _power(int(self.sizes.max()))[self._place]
         self.hashes = self.prefix_hashes(None)
 
     def prefix_hashes(self, length: int | None) -> np.ndarray:
-        """64-bit hash of each word, or of its first ``length`` bytes."""
-        if not len(self.starts):
-            return np.empty(0, np.uint64)
-        values = self._values
-        sizes = self.sizes
-        if length is not None:
-            values = np.where(self._place < length, values, np.uint64(0))
-            sizes = np.minimum(sizes, length)
-        return mix(np.add.reduceat(values, self._at) + sizes.astype(np.uint64) * _MULTIPLIER)
+        """64-bit hash of each word, or of its first ``length`` bytes; some words at a time."""
+        out = np.empty(len(self.sizes), np.uint64)
+        begin = 0
+        for first in range(0, len(out), CHUNK_WORDS):
+            sizes = self.sizes[first : first + CHUNK_WORDS]
+            at = np.cumsum(sizes) - sizes
+            n = int(at[-1] + sizes[-1])
+            place = np.arange(n) - np.repeat(at, sizes)
+            values = _BYTE[self._solid[begin : begin + n]] * _power(int(sizes.max()))[place]
+            if length is not None:
+                values[place >= length] = 0
+                sizes = np.minimum(sizes, length)
+            total = np.add.reduceat(values, at) + sizes.astype(np.uint64) * _MULTIPLIER
+            out[first : first + len(sizes)] = mix(total)
+            begin += n
+        return out
 
 
 def windows(hashes: np.ndarray, doc: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
