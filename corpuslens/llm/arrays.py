@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _WINDOW_MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
 #: Texts are worked on in slices of about so many bytes, so that memory stays small.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Words that are hashed at a time.
 CHUNK_WORDS = 1 << 15
 
