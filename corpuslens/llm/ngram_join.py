@@ -220,10 +220,11 @@ def near_duplicates(
     has a null one. Repeated rows are copies of each other; other columns are not read.
 
     Copies are taken as one text first. Band and row counts are chosen for ``recall`` at
-    ``similarity``; texts of one band hash share a bucket. Each text takes its fullest bucket for its
-    home, homes are cut into cells of bounded size, and every two cells that some bucket joins are
-    compared as a whole on full n-gram sets, once. So no pair of texts is ever a row, whatever the
-    size of a group: a task returns counts, and a forest of the links for the components.
+    ``similarity``; texts of one band hash share a bucket. A text's home is the fullest bucket of any
+    text that it shares a bucket with, which gathers a group of near copies in one home; homes are
+    cut into cells of bounded size, and every two cells that some bucket joins are compared as a
+    whole on full n-gram sets, once. So no pair of texts is ever a row, whatever the size of a group:
+    a task returns counts, and a forest of the links for the components.
     """
     banding = Banding(width, *bands_for(similarity, recall))
     given = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
@@ -244,10 +245,18 @@ def near_duplicates(
         "ngram-buckets",
     )
     members = stage(entries.join(buckets, "bucket").select("text_key", "bucket", "n", "grams"), "ngram-members")
-    homes = members.groupBy("text_key").agg(F.max(F.struct("n", "grams", "bucket")).alias("h"))
-    cells_of = F.greatest(F.ceil(F.col("h.n") / CELL_TEXTS), F.ceil(F.col("h.grams") / CELL_NGRAMS))
-    cell = F.xxhash64("h.bucket", F.pmod(F.xxhash64("text_key", F.lit(1)), cells_of))
-    placed = stage(homes.select("text_key", cell.alias("cell")), "ngram-cells")
+    fullest = F.max(F.struct("n", "grams", "bucket")).alias("h")
+    tops = members.groupBy("text_key").agg(fullest)
+    near = stage(members.join(tops, "text_key").groupBy("bucket").agg(F.max("h").alias("h")), "ngram-near")
+    homes = stage(
+        members.select("text_key", "bucket").join(near, "bucket").groupBy("text_key").agg(F.max("h").alias("h"))
+        .select("text_key", F.col("h.bucket").alias("home")).join(texts.select("text_key", "n_ngrams"), "text_key"),
+        "ngram-homes",
+    )
+    cells_of = F.greatest(F.ceil(F.count(F.lit(1)) / CELL_TEXTS), F.ceil(F.sum("n_ngrams") / CELL_NGRAMS))
+    cells = stage(homes.groupBy("home").agg(cells_of.alias("cells")), "ngram-home-cells")
+    cell = F.xxhash64("home", F.pmod(F.xxhash64("text_key", F.lit(1)), F.col("cells")))
+    placed = stage(homes.join(cells, "home").select("text_key", cell.alias("cell")), "ngram-cells")
     in_bucket = stage(members.join(placed, "text_key").select("bucket", "cell").distinct(), "ngram-bucket-cells")
     other = in_bucket.select("bucket", F.col("cell").alias("second"))
     pairs = stage(
