@@ -1,4 +1,4 @@
-"""Registered queries of the subpackage, with their SQL where SQL can express them."""
+"""Registered queries of the subpackage."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslens.llm.fingerprints import fingerprint_neighbours
-from corpuslens.llm.licenses import TEMPLATES, THRESHOLD, scan_licenses, template_bigrams
+from corpuslens.llm.licenses import scan_licenses
 from corpuslens.llm.mixing import mix_sources
 from corpuslens.llm.ngram_join import near_duplicates
 from corpuslens.llm.packing import pack_documents
@@ -74,7 +74,7 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_repeats(_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_words", "n_removed", "kept_sha256", "spans")
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -89,18 +89,3 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_urls": op9_urls,
     "op10_substrings": op10_substrings,
 }
-
-_URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-
-LLM_SQL: dict[str, str] = {
-    "op9_urls": rf"""
-        WITH rules(verdict, rule, host, path) AS (VALUES
-            ('block', 'net/', 'net', '/'), ('allow', 'example.net/en/', 'example.net', '/en/'),
-            ('block', 'example.com/de/', 'example.com', '/de/'), ('allow', 'org/fr/', 'org', '/fr/')),
-        parts AS (SELECT page_id, coalesce(translate(regexp_extract(url, '{_URL_PARTS}', 1),
-                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
-            coalesce(regexp_extract(url, '{_URL_PARTS}', 2), '') AS path FROM pages),
-        best AS (SELECT p.*, (SELECT max_by({{'rule': r.rule, 'verdict': r.verdict}}, length(r.rule)) FROM rules r
-            WHERE (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)) AS b FROM parts p)
-        SELECT page_id, host, path, b.rule AS rule, coalesce(b.verdict, 'allow') AS verdict FROM best""",
-}

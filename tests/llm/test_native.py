@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from verify import _rows, difference, duck
 
 from corpuslens.llm import fingerprints, licenses, mixing, quality
-from corpuslens.llm.queries import LLM_QUERIES, LLM_SQL, URL_RULES
+from corpuslens.llm.oracle import LLM_SQL
+from corpuslens.llm.queries import LLM_QUERIES, URL_RULES
 from corpuslens.llm.urls import judge_urls
 
 
