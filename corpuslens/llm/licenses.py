@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -35,9 +37,19 @@ def template_bigrams(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(found, found[1:])))
 
 
-def normalised(text: Column) -> Column:
+def anchor_bigrams(grams: Sequence[str], threshold: float) -> list[str]:
+    """Bigrams one of which every segment has that reaches the threshold with this template.
+
+    A Dice of t with a template of n bigrams takes at least t n / (2 - t) shared ones, so of any
+    bigrams that outnumber the rest one is shared; the longest are taken, as they are rarest.
+    """
+    needed = math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9)
+    return sorted(grams, key=lambda g: (-len(g), g))[: len(grams) - needed + 1]
+
+
+def normalised(text: Column, separators: str = _SEPARATORS) -> Column:
     """Lower case; every run of characters but letters, digits and line feeds becomes one space."""
-    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _SEPARATORS, " ")
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), separators, " ")
 
 
 def segments(text: Column) -> Column:
@@ -76,7 +88,8 @@ def scan_licenses(
     Each line, paragraph and the whole text is held against each template: Dice is twice the shared
     word bigrams over the sum of both counts. A Dice of t needs counts within t/(2-t) and (2-t)/t of
     each other, so only segments whose word count lies in that range of some template are split
-    into bigrams, and only templates in range of the segment's bigrams are compared.
+    into bigrams, and only templates in range of the segment's bigrams are compared. Texts without
+    any of the templates' anchor bigrams can't reach the threshold and are not split at all.
 
     ``licenses`` lists all templates that reach ``threshold``, with Dice and segment, best first,
     ties by name; the other three columns describe the first and are null without one. A null or
@@ -129,7 +142,15 @@ def scan_licenses(
             ).otherwise(compare(F.array().cast("array<string>"))),
         )
 
-    hits = F.filter(F.flatten(F.transform(in_range, against)), lambda h: h["dice"] >= threshold)
+    compared = F.filter(F.flatten(F.transform(in_range, against)), lambda h: h["dice"] >= threshold)
+    anchors = sorted({a for g in grams.values() for a in anchor_bigrams(g, threshold)})
+    anchored = let(
+        normalised(F.col(text), r"[^\p{L}\p{N}]+"),
+        lambda t: reduce(lambda x, y: x | y, [F.contains(t, F.lit(a)) for a in anchors]),
+    )
+    hits = F.when(anchored, compared).otherwise(
+        F.array().cast("array<struct<dice: double, name: string, segment: string>>")
+    )
     first_of = F.array_sort(
         hits,
         lambda a, b: F.when(a["dice"] > b["dice"], -1)
