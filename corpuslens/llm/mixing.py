@@ -56,18 +56,18 @@ def schedule(slots: Mapping[str, int]) -> list[tuple[str, int, int, int]]:
 
 
 def _phases(blocks: Mapping[str, int], weights: Mapping[str, float], grain: int) -> list[tuple]:
-    """Rows ``(phase, source, first block, blocks, first slot, period, weight slots, base)``.
+    """Rows ``(phase, source, first block, blocks, first slot, period, slots of the source in it)``.
 
-    A phase lasts until the first of its sources has no whole period of blocks left or has run out;
-    the others go on at the same weights to each other.
+    A phase lasts until the first of its sources has run out of blocks; the others go on at the same
+    weights to each other. So there are at most as many phases as sources.
     """
     left, used, rows, slot = dict(blocks), dict.fromkeys(blocks, 0), [], 0
     left = {s: n for s, n in left.items() if n}
     while left:
         slots = rounded({s: weights[s] for s in left}, grain)
         period = sum(slots.values())
-        # Slots until the first source runs out: where its last block stands in the plan.
         plan = schedule(slots)
+        # Slots until a source runs out: where its last block stands in the plan.
         place = {(s, i): t for t, (s, _, _, i) in enumerate(plan)}
         ends = {
             s: (left[s] - 1) // slots[s] * period + place[s, (left[s] - 1) % slots[s]] + 1 for s in left
@@ -87,14 +87,13 @@ def _phases(blocks: Mapping[str, int], weights: Mapping[str, float], grain: int)
     return rows
 
 
-def source_blocks(docs: DataFrame, order: list[Column], source: str, block: int) -> DataFrame:
+def source_blocks(docs: DataFrame, order: list[Column], source: str) -> DataFrame:
     """``docs`` with ``_index``, its place among its source's rows in the given order, from 0.
 
     The rows are put in order once, by ranges of source and order, and written with their place in
     their range; the places before a range come from one count for each range and source. So no
     source, however large, meets in one task.
     """
-    # A range can't part rows of equal keys, so the order ends with keys that tell rows apart.
     ranged = docs.repartitionByRange(F.col(source), *order).sortWithinPartitions(F.col(source), *order)
     placed = stage(ranged.withColumn("_at", F.monotonically_increasing_id()), "mixing")
     part = F.shiftright("_at", 33)
@@ -139,11 +138,12 @@ def mix_sources(
     """
     made = ("weight", "block", "release", "deadline", "slot", "offset")
     names = [c for c in (docs.columns if carry is None else carry) if c not in made]
+    comparable = [c for c in names if "map<" not in dict(docs.dtypes)[c]]
     rows = docs.select(*names, *[F.col(c).alias(f"_{c}") for c in (doc_id, source)])
     key, by = f"_{doc_id}", f"_{source}"
-    rows = rows.withColumn("_mixed", F.xxhash64(key)).withColumn("_tie", F.xxhash64(*names))
+    rows = rows.withColumn("_mixed", F.xxhash64(key)).withColumn("_tie", F.xxhash64(key, *comparable))
     order = [F.col("_mixed"), F.col(key), F.col("_tie")]
-    indexed = source_blocks(rows, order, by, block).withColumn(
+    indexed = source_blocks(rows, order, by).withColumn(
         "block", F.expr(f"_index div {block}")
     )
     session = docs.sparkSession
