@@ -88,7 +88,8 @@ def cut_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(tokenizer, by_word), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            texts, names = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            names = batch.column("doc_id").to_pylist()
             for first, last in in_groups(texts):
                 rows: list[tuple] = []
                 for name, ids in zip(names[first:last], encode.ids(texts[first:last])):

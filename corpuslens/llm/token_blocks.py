@@ -22,7 +22,12 @@ FILE_DOCS = 2048
 
 _MAGIC = b"PFORIDS1"
 _HEAD = "<8sQQQQ"  # magic, documents, ids, ids to a block, blocks
-_BLOCK_HEAD = np.dtype([("least", "<u4"), ("width", "u1"), ("exceptions", "<u2")])
+_BLOCK_HEAD = "<IBH"  # least id, width, exceptions
+
+
+def _room(width: int) -> tuple[str, int]:
+    """A big-endian integer type that holds ``width`` bits, and its own bits."""
+    return (">u2", 16) if width <= 16 else (">u4", 32)
 
 
 def encode_blocks(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE) -> list[bytes]:
@@ -46,31 +51,45 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCE
     for width in np.unique(widths):
         for chosen in np.array_split(which := np.flatnonzero(widths == width), -(-len(which) // 256)):
             part = rest[chosen]
-            bits = (part[:, :, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
-            packed = np.packbits(bits.astype(np.uint8).reshape(len(chosen), -1), axis=1, bitorder="little")
+            kind, room = _room(int(width))
+            bits = np.unpackbits(part.astype(kind).view(np.uint8).ravel()).reshape(len(chosen), block, room)
+            packed = np.packbits(bits[:, :, room - width :].reshape(len(chosen), -1), axis=1)
             high = part >> np.uint32(width) if width < 32 else np.zeros_like(part)
             for k, b in enumerate(chosen):
                 size = min(block, n - b * block)
                 places = np.flatnonzero(high[k, :size])
-                head = np.array([(least[b], width, len(places))], _BLOCK_HEAD).tobytes()
+                head = struct.pack(_BLOCK_HEAD, least[b], width, len(places))
                 body = packed[k, : (size * int(width) + 7) // 8].tobytes()
                 out[b] = head + body + places.astype("<u2").tobytes() + high[k, places].astype("<u4").tobytes()
     return out
 
 
-def decode_block(data: memoryview, size: int) -> np.ndarray:
-    """The ``size`` ids of one block."""
-    head = np.frombuffer(data, _BLOCK_HEAD, 1)[0]
-    width, many = int(head["width"]), int(head["exceptions"])
-    at = _BLOCK_HEAD.itemsize
-    used = (size * width + 7) // 8
-    bits = np.unpackbits(np.frombuffer(data, np.uint8, used, at), count=size * width, bitorder="little")
-    weights = np.left_shift(np.uint32(1), np.arange(width, dtype=np.uint32))
-    low = bits.reshape(size, width).astype(np.uint32) @ weights if width else np.zeros(size, np.uint32)
-    places = np.frombuffer(data, "<u2", many, at + used)
-    high = np.frombuffer(data, "<u4", many, at + used + 2 * many)
-    low[places] |= high << np.uint32(width)
-    return low + head["least"]
+def decode_blocks(blocks: list[memoryview], sizes: list[int]) -> list[np.ndarray]:
+    """The ids of each block; blocks of one width and size are unpacked together."""
+    alike: dict[tuple[int, int], list[int]] = {}
+    heads = [struct.unpack_from(_BLOCK_HEAD, b) for b in blocks]
+    for i, ((_, width, _), size) in enumerate(zip(heads, sizes)):
+        alike.setdefault((width, size), []).append(i)
+    out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(blocks)
+    at = struct.calcsize(_BLOCK_HEAD)
+    for (width, size), members in alike.items():
+        kind, room = _room(width)
+        used = (size * width + 7) // 8
+        for some in (members[k : k + 256] for k in range(0, len(members), 256)):
+            packed = np.frombuffer(b"".join(blocks[i][at : at + used] for i in some), np.uint8)
+            bits = np.zeros((len(some), size, room), np.uint8)
+            if width:
+                unpacked = np.unpackbits(packed.reshape(len(some), used), axis=1, count=size * width)
+                bits[:, :, room - width :] = unpacked.reshape(len(some), size, width)
+            low = np.packbits(bits.ravel()).view(kind).reshape(len(some), size).astype(np.uint32)
+            for row, i in zip(low, some):
+                least, _, many = heads[i]
+                if many:
+                    places = np.frombuffer(blocks[i], "<u2", many, at + used)
+                    high = np.frombuffer(blocks[i], "<u4", many, at + used + 2 * many)
+                    row[places] |= high << np.uint32(width)
+                out[i] = row + np.uint32(least)
+    return out
 
 
 def _file_bytes(doc_ids: list[int | None], counts: list[int], ids: np.ndarray, block: int) -> bytes:
@@ -100,10 +119,10 @@ class TokenFile:
 
     def ids(self, start: int, end: int) -> np.ndarray:
         first, last = start // self.block, -(-end // self.block)
-        found = [
-            decode_block(self._body[self._starts[b] : self._starts[b + 1]], min(self.block, self.n_ids - b * self.block))
-            for b in range(first, last)
-        ]
+        found = decode_blocks(
+            [self._body[self._starts[b] : self._starts[b + 1]] for b in range(first, last)],
+            [min(self.block, self.n_ids - b * self.block) for b in range(first, last)],
+        )
         joined = np.concatenate(found) if found else np.empty(0, np.uint32)
         return joined[start - first * self.block : end - first * self.block]
 
@@ -141,7 +160,7 @@ def write_token_files(
         end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         doc_ids, counts, parts = [], [], []
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
             doc_ids += batch.column("doc_id").to_pylist()
             for first, last in in_groups(texts):
                 found = [x + end for x in encode.ids(texts[first:last])]

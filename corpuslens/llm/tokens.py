@@ -9,8 +9,8 @@ import types
 
 import numpy as np
 
-#: Words whose ids a worker keeps in a generation, of which there are two.
-CACHE_WORDS = 300_000
+#: Words, and parts of words, whose ids a worker keeps in a generation, of which there are two.
+CACHE_WORDS, CACHE_PARTS = 300_000, 500_000
 _TOGETHER, _MARK = 4096, "\x01"
 _SIGNS = rb"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
 
@@ -41,7 +41,7 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._by_word = by_word
         self._words = Generations(CACHE_WORDS)
-        self._parts = Generations(CACHE_WORDS)
+        self._parts = Generations(CACHE_PARTS)
         self._mark = self._plain([_MARK])[0] if by_word else b""
 
     def _plain(self, texts: list[str]) -> list[bytes]:
@@ -74,10 +74,11 @@ class Encoder:
         parts[b""] = b""
         self._words.now.update(zip(words, [parts[a] + parts[b] for a, b in split]))
 
-    def ids(self, texts: Sequence[str | None]) -> list[bytes]:
+    def ids(self, texts: Sequence[bytes | None]) -> list[bytes]:
+        """Ids of each UTF-8 text; null is empty."""
         if not self._by_word:
-            return self._plain([t or "" for t in texts])
-        parted = [(t or "").encode().split() for t in texts]
+            return self._plain([(t or b"").decode() for t in texts])
+        parted = [(t or b"").split() for t in texts]
         self._learn(self._words.missing(set().union(*parted)))
         known = self._words.now
         return [b"".join(map(known.__getitem__, p)) for p in parted]
@@ -109,11 +110,11 @@ def encoder(path: str, by_word: bool = True) -> Encoder:
     return kept[path, by_word]
 
 
-def in_groups(texts: Sequence[str | None], limit: int = 1 << 20):
-    """Ranges of texts of about ``limit`` characters together."""
+def in_groups(texts: Sequence[bytes | None], limit: int = 1 << 20):
+    """Ranges of texts of about ``limit`` bytes together."""
     first, size = 0, 0
     for i, t in enumerate(texts):
-        size += len(t or "")
+        size += len(t or b"")
         if size >= limit:
             yield first, i + 1
             first, size = i + 1, 0
