@@ -36,6 +36,21 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{_workspace.get() or shared_dir(spark)}/{uuid.uuid4().hex}-{name}"
 
 
+@contextmanager
+def working_in(folder: str) -> Iterator[None]:
+    """Stage what the block stages in this folder."""
+    token = _workspace.set(folder)
+    try:
+        yield
+    finally:
+        _workspace.reset(token)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def workspace(spark: SparkSession) -> Iterator[str]:
     """A folder for what is staged inside the block, deleted at its end.
@@ -43,13 +58,11 @@ def workspace(spark: SparkSession) -> Iterator[str]:
     For jobs that write their result elsewhere; a DataFrame that leaves the block must not read it.
     """
     folder = work_path(spark, "workspace")
-    token = _workspace.set(folder)
     try:
-        yield folder
+        with working_in(folder):
+            yield folder
     finally:
-        _workspace.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(spark, folder)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
