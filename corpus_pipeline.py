@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,25 +13,53 @@ from corpuslens.llm.ngram_join import one_of_each
 from corpuslens.llm.packing import pack_documents
 from corpuslens.llm.substrings import cut_repeats
 from corpuslens.llm.toxicity import score_toxicity, train
-from corpuslens.storage import stage
+from corpuslens.storage import delete_folder, stage, work_path, working_in
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Folder of the working tables of the stage that ran last, by the application it ran in.
+_folders: dict[str, str] = {}
 
+
+def _in_own_folder(function: Stage) -> Stage:
+    """The stage with its working tables in a folder, deleted when the next stage begins.
+
+    A stage's result is stored before the next one reads it, so by then nothing needs them. The
+    first stage deletes nothing, as the last one's result may still be read.
+    """
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        application = spark.sparkContext.applicationId
+        before = _folders.pop(application, None)
+        if before and function.__name__ != STAGES[0][0]:
+            delete_folder(spark, before)
+        _folders[application] = folder = work_path(spark, f"stage-{function.__name__}")
+        with working_in(folder):
+            return function(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@_in_own_folder
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the machine, fitted on the labels, does not predict toxic."""
     machine = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score_toxicity(docs, machine).filter("predicted = 0").select(*docs.columns)
 
 
+@_in_own_folder
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the least id of each class of near duplicates."""
     return one_of_each(docs)
 
 
+@_in_own_folder
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the words of passages that start earlier."""
     return cut_repeats(docs)
 
 
+@_in_own_folder
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, stored in the order of the mix."""
     mixed = mix_sources(docs)
@@ -38,12 +67,13 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
 
 
+@_in_own_folder
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences: one row for each piece of a document, with its place."""
     return pack_documents(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("toxicity", toxicity),
     ("ngram_join", ngram_join),
     ("substring_dedup", substring_dedup),
