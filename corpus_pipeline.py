@@ -69,8 +69,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_in_own_folder
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences: one row for each piece of a document, with its place."""
-    return pack_documents(docs)
+    """Sequences in the order of the mix: one row for each piece of a document, with its place."""
+    return pack_documents(docs, in_stored_order=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 import zlib
 
@@ -12,11 +12,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuslens.llm.mixing import source_blocks
 from corpuslens.llm.tokens import encoder, in_groups, tokenizer_path
 from corpuslens.storage import stage
 
 #: Pieces that are packed together, in one task; each such group leaves at most a few open sequences.
 GROUP_PIECES = 16_384
+#: The same where a stored order is followed: a sequence's pieces come from so many neighbours.
+ORDERED_PIECES = 2_048
+#: Columns of a stored row's place.
+PLACE = ("_part", "_file", "_row")
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -76,14 +81,15 @@ def best_fit(lengths: np.ndarray, capacities: Capacities = Capacities()) -> tupl
 
 def cut_pieces(
     docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 0, with_ids: bool = False,
-    doc_id: str = "doc_id", text: str = "text", by_word: bool = True,
+    doc_id: str = "doc_id", text: str = "text", by_word: bool = True, carry: Sequence[str] = (),
 ) -> DataFrame:
     """Pieces of all documents: ``doc_id, piece, start, length, ids_crc32``, and ``ids`` on request.
 
     A document is its text's ids, then ``end_id``; null text is empty. Only documents of more than
-    ``length`` ids are cut. Other columns are not read; repeated rows give repeated pieces.
+    ``length`` ids are cut. Repeated rows give repeated pieces. Of the other
+    columns only those of ``carry``, which are bigint, are read and repeated for each piece.
     """
-    schema = _PIECES + ", ids binary" * with_ids
+    schema = _PIECES + ", ids binary" * with_ids + "".join(f", `{c}` bigint" for c in carry)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(tokenizer, by_word), np.array([end_id], "<u4").tobytes()
@@ -92,48 +98,98 @@ def cut_pieces(
             names = batch.column("doc_id").to_pylist()
             for first, last in in_groups(texts):
                 rows: list[tuple] = []
-                for name, ids in zip(names[first:last], encode.ids(texts[first:last])):
+                origins: list[int] = []
+                for at_row, name, ids in zip(range(first, last), names[first:last], encode.ids(texts[first:last])):
                     ids += end
                     for k, at in enumerate(range(0, len(ids), 4 * length)):
                         part = ids[at : at + 4 * length]
                         rows.append((name, k, at // 4, len(part) // 4, zlib.crc32(part), part))
+                        origins.append(at_row)
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()][: 5 + with_ids]
                 heads = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids]
                 arrays = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
-                yield pa.RecordBatch.from_arrays(arrays, names=heads)
+                arrays += [batch.column(c).take(pa.array(origins, pa.int64())) for c in carry]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*heads, *carry])
 
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, schema)
+    columns = [F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), *carry]
+    return docs.select(*columns).mapInArrow(cut, schema)
 
 
-def pack_pieces(pieces: DataFrame, capacities: Capacities = Capacities()) -> DataFrame:
+def with_place(docs: DataFrame) -> DataFrame:
+    """``docs``, read from a table that one write stored, with the columns of PLACE.
+
+    Parquet promises no order when it is read, so a row's place is taken from where it is stored: the
+    number of the writer's part, of the part's file, and the row's index in the file.
+    """
+    name = F.col("_metadata.file_name")
+    return docs.select(
+        "*",
+        F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("bigint").alias(PLACE[0]),
+        F.regexp_extract(name, r"-c(\d+)\.", 1).try_cast("bigint").alias(PLACE[1]),
+        F.col("_metadata.row_index").alias(PLACE[2]),
+    )
+
+
+def in_order_of_openers(bins: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """``bins`` numbered anew by the place of the piece that opened each."""
+    opened = bins[offsets == 0]
+    number = np.empty(len(opened), np.int64)
+    number[opened] = np.arange(len(opened))
+    return number[bins]
+
+
+def pack_pieces(
+    pieces: DataFrame, capacities: Capacities = Capacities(), order: Sequence[str] = (),
+    ordered_pieces: int = ORDERED_PIECES,
+) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; they must be a stored table, as it is read twice.
 
     Pieces are dealt by hash into groups of about GROUP_PIECES, whatever documents they are of, and
     each group is packed by best_fit. A group wastes little more than one sequence.
+
+    With the columns ``order``, which are dropped, pieces are put in that order and groups are runs of
+    about ``ordered_pieces`` of them. Sequences are numbered by group, then by the place of the
+    piece that opened them, so they follow the order to within a group.
     """
-    groups = max(1, -(-pieces.count() // GROUP_PIECES))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
+    number = pieces.count()
+    groups = max(1, -(-number // (ordered_pieces if order else GROUP_PIECES)))
+    kept = [f for f in pieces.schema.fields if f.name not in order]
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    by = ["_index"] if order else ["doc_id", "piece"]
 
     def pack(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["doc_id", "piece"], kind="stable", na_position="first").reset_index(drop=True)
+        part = part.sort_values(by, kind="stable", na_position="first").reset_index(drop=True)
         bins, offsets = best_fit(part["length"].to_numpy(), capacities)
-        return part.drop(columns="_group").assign(sequence_id=bins + (int(part["_group"].iloc[0]) << 32), offset=offsets)
-
-    group = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups))
-    return (
-        pieces.withColumn("_group", group)
-        .groupBy("_group")
-        .applyInPandas(lambda part: pack(part), f"{fields}, sequence_id bigint, offset bigint")
+        if order:
+            bins = in_order_of_openers(bins, offsets)
+        sequence = bins + (int(part["_group"].iloc[0]) << 32)
+        return part.drop(columns=["_group", "_index"], errors="ignore").assign(sequence_id=sequence, offset=offsets)
+
+    if order:
+        places = [F.col(c) for c in (*order, "piece")]
+        dealt = source_blocks(pieces.withColumn("_all", F.lit(0)), places, "_all").drop("_all", *order)
+        dealt = dealt.withColumn("_group", F.expr(f"_index * {groups} div {max(1, number)}"))
+    else:
+        group = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups))
+        dealt = pieces.withColumn("_group", group)
+    return dealt.groupBy("_group").applyInPandas(
+        lambda part: pack(part), f"{fields}, sequence_id bigint, offset bigint"
     )
 
 
 def pack_documents(
     docs: DataFrame, tokenizer: str | None = None, capacities: Capacities = Capacities(),
-    end_id: int = 0, with_ids: bool = False,
+    end_id: int = 0, with_ids: bool = False, in_stored_order: bool = False,
 ) -> DataFrame:
-    """Pack whole documents; one row for each piece. An empty table gives no rows."""
-    pieces = cut_pieces(docs, tokenizer or tokenizer_path(), capacities.tokens, end_id, with_ids)
-    return pack_pieces(stage(pieces, "pieces"), capacities)
+    """Pack whole documents; one row for each piece. An empty table gives no rows.
+
+    ``in_stored_order`` asks for sequences in the order in which the rows of ``docs``, a table just
+    read, are stored.
+    """
+    carry = PLACE if in_stored_order else ()
+    placed = with_place(docs) if in_stored_order else docs
+    pieces = cut_pieces(placed, tokenizer or tokenizer_path(), capacities.tokens, end_id, with_ids, carry=carry)
+    return pack_pieces(stage(pieces, "pieces"), capacities, carry)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

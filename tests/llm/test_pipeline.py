@@ -1,8 +1,11 @@
+from collections import Counter
+
 import __spark_entry__ as contract
-from brute import DATA, near_classes, odd_rows, read, repeats, table
+from brute import DATA, near_classes, odd_rows, prose, read, repeats, table
 from test_arrays_and_joins import check_packing
 
 import corpus_pipeline
+from corpuslens.llm.mixing import mix_sources
 from corpuslens.storage import stage
 
 
@@ -43,3 +46,23 @@ def test_odd_and_empty_tables(spark):
         for name, function in corpus_pipeline.STAGES:
             docs = stage(function(spark, docs, f"{DATA}/sf0.001"), name)
         assert (docs.count() > 0) == bool(rows)
+
+
+def test_packing_follows_the_mix(spark):
+    # Sources lie one behind the other; the hot one holds a third of the rows.
+    names = ["hot"] * 6 + list("abcdefghijkl")
+    rows = [(i, names[i // 200], f"{prose(5 + i * 7919 % 400, i)}") for i in range(3600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    mixed = stage(corpus_pipeline.mixing(spark, docs, ""), "mixed")
+    out = corpus_pipeline.packing(spark, mixed, "").collect()
+    assert check_packing(out, [(d, t) for d, _, t in rows])[0] == len({r.sequence_id for r in out})
+    slot = {r.doc_id: r.slot for r in mix_sources(docs).collect()}
+    order = sorted(slot, key=slot.get)
+    ids = {s: i for i, s in enumerate(sorted({r.sequence_id for r in out}))}
+    first = {r.doc_id: ids[r.sequence_id] for r in out if r.piece == 0}
+    source = {d: s for d, s, _ in rows}
+    for part in (8, 4, 2):
+        early = [d for d in first if first[d] < len(ids) // part]
+        wanted = Counter(source[d] for d in order[: len(early)])
+        found = Counter(source[d] for d in early)
+        assert all(abs(found[s] - wanted[s]) < 0.06 * len(early) for s in set(source.values()))
