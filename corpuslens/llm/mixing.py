@@ -2,23 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from array import array
+from collections.abc import Iterator, Mapping
 from fractions import Fraction
 import heapq
+from itertools import islice
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpuslens.storage import stage
+from corpuslens.storage import stage, work_path
 
 #: Documents to a block.
 BLOCK = 8
-#: Weights are rounded to multiples of 1/GRAIN; a schedule repeats after GRAIN slots.
-GRAIN = 1024
+#: Rows of the plan that the driver holds before it writes them.
+_PLAN_ROWS = 1 << 18
+_PLAN = "_label string, block bigint, slot bigint, _early bigint, _late bigint, weight double"
+_LAST = (1 << 62) - 1
 
 
-def rounded(weights: Mapping[str, float], grain: int = GRAIN) -> dict[str, int]:
+def exact(weights: Mapping[str, float]) -> dict[str, int]:
+    """Integers in the proportions of the weights, unrounded."""
+    parts = {s: Fraction(w) for s, w in weights.items()}
+    common = math.lcm(*(p.denominator for p in parts.values()))
+    return {s: int(p * common) for s, p in parts.items()}
+
+
+def rounded(weights: Mapping[str, float], grain: int) -> dict[str, int]:
     """Slots out of ``grain`` for each source, at least one each, by largest remainders."""
     names = sorted(weights)
     grain = max(grain, len(names))
@@ -31,60 +43,82 @@ def rounded(weights: Mapping[str, float], grain: int = GRAIN) -> dict[str, int]:
     return slots
 
 
-def schedule(slots: Mapping[str, int]) -> list[tuple[str, int, int, int]]:
-    """One period as ``(source, release, deadline, index)`` for each slot in turn.
+def steps(shares: Mapping[str, int]) -> Iterator[tuple[str, int, int, int]]:
+    """``(source, release, deadline, index)`` for each slot in turn, without end.
 
-    Block i of a source of weight w = slots/period is released at floor(i/w) and due at
-    ceil((i+1)/w). Of the released blocks the one with the earliest deadline is taken, ties by
-    source. As the weights add up to one, every block meets its deadline, so at no time is a source
-    a whole block ahead of or behind its weight.
+    Block i of a source of weight w = share/total is released at floor(i/w) and due at ceil((i+1)/w).
+    Of the released blocks the one with the earliest deadline is taken, ties by source. As the weights
+    add up to one, every block meets its deadline, so at no time is a source a whole block ahead of or
+    behind its weight.
     """
-    period = sum(slots.values())
-    waiting = [(0, s, 0) for s in sorted(slots)]
-    heapq.heapify(waiting)
+    total = sum(shares.values())
+    waiting = [(0, s, 0) for s in sorted(shares)]
     ready: list[tuple[int, str, int, int]] = []
-    plan = []
-    for now in range(period):
+    now = 0
+    while True:
         while waiting and waiting[0][0] <= now:
             release, s, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(i + 1) * period // slots[s]), s, i, release))
+            heapq.heappush(ready, (-(-(i + 1) * total // shares[s]), s, i, release))
         due, s, i, release = heapq.heappop(ready)
-        plan.append((s, release, due, i))
-        if i + 1 < slots[s]:
-            heapq.heappush(waiting, ((i + 1) * period // slots[s], s, i + 1))
-    return plan
+        yield s, release, due, i
+        heapq.heappush(waiting, ((i + 1) * total // shares[s], s, i + 1))
+        now += 1
 
 
-def _phases(blocks: Mapping[str, int], weights: Mapping[str, float], grain: int) -> list[tuple]:
-    """Rows ``(phase, source, first block, blocks, first slot, period, slots of the source in it)``.
+def schedule(slots: Mapping[str, int]) -> list[tuple[str, int, int, int]]:
+    """The steps of one period, after which a schedule of these shares repeats."""
+    return list(islice(steps(slots), sum(slots.values())))
+
+
+def plan_blocks(
+    blocks: Mapping[str, int], weights: Mapping[str, float], grain: int | None = None
+) -> Iterator[tuple[str, int, int, int, int, float]]:
+    """``(source, block, slot, release, deadline, weight)`` of all blocks, by slot.
 
     A phase lasts until the first of its sources has run out of blocks; the others go on at the same
-    weights to each other. So there are at most as many phases as sources.
+    weights to each other, counted from there. So there are at most as many phases as sources.
     """
-    left, used, rows, slot = dict(blocks), dict.fromkeys(blocks, 0), [], 0
-    left = {s: n for s, n in left.items() if n}
+    left = {s: n for s, n in blocks.items() if n}
+    used, start = dict.fromkeys(left, 0), 0
     while left:
-        slots = rounded({s: weights[s] for s in left}, grain)
-        period = sum(slots.values())
-        plan = schedule(slots)
-        # Slots until a source runs out: where its last block stands in the plan.
-        place = {(s, i): t for t, (s, _, _, i) in enumerate(plan)}
-        ends = {
-            s: (left[s] - 1) // slots[s] * period + place[s, (left[s] - 1) % slots[s]] + 1 for s in left
-        }
-        length = min(ends.values())
-        whole, part = divmod(length, period)
-        taken = {s: whole * slots[s] for s in left}
-        for s, *_ in plan[:part]:
-            taken[s] += 1
-        for s in sorted(left):
-            rows.append((len(rows), s, used[s], taken[s], slot, period, slots[s]))
-        for s, n in taken.items():
-            used[s] += n
-            left[s] -= n
-        left = {s: n for s, n in left.items() if n}
-        slot += length
-    return rows
+        given = {s: weights[s] for s in left}
+        shares = exact(given) if grain is None else rounded(given, grain)
+        total = sum(shares.values())
+        share_of = {s: n / total for s, n in shares.items()}
+        for now, (s, release, due, _) in enumerate(steps(shares), start):
+            yield s, used[s], now, start + release, start + due, share_of[s]
+            used[s] += 1
+            left[s] -= 1
+            if not left[s]:
+                del left[s]
+                break
+        start = now + 1
+
+
+def _stored_plan(
+    session: SparkSession, blocks: Mapping[str, int], weights: Mapping[str, float], grain: int | None
+) -> DataFrame:
+    """The plan as a stored table, written part by part, so the driver holds few rows of it.
+
+    Catalyst broadcasts or shuffles it by its size. Release and deadline are kept as distances to the
+    slot; a deadline past all slots that bigint can number is the last of them.
+    """
+    path = work_path(session, "mixing-plan")
+    rows = plan_blocks(blocks, weights, grain)
+    names, kinds = [f.split(" ")[0] for f in _PLAN.split(", ")], "qqqqd"
+    while True:
+        labels: list[str] = []
+        columns = [array(k) for k in kinds]
+        for s, block, slot, release, due, weight in islice(rows, _PLAN_ROWS):
+            labels.append(s)
+            for column, value in zip(columns, (block, slot, slot - release, min(due, _LAST) - slot, weight)):
+                column.append(value)
+        arrays = [pa.array(labels, pa.string())]
+        arrays += [pa.array(c, pa.float64() if k == "d" else pa.int64()) for c, k in zip(columns, kinds)]
+        part = session.createDataFrame(pa.Table.from_arrays(arrays, names=names), _PLAN)
+        part.coalesce(1).write.mode("append").parquet(path)
+        if len(labels) < _PLAN_ROWS:
+            return session.read.schema(part.schema).parquet(path)
 
 
 def source_blocks(docs: DataFrame, order: list[Column], source: str) -> DataFrame:
@@ -117,7 +151,7 @@ def mix_sources(
     weights: Mapping[str, float] | None = None,
     temperature: float = 0.5,
     block: int = BLOCK,
-    grain: int = GRAIN,
+    grain: int | None = None,
     doc_id: str = "doc_id",
     source: str = "source",
     carry: list[str] | None = None,
@@ -130,8 +164,10 @@ def mix_sources(
     the others go on at the same weights to each other; every row is placed once, none is repeated.
 
     ``weights`` gives a positive weight for each source, unlisted sources get the least listed one;
-    without it a source weighs its number of rows to the power ``temperature``. The number of sources
-    is taken to fit the driver, as their weights are written by hand: each costs one count. A null
+    without it a source weighs its number of rows to the power ``temperature``. Weights are taken as
+    they are, as exact fractions; ``grain`` rounds them to multiples of 1/grain, at least one each, for
+    a schedule that repeats. The number of sources is taken to fit the driver, as their weights are
+    written by hand: each costs one count. The driver makes the schedule, step by step. A null
     source is a source; null ids come first in it, equal ids follow each other by their other carried
     columns, and repeated rows take places of their own. ``carry`` names the columns to return, by
     default all; those with names of the result are replaced. An empty table gives no rows.
@@ -155,41 +191,15 @@ def mix_sources(
     else:
         least = min(weights.values(), default=1.0)
         target = {label[s]: float(weights.get(s, least)) for s in counts}
-    if not blocks:
-        plan_rows, phase_rows = [], []
-    else:
-        phase_rows = _phases(blocks, target, grain)
-        plan_rows = []
-        for first in {r[4]: r for r in phase_rows}.values():
-            group = {r[1]: r[6] for r in phase_rows if r[4] == first[4]}
-            plan_rows += [
-                (s, first[4], i, t, release, due)
-                for t, (s, release, due, i) in enumerate(schedule(group))
-            ]
-    phases = session.createDataFrame(
-        [(r[1], r[2], r[2] + r[3], r[4], r[5], r[6]) for r in phase_rows],
-        "_label string, _from bigint, _to bigint, _start bigint, _period bigint, _slots bigint",
-    )
-    plan = session.createDataFrame(
-        plan_rows, "_label string, _start bigint, _i bigint, _t bigint, _release bigint, _due bigint"
-    )
+    plan = _stored_plan(session, blocks, target, grain)
     labelled = F.when(F.col(by).isNull(), "0").otherwise(F.concat(F.lit("1"), F.col(by).cast("string")))
-    # Both tables are bounded by the number of sources: phases x sources and phases x GRAIN rows.
-    placed = (
-        indexed.withColumn("_label", labelled)
-        .join(F.broadcast(phases), "_label")
-        .filter((F.col("block") >= F.col("_from")) & (F.col("block") < F.col("_to")))
-        .withColumn("_k", F.col("block") - F.col("_from"))
-        .withColumn("_i", F.expr("_k % _slots"))
-        .withColumn("_base", F.expr("_start + _k div _slots * _period"))
-        .join(F.broadcast(plan), ["_label", "_start", "_i"])
-    )
+    placed = indexed.withColumn("_label", labelled).join(plan, ["_label", "block"])
     return placed.select(
         *names,
-        (F.col("_slots") / F.col("_period")).alias("weight"),
+        "weight",
         "block",
-        (F.col("_base") + F.col("_release")).alias("release"),
-        (F.col("_base") + F.col("_due")).alias("deadline"),
-        (F.col("_base") + F.col("_t")).alias("slot"),
+        (F.col("slot") - F.col("_early")).alias("release"),
+        (F.col("slot") + F.col("_late")).alias("deadline"),
+        "slot",
         F.expr(f"_index % {block}").alias("offset"),
     )

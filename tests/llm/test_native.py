@@ -204,3 +204,28 @@ def test_mix_sources(spark):
     fixed = mixing.mix_sources(docs, weights={"hot": 3.0, "a": 1.0}, carry=["doc_id", "source"], block=4)
     assert fixed.count() == len(rows) and "text" not in fixed.columns
     assert mixing.mix_sources(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("sizes, weights", [
+    ({"hot": 950, **{f"s{i}": 100 for i in range(19)}}, None),
+    ({"a": 3600, "b": 400}, {"a": 0.9, "b": 0.1}),
+    ({"a": 3000, "b": 2000, "c": 2}, {"a": 0.6, "b": 0.3999, "c": 0.0001}),
+    ({f"s{i}": 1 + i % 3 for i in range(1100)}, {f"s{i}": 1.0 + i % 7 for i in range(1100)}),
+])
+def test_mix_follows_unrounded_weights(spark, sizes, weights):
+    rows = [s for s, n in sizes.items() for _ in range(n)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, source string")
+    out = mixing.mix_sources(docs, weights=weights, block=1).orderBy("slot").collect()
+    assert [r.slot for r in out] == list(range(len(rows))) and Counter(r.source for r in out) == sizes
+    target = weights or {s: n**0.5 for s, n in sizes.items()}
+    left, taken, start = dict(sizes), Counter(), 0
+    total = sum(target.values())
+    for r in out:
+        taken[r.source] += 1
+        assert r.release <= r.slot < r.deadline and r.weight == pytest.approx(target[r.source] / total)
+        n = r.slot - start + 1
+        assert all(abs(taken[s] - n * target[s] / total) < 1 + 1e-9 for s in left)
+        left[r.source] -= 1
+        if not left[r.source]:  # the others go on from here
+            del left[r.source]
+            taken, start, total = Counter(), r.slot + 1, sum(target[s] for s in left)
