@@ -28,6 +28,50 @@ TEMPLATES: dict[str, str] = {
 }
 THRESHOLD = 0.8
 
+_GNU = (
+    "This program is free software{colon} you can redistribute it and/or modify it under the terms of the GNU "
+    "{name} as published by the Free Software Foundation{either} version {version} of the License, or (at your "
+    "option) any later version."
+)
+#: TEMPLATES with other wordings: licence texts of up to some hundred words and standard headers, as
+#: SPDX identifier, stroke and wording.
+WORDINGS: dict[str, str] = TEMPLATES | {
+    "MIT/title": "MIT License",
+    "MIT/project": "This project is licensed under the MIT License.",
+    "MIT/text": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+        "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
+        "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+        "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+        "following conditions: The above copyright notice and this permission notice shall be included in all "
+        "copies or substantial portions of the Software."
+    ),
+    "ISC/text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "BSD-3-Clause/conditions": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met:"
+    ),
+    "Apache-2.0/project": "This project is licensed under the Apache License 2.0.",
+    "Apache-2.0/header": (
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+        "compliance with the License. You may obtain a copy of the License at"
+    ),
+    "GPL-2.0/header": _GNU.format(colon=";", name="General Public License", either="; either", version=2),
+    "GPL-3.0/header": _GNU.format(colon=":", name="General Public License", either=", either", version=3),
+    "LGPL-3.0/header": _GNU.format(colon=":", name="Lesser General Public License", either=", either", version=3),
+    "AGPL-3.0/header": _GNU.format(colon=":", name="Affero General Public License", either=", either", version=3),
+    "MPL-2.0/header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+        "was not distributed with this file, You can obtain one at"
+    ),
+    "CC-BY-4.0/work": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0/work": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-4.0/work": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+}
+
 _SEPARATORS = r"[^\p{L}\p{N}\n]+"
 
 
@@ -171,3 +215,106 @@ def scan_licenses(
         best["dice"].alias("dice"),
         best["segment"].alias("license_text"),
     )
+
+
+def find_notices(
+    docs: DataFrame,
+    text: str = "text",
+    templates: Mapping[str, str] = WORDINGS,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """As scan_licenses, but notices are found wherever they stand in a text, across lines too.
+
+    A template of n bigrams is held against every run of the text's words with at most n (2-t)/t
+    bigrams. The best run starts and ends with a bigram of the template, else a shorter one is better,
+    and has t n / (2-t) of them at least, so only such runs are compared. ``licenses`` has one row for
+    each template that reaches the threshold: its best run, of equals the first, then the shortest.
+    """
+    added = ("licenses", "license", "dice", "license_text")
+    rows = []
+    for name, template in templates.items():
+        if grams := template_bigrams(template):
+            needed = math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9)
+            most = math.floor(len(grams) * (2 - threshold) / threshold + 1e-9)
+            texts = [F.array(*map(F.lit, x)) for x in (grams, anchor_bigrams(grams, threshold))]
+            fields = [F.lit(name), *texts, F.lit(needed), F.lit(most)]
+            heads = ("name", "grams", "anchors", "needed", "most")
+            rows.append(F.struct(*[c.alias(h) for c, h in zip(fields, heads)]))
+    hit = "struct<dice: double, name: string, segment: string>"
+    none = F.array().cast(f"array<{hit}>")
+
+    def best_run(words: Column, pairs: Column, t: Column) -> Column:
+        def runs(at: Column) -> Column:
+            return F.when(
+                F.size(at) >= t["needed"],
+                F.flatten(
+                    F.transform(
+                        F.sequence(F.lit(0), F.size(at) - t["needed"]),
+                        lambda a: F.transform(
+                            F.filter(
+                                F.slice(at, a + t["needed"], t["most"]),
+                                lambda end: end - F.get(at, a) < t["most"],
+                            ),
+                            lambda end: F.struct(F.get(at, a).alias("start"), (end - F.get(at, a) + 1).alias("n")),
+                        ),
+                    )
+                ),
+            ).otherwise(F.array().cast("array<struct<start: int, n: int>>"))
+
+        def score(r: Column) -> Column:
+            return let(
+                F.array_distinct(F.slice(pairs, r["start"] + 1, r["n"])),
+                lambda d: F.struct(
+                    (F.size(F.array_intersect(d, t["grams"])) * 2.0 / (F.size(d) + F.size(t["grams"]))).alias("dice"),
+                    (-r["start"]).alias("start"),
+                    (-r["n"]).alias("n"),
+                ),
+            )
+
+        places = F.filter(
+            F.sequence(F.lit(0), F.size(pairs) - 1), lambda i: F.array_contains(t["grams"], F.get(pairs, i))
+        )
+        return let(
+            F.array_max(F.transform(let(places, runs), score)),
+            lambda b: F.struct(
+                b["dice"].alias("dice"),
+                t["name"].alias("name"),
+                F.array_join(F.slice(words, 1 - b["start"], 1 - b["n"]), " ").alias("segment"),
+            ),
+        )
+
+    def compare(plain: Column, anchored: Column) -> Column:
+        def against(words: Column) -> Column:
+            n = F.size(words)
+            pairs = F.zip_with(
+                F.slice(words, 1, n - 1), F.slice(words, 2, n - 1), lambda a, b: F.concat(a, F.lit(" "), b)
+            )
+            return F.when(
+                n >= 2, let(pairs, lambda p: F.transform(anchored, lambda t: best_run(words, p, t)))
+            ).otherwise(none)
+
+        return F.when(F.size(anchored) > 0, let(F.split(plain, " "), against)).otherwise(none)
+
+    def hits(plain: Column) -> Column:
+        anchored = F.filter(F.array(*rows), lambda t: F.exists(t["anchors"], lambda a: F.contains(plain, a)))
+        return F.filter(
+            let(anchored, lambda live: compare(plain, live)), lambda h: h["dice"] >= threshold
+        )
+
+    found = let(F.trim(normalised(F.col(text), r"[^\p{L}\p{N}]+")), hits) if rows else none
+    ordered = F.array_sort(
+        found,
+        lambda a, b: F.when(a["dice"] > b["dice"], -1)
+        .when(a["dice"] < b["dice"], 1)
+        .when(a["name"] < b["name"], -1)
+        .otherwise(1),
+    )
+    kept = [c for c in docs.columns if c not in added]
+    best = F.get("licenses", F.lit(0))
+    return docs.select(*kept, ordered.alias("licenses")).select(
+        *kept,
+        "licenses",
+        best["name"].alias("license"),
+        best["dice"].alias("dice"),
+        best["segment"].alias("license_text"),
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslens.llm.fingerprints import fingerprint_neighbours
-from corpuslens.llm.licenses import scan_licenses
+from corpuslens.llm.licenses import find_notices, scan_licenses
 from corpuslens.llm.mixing import mix_sources
 from corpuslens.llm.ngram_join import near_duplicates
 from corpuslens.llm.packing import pack_documents
@@ -52,6 +52,11 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("doc_id", "size(licenses) AS n_licenses", "license", "dice", "license_text")
 
 
+def op5_license_wordings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_notices(_table(spark, sf_dir, "documents"))
+    return found.selectExpr("doc_id", "size(licenses) AS n_licenses", "license", "dice", "license_text")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -83,6 +88,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_token_blocks": op4_token_blocks,
     "op5_licenses": op5_licenses,
+    "op5_license_wordings": op5_license_wordings,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,

@@ -229,3 +229,41 @@ def test_mix_follows_unrounded_weights(spark, sizes, weights):
         if not left[r.source]:  # the others go on from here
             del left[r.source]
             taken, start, total = Counter(), r.slot + 1, sum(target[s] for s in left)
+
+
+def all_notices(text):
+    """{template: best Dice of any run of words} by trying every run."""
+    w = re.sub(r"[^\w]|_", " ", (text or "").lower()).split()
+    pairs, found = list(zip(w, w[1:])), {}
+    for name, t in licenses.WORDINGS.items():
+        wanted = {tuple(g.split(" ")) for g in licenses.template_bigrams(t)}
+        most = int(len(wanted) * 1.5 + 1e-9)
+        for i in range(len(pairs)):
+            run = set()
+            for p in pairs[i : i + most]:
+                run.add(p)
+                dice = 2 * len(run & wanted) / (len(run) + len(wanted))
+                if dice >= licenses.THRESHOLD:
+                    found[name] = max(found.get(name, 0), dice)
+    return found
+
+
+def test_notices_anywhere(spark):
+    mit, bsd = licenses.WORDINGS["MIT/text"], licenses.WORDINGS["BSD-3-Clause/conditions"]
+    cases = {
+        30: (mit, "MIT/text"), 31: ("MIT License", "MIT/title"), 33: ("Copyright 2024 Acme. All rights reserved.", "LicenseRef-reserved"),
+        32: ("This project is licensed under the MIT License.", "MIT/project"), 34: (bsd, "BSD-3-Clause/conditions"),
+        35: (mit.replace(" ", "\n", 40).replace("furnished", "given"), "MIT/text"), 36: ("Released under the MIT License.", "MIT"),
+    }
+    rows = [(d, t) for d, (t, _) in cases.items()]
+    rows += [(d + 100, f"{prose(30, d)} {t} {prose(20, d + 1)}") for d, (t, _) in cases.items()]
+    rows += [r for r in odd_rows() if r[0] != 9] + [(200, "the MIT of the License of the MIT License and all rights " * 5)]
+    out = licenses.find_notices(table(spark, rows, dice="x")).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        assert {h.name: pytest.approx(h.dice) for h in r.licenses} == all_notices(r.text), r
+        assert [(-h.dice, h.name) for h in r.licenses] == sorted((-h.dice, h.name) for h in r.licenses)
+        assert r.doc_id not in range(30, 200) or cases[r.doc_id % 100][1] in {h.name for h in r.licenses}, r
+    assert {r.doc_id: r.license_text for r in out}[132] == "this project is licensed under the mit license"
+    assert licenses.find_notices(table(spark, rows), templates={"x": "one"}).filter("license IS NOT NULL").count() == 0
+    assert LLM_QUERIES["op5_license_wordings"](spark, f"{DATA}/sf0.001").count() == read(spark, "sf0.001").count()
