@@ -16,7 +16,12 @@ from corpuslens.storage import stage
 WINDOW = 5
 #: A text is kept from this posterior probability of good quality on.
 KEEP_FROM = 0.5
-ROUNDS, SMOOTHING, PRIOR_GOOD = 100, 1.0, 0.8
+ROUNDS, PRIOR_GOOD = 50, 0.9
+#: Rates at which a rule is taken to vote among good and among bad texts, before any are seen: bad
+#: texts come in kinds, so most rules abstain on most of them, and a vote against is rarely wrong.
+EXPECTED = {1: (0.5, 0.1), 0: (0.49, 0.6), -1: (0.01, 0.3)}
+#: Weights of the expected rates and of the prior, as shares of the texts counted.
+RATES_HELD, PRIOR_HELD = 0.2, 1.0
 
 _SYMBOLS = "#*$%&|<>"
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -82,69 +87,79 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     ).select(*fresh, "_counted.*", "_lines.*", "n_symbols", "n_upper")
 
 
-def _vote(good: Column | None, bad: Column) -> Column:
-    vote = F.when(bad, -1)
-    return (vote if good is None else vote.when(good, 1)).otherwise(0)
+def _vote(good: Column | None = None, bad: Column | None = None) -> Column:
+    vote = F.lit(0) if good is None else F.when(good, 1).otherwise(0)
+    return vote if bad is None else F.when(bad, -1).otherwise(vote)
 
 
 def votes() -> dict[str, Column]:
-    """Each rule's vote: 1 good, -1 bad, 0 abstains. A junk test that finds nothing abstains."""
-    w, chars = F.col("n_words"), F.col("word_chars")
+    """Each rule's vote: 1 good, -1 bad, 0 abstains.
+
+    A junk test that finds nothing abstains. What tells good prose is asked by one rule, as such
+    signs come together. No rule asks what the base has asked, at the base's own limit.
+    """
+    w, chars, symbols = F.col("n_words"), F.col("word_chars"), F.col("n_symbols")
+    plain = (symbols * 50 <= w) & (chars >= w * 3) & (chars <= w * 8) & (F.col("n_dup_lines") == 0)
     return {
-        "length": _vote(w >= 20, w < 10),
-        "word_size": _vote((chars >= w * 3) & (chars <= w * 10), (chars < w * 2) | (chars > w * 20)),
-        "prose": _vote((F.col("n_lines") >= 3) & (F.col("n_dup_lines") == 0) & (F.col("n_symbols") == 0), F.col("n_dup_lines") * 4 > F.col("n_lines")),
-        "symbols": _vote(None, F.col("n_symbols") * 5 > w),
-        "repeats": _vote(None, F.col("n_repeat_words") * 5 > w),
-        "case": _vote(None, F.col("n_upper") * 2 > chars),
+        "symbols": _vote(bad=symbols * 10 > w),
+        "word_size": _vote(bad=(chars < w * 2) | (chars > w * 12)),
+        "lines": _vote(bad=F.col("n_dup_lines") * 4 > F.col("n_lines")),
+        "repeats": _vote(bad=F.col("n_repeat_words") * 100 > w * 15),
+        "case": _vote(bad=F.col("n_upper") * 2 > chars),
+        "prose": _vote(good=(w >= 50) & plain),
     }
 
 
 @dataclass(frozen=True)
 class Accuracies:
-    """Log likelihood ratios, good against bad, of each rule's two votes, and of the classes."""
+    """Log likelihood ratios, good against bad, of each rule's votes, and of the classes."""
 
     prior: float
     good: tuple[float, ...]
+    silent: tuple[float, ...]
     bad: tuple[float, ...]
 
     def log_odds(self, pattern: tuple[int, ...]) -> float:
-        parts = (self.good[j] * (v > 0) + self.bad[j] * (v < 0) for j, v in enumerate(pattern))
-        return self.prior + sum(parts)
+        return self.prior + sum(
+            (self.good if v > 0 else self.bad if v < 0 else self.silent)[j] for j, v in enumerate(pattern)
+        )
 
 
 def _sigmoid(x: float) -> float:
     return 1 / (1 + math.exp(-max(-700.0, min(700.0, x))))
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]]) -> Accuracies:
+def estimate(patterns: list[tuple[tuple[int, ...], int]], rules: int = 0) -> Accuracies:
     """Accuracies of the rules, from the counts of vote patterns alone.
 
-    Classes are latent. Each of a rule's two votes has a rate among good texts and one among bad
-    texts; rules are independent within a class and an abstention says nothing. A vote for good
-    never counts against, nor the other way about, so the classes keep their meaning. The start
-    takes a text for bad if any rule says so; the smoothing counts as texts of either class.
+    Classes are latent; within a class rules vote or abstain independently, each at rates of its own.
+    Rounds of expectation and maximisation start from EXPECTED and stay near it: the expected rates
+    weigh as much as a share of the texts, and so does the prior, so that the classes keep their
+    meaning whatever the mix, and at every size. A vote for good never counts against, nor the other
+    way about. Without patterns the ``rules`` rules have the expected rates.
     """
-    rules = range(len(patterns[0][0]) if patterns else 0)
-    posterior = [0.1 if min(p, default=0) < 0 else 0.95 for p, _ in patterns]
-    model = Accuracies(0.0, (0.0,) * len(rules), (0.0,) * len(rules))
-    for _ in range(ROUNDS):
-        good = sum(n * q for (_, n), q in zip(patterns, posterior)) + SMOOTHING * PRIOR_GOOD
-        bad = sum(n * (1 - q) for (_, n), q in zip(patterns, posterior)) + SMOOTHING * (1 - PRIOR_GOOD)
+    rules = len(patterns[0][0]) if patterns else rules
+    total = sum(n for _, n in patterns)
+    start = {v: math.log(g / b) for v, (g, b) in EXPECTED.items()}
+    model = Accuracies(math.log(PRIOR_GOOD / (1 - PRIOR_GOOD)), *((start[v],) * rules for v in (1, 0, -1)))
+    for _ in range(ROUNDS if total else 0):
+        posterior = [_sigmoid(model.log_odds(p)) for p, _ in patterns]
+        good = sum(n * q for (_, n), q in zip(patterns, posterior))
+        bad = total - good
+        held_good, held_bad = RATES_HELD * good, RATES_HELD * (bad + (1 - PRIOR_GOOD) * total)
 
         def ratio(j: int, vote: int) -> float:
             cast = [(n, q) for (p, n), q in zip(patterns, posterior) if p[j] == vote]
-            right, wrong = (0.5, 0.05) if vote > 0 else (0.05, 0.5)
-            among_good = (sum(n * q for n, q in cast) + SMOOTHING * right) / (good + SMOOTHING)
-            among_bad = (sum(n * (1 - q) for n, q in cast) + SMOOTHING * wrong) / (bad + SMOOTHING)
-            return math.log(among_good / among_bad)
+            among_good = sum(n * q for n, q in cast) + held_good * EXPECTED[vote][0]
+            among_bad = sum(n * (1 - q) for n, q in cast) + held_bad * EXPECTED[vote][1]
+            return math.log(among_good / (good + held_good)) - math.log(among_bad / (bad + held_bad))
 
         model = Accuracies(
-            math.log(good / bad),
-            tuple(max(0.0, ratio(j, 1)) for j in rules),
-            tuple(min(0.0, ratio(j, -1)) for j in rules),
+            math.log((good + PRIOR_HELD * total * PRIOR_GOOD) / (bad + PRIOR_HELD * total * (1 - PRIOR_GOOD))),
+            tuple(max(0.0, ratio(j, 1)) for j in range(rules)),
+            tuple(ratio(j, 0) for j in range(rules)),
+            tuple(min(0.0, ratio(j, -1)) for j in range(rules)),
         )
-        posterior = [_sigmoid(model.log_odds(p)) for p, _ in patterns]
     return model
 
 
@@ -161,8 +176,9 @@ def judge_quality(
     posterior decides. Texts with equal votes have equal posteriors, repeated rows included; input
     columns with names of the result are replaced. An empty table gives no rows.
 
-    Texts are read once: their counts and the carried columns are written to the shared folder.
-    All are counted, by vote pattern; at most 3^rules counts reach the driver.
+    Texts are read once: their counts and the carried columns are written to the shared folder. All
+    that pass the base are counted, by vote pattern; at most 3^rules counts reach the driver. Those
+    that fail the base have a posterior too, from the accuracies found on the others.
     """
     made = ("votes", "base_failed", "quality", "kept")
     carried = [c for c in (docs.columns if carry is None else carry) if c not in (*BASE, *made)]
@@ -171,13 +187,13 @@ def judge_quality(
     rules = votes()
     pattern = F.array(*[v.cast("tinyint") for v in rules.values()])
     measured = stage(measured.withColumn("votes", pattern), "quality")
-    counted = measured.groupBy("votes").count().collect()
-    model = estimate(sorted((tuple(r["votes"]), r["count"]) for r in counted))
+    failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
+    counted = measured.filter(~failed).groupBy("votes").count().collect()
+    model = estimate(sorted((tuple(r["votes"]), r["count"]) for r in counted), len(rules))
     log_odds = F.lit(model.prior)
     for j in range(len(rules)):
         vote = F.get("votes", F.lit(j))
-        log_odds = log_odds + F.when(vote > 0, model.good[j]).when(vote < 0, model.bad[j]).otherwise(0.0)
-    failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
+        log_odds = log_odds + F.when(vote > 0, model.good[j]).when(vote < 0, model.bad[j]).otherwise(model.silent[j])
     return (
         measured.withColumn("base_failed", failed)
         .withColumn("quality", 1 / (1 + F.exp(-log_odds)))

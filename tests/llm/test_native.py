@@ -1,4 +1,5 @@
 import re
+import unicodedata
 from collections import Counter, defaultdict
 
 import pytest
@@ -106,6 +107,65 @@ def test_quality_agrees_with_labels(spark):
     assert n[1, True] > 0.98 * (n[1, False] + n[1, True])
 
 
+def plain_votes(text):
+    """The votes of the rules on a text, by their definition."""
+    w, chars, symbols, dup_lines, repeats = base_counts(text)
+    lines = sum(bool(words(x)) for x in (text or "").split("\n"))
+    upper = sum(unicodedata.category(c) == "Lu" for c in text or "")
+    return (
+        -(10 * symbols > w), -(chars < 2 * w or chars > 12 * w), -(4 * dup_lines > lines), -(100 * repeats > 15 * w),
+        -(2 * upper > chars), int(w >= 50 and 50 * symbols <= w and 3 * w <= chars <= 8 * w and not dup_lines),
+    )
+
+
+def plain_posteriors(counts, rounds=50):
+    """{pattern: posterior}: expectation-maximisation written over expanded rates, not ratios."""
+    expected = {1: (0.5, 0.1), 0: (0.49, 0.6), -1: (0.01, 0.3)}
+    total, rules = sum(counts.values()), range(len(next(iter(counts))))
+    rates = [[{v: expected[v][c] for v in expected} for _ in rules] for c in (0, 1)]
+    share = [0.9, 0.1]
+
+    def posterior(p):
+        ratio = share[0] / share[1]
+        for j, v in enumerate(p):
+            r = rates[0][j][v] / rates[1][j][v]
+            ratio *= max(r, 1) if v > 0 else min(r, 1) if v < 0 else r
+        return ratio / (1 + ratio)
+
+    for _ in range(rounds):
+        found = {p: posterior(p) for p in counts}
+        mass = [sum(n * q for (p, n), q in zip(counts.items(), found.values()))]
+        mass.append(total - mass[0])
+        held = [0.2 * mass[0], 0.2 * (mass[1] + 0.1 * total)]
+        for c in (0, 1):
+            for j in rules:
+                for v in expected:
+                    cast = sum(n * (found[p] if c == 0 else 1 - found[p]) for p, n in counts.items() if p[j] == v)
+                    rates[c][j][v] = (cast + held[c] * expected[v][c]) / (mass[c] + held[c])
+            share[c] = (mass[c] + total * (0.9, 0.1)[c]) / (2 * total)
+    return {p: posterior(p) for p in counts}
+
+
+def test_whole_verdict(spark):
+    """Votes, estimation and verdict of every document against the definition."""
+    out = LLM_QUERIES["op3_quality"](spark, f"{DATA}/sf0.01").collect()
+    texts = {r.doc_id: r.text for r in read(spark, "sf0.01").collect()}
+    assert len(out) == len(texts)
+    votes = {d: plain_votes(t) for d, t in texts.items()}
+    failed = {d: n < 10 or 100 * r > 20 * n for d, (n, _, _, _, r) in ((d, base_counts(t)) for d, t in texts.items())}
+    posterior = plain_posteriors(Counter(votes[d] for d in texts if not failed[d]))
+    rejected = 0
+    for r in out:
+        assert tuple(r.votes) == votes[r.doc_id] and r.base_failed == failed[r.doc_id]
+        if failed[r.doc_id]:
+            assert not r.kept
+        else:
+            assert r.quality == pytest.approx(posterior[votes[r.doc_id]], abs=1e-9)
+            assert r.kept == (posterior[votes[r.doc_id]] >= 0.5)
+            rejected += not r.kept
+    assert 20 < rejected < 200
+
+
 def test_estimate_weighs_votes():
     model = quality.estimate([((1, 0), 700), ((1, -1), 5), ((-1, -1), 60), ((-1, 0), 35), ((0, 0), 200)])
     assert model.good[0] > 0 > model.bad[0] and model.bad[1] < 0
