@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.llm.mixing import source_blocks
-from corpuslens.llm.tokens import encoder, in_groups, tokenizer_path
+from corpuslens.llm.tokens import encoder, tokenizer_path, with_end
 from corpuslens.storage import stage
 
 #: Pieces that are packed together, in one task; each such group leaves at most a few open sequences.
@@ -92,23 +92,23 @@ def cut_pieces(
     schema = _PIECES + ", ids binary" * with_ids + "".join(f", `{c}` bigint" for c in carry)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer, by_word), np.array([end_id], "<u4").tobytes()
+        encode = encoder(tokenizer, by_word)
+        heads = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            names = batch.column("doc_id").to_pylist()
-            for first, last in in_groups(texts):
-                rows: list[tuple] = []
-                origins: list[int] = []
-                for at_row, name, ids in zip(range(first, last), names[first:last], encode.ids(texts[first:last])):
-                    ids += end
-                    for k, at in enumerate(range(0, len(ids), 4 * length)):
-                        part = ids[at : at + 4 * length]
-                        rows.append((name, k, at // 4, len(part) // 4, zlib.crc32(part), part))
-                        origins.append(at_row)
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()][: 5 + with_ids]
-                heads = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids]
-                arrays = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
-                arrays += [batch.column(c).take(pa.array(origins, pa.int64())) for c in carry]
+            for first, last, ids, counts in encode.batches(batch.column("text")):
+                ids, counts = with_end(ids, counts, end_id)
+                pieces = np.maximum(1, -(-counts // length))
+                origin = np.repeat(np.arange(last - first), pieces)
+                piece = np.arange(len(origin)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * length
+                size = np.minimum(counts[origin] - start, length)
+                begins = (np.cumsum(counts) - counts)[origin] + start
+                parts = [ids[a : a + n].tobytes() for a, n in zip(begins.tolist(), size.tolist())]
+                from_row = pa.array(origin + first, pa.int64())
+                arrays = [batch.column("doc_id").take(from_row), pa.array(piece, pa.int32()), pa.array(start, pa.int64())]
+                arrays += [pa.array(size, pa.int64()), pa.array([zlib.crc32(x) for x in parts], pa.int64())]
+                arrays += [pa.array(parts, pa.binary())] * with_ids
+                arrays += [batch.column(c).take(from_row) for c in carry]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*heads, *carry])
 
     columns = [F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), *carry]

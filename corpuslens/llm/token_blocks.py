@@ -12,13 +12,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpuslens.llm.tokens import encoder, in_groups, tokenizer_path
+from corpuslens.llm.tokens import encoder, tokenizer_path, with_end
 from corpuslens.storage import stage, work_path
 
 #: Ids to a block; share of a block's ids that its width must hold, the others are exceptions.
 BLOCK, PERCENTILE = 1024, 0.9
-#: Documents to a file.
-FILE_DOCS = 2048
+#: Documents to a range of ids, which one task writes; ids from which on it begins another file.
+FILE_DOCS, FILE_IDS = 2048, 1 << 22
+#: Ranges whose files are placed together.
+_NEAR = 1024
 
 _MAGIC = b"PFORIDS1"
 _HEAD = "<8sQQQQ"  # magic, documents, ids, ids to a block, blocks
@@ -143,12 +145,14 @@ def write_token_files(
     text: str = "text",
     by_word: bool = True,
 ) -> DataFrame:
-    """Write the ids of all texts in ascending ``doc_id`` order; returns ``shard, file, n_docs, n_ids``.
+    """Write the ids of all texts in ascending ``doc_id`` order; returns ``shard, number, file, n_docs, n_ids``.
 
     Null text is empty; a null id comes first, rows of one id follow each other by text, and repeated
-    rows are written as often as they come. Other columns are not read. A file holds a range of ids,
-    named for this attempt alone; the manifest, committed by Spark, names the files that count, so a
-    task that is lost and run again leaves no trace. ``folder`` must be shared by all executors.
+    rows are written as often as they come. Other columns are not read. A shard is a range of ids; its
+    files are numbered, and end at FILE_IDS ids or with the document that reaches them, so that long
+    texts don't meet in memory. A file is named for this attempt alone; the manifest, committed by
+    Spark, names the files that count, so a task that is lost and run again leaves no trace.
+    ``folder`` must be shared by all executors.
     """
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     files = max(1, -(-rows.count() // FILE_DOCS))
@@ -157,40 +161,56 @@ def write_token_files(
         from pyspark import TaskContext
 
         encode = encoder(tokenizer, by_word)
-        end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-        doc_ids, counts, parts = [], [], []
+        shard, number = TaskContext.get().partitionId(), 0
+        doc_ids: list[int | None] = []
+        counts: list[np.ndarray] = []
+        ids: list[np.ndarray] = []
+
+        def close() -> pa.RecordBatch:
+            nonlocal number
+            held, name = np.concatenate(ids), f"ids-{shard:06d}-{number:06d}-{uuid.uuid4().hex}.pfor"
+            filesystem, base = _open(folder)
+            filesystem.create_dir(base, recursive=True)
+            with filesystem.open_output_stream(f"{base}/{name}") as out:
+                out.write(_file_bytes(doc_ids, np.concatenate(counts).tolist(), held, block))
+            row = {"shard": [shard], "number": [number], "file": [name], "n_docs": [len(doc_ids)], "n_ids": [len(held)]}
+            number += 1
+            for x in (doc_ids, counts, ids):
+                x.clear()
+            return pa.RecordBatch.from_pydict(row)
+
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            doc_ids += batch.column("doc_id").to_pylist()
-            for first, last in in_groups(texts):
-                found = [x + end for x in encode.ids(texts[first:last])]
-                counts += [len(x) // 4 for x in found]
-                parts.append(b"".join(found))
-        if not doc_ids:
-            return
-        shard = TaskContext.get().partitionId()
-        ids = np.frombuffer(b"".join(parts), "<u4")
-        name = f"ids-{shard:06d}-{uuid.uuid4().hex}.pfor"
-        filesystem, base = _open(folder)
-        filesystem.create_dir(base, recursive=True)
-        with filesystem.open_output_stream(f"{base}/{name}") as out:
-            out.write(_file_bytes(doc_ids, counts, ids, block))
-        yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [name], "n_docs": [len(doc_ids)], "n_ids": [len(ids)]})
+            names = batch.column("doc_id").to_pylist()
+            for first, last, found, each in encode.batches(batch.column("text")):
+                found, each = with_end(found, each, end_id)
+                doc_ids += names[first:last]
+                counts.append(each)
+                ids.append(found)
+                if sum(map(len, ids)) >= FILE_IDS:
+                    yield close()
+        if doc_ids:
+            yield close()
 
     ordered = rows.repartitionByRange(files, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
         F.col("doc_id").asc_nulls_first(), "text"
     )
-    return stage(ordered.mapInArrow(write, "shard bigint, file string, n_docs bigint, n_ids bigint"), "token-manifest")
+    schema = "shard bigint, number bigint, file string, n_docs bigint, n_ids bigint"
+    return stage(ordered.mapInArrow(write, schema), "token-manifest")
 
 
 def read_token_files(manifest: DataFrame, folder: str, with_ids: bool = False) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of each document, and ``ids`` on request, from the files.
 
     ``start`` counts the ids of all documents before. The files before a file come from the manifest,
-    which has one row for each of them.
+    which has one row for each of them: sums over neighbouring shards first, then within them, so that
+    one task places one row for every _NEAR shards.
     """
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    placed = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+    earlier = lambda w: F.coalesce(F.sum("n_ids").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    near = F.expr(f"shard div {_NEAR}").alias("near")
+    sums = manifest.groupBy(near).agg(F.sum("n_ids").alias("n_ids"))
+    sums = sums.select("near", earlier(Window.orderBy("near")).alias("before"))
+    within = manifest.select("*", near).withColumn("base", earlier(Window.partitionBy("near").orderBy("shard", "number")))
+    placed = within.join(sums, "near").withColumn("base", F.col("base") + F.col("before")).drop("before", "near")
     files = max(1, manifest.count())
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +231,7 @@ def read_token_files(manifest: DataFrame, folder: str, with_ids: bool = False) -
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], names=list(out))
 
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<bigint>" * with_ids
-    return placed.repartition(files, "shard").mapInArrow(read, schema)
+    return placed.repartition(files, "shard", "number").mapInArrow(read, schema)
 
 
 def encode_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int | None = 2) -> DataFrame:
