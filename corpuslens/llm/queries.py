@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuslens.llm.conversations import damage, judge_conversations
 from corpuslens.llm.fingerprints import fingerprint_neighbours
 from corpuslens.llm.licenses import find_notices, scan_licenses
 from corpuslens.llm.mixing import mix_sources
@@ -82,6 +83,11 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    return judge_conversations(damage(conversations), all_ids=conversations)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_ngram_join": op2_ngram_join,
@@ -94,4 +100,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_urls": op9_urls,
     "op10_substrings": op10_substrings,
+    "op13_conversations": op13_conversations,
 }
