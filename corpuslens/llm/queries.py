@@ -14,6 +14,7 @@ from corpuslens.llm.mixing import mix_sources
 from corpuslens.llm.ngram_join import near_duplicates
 from corpuslens.llm.packing import pack_documents
 from corpuslens.llm.quality import BASE, judge_quality
+from corpuslens.llm.spellings import spelling_variants
 from corpuslens.llm.substrings import find_repeats
 from corpuslens.llm.token_blocks import encode_documents
 from corpuslens.llm.toxicity import is_held_out, score_toxicity, train
@@ -83,6 +84,10 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op12_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = _table(spark, sf_dir, "conversations")
     return judge_conversations(damage(conversations), all_ids=conversations)
@@ -100,5 +105,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_urls": op9_urls,
     "op10_substrings": op10_substrings,
+    "op12_spellings": op12_spellings,
     "op13_conversations": op13_conversations,
 }
