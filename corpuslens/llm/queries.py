@@ -11,6 +11,7 @@ from corpuslens.llm.conversations import damage, judge_conversations
 from corpuslens.llm.fingerprints import fingerprint_neighbours
 from corpuslens.llm.licenses import find_notices, scan_licenses
 from corpuslens.llm.mixing import mix_sources
+from corpuslens.llm.neighbours import nearest_vectors
 from corpuslens.llm.ngram_join import near_duplicates
 from corpuslens.llm.packing import pack_documents
 from corpuslens.llm.quality import BASE, judge_quality
@@ -84,6 +85,10 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_vectors(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op12_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(_table(spark, sf_dir, "documents"))
 
@@ -105,6 +110,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_urls": op9_urls,
     "op10_substrings": op10_substrings,
+    "op11_neighbours": op11_neighbours,
     "op12_spellings": op12_spellings,
     "op13_conversations": op13_conversations,
 }
