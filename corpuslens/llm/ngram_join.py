@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from corpuslens.llm.arrays import Words, buffer, mix, slices, windows
 from corpuslens.llm.components import components
+from corpuslens.llm.expressions import free_name
 from corpuslens.storage import stage
 
 WORDS, SIMILARITY, RECALL, HASHES = 5, 0.8, 0.9999, 128
@@ -265,7 +266,8 @@ def near_duplicates(
         "ngram-cell-pairs",
     )
     wanted = texts.join(placed, "text_key").select("text_key", "cell", "copies", F.col("text_id").alias("doc_id"))
-    by_id = given.join(wanted.select("text_key", "doc_id"), "doc_id").select("text_key", "text")
+    # What texts are joined to grows with them, so it is never broadcast, at any size.
+    by_id = given.join(wanted.select("text_key", "doc_id").hint("merge"), "doc_id").select("text_key", "text")
     without = given.filter("doc_id IS NULL").select(F.lit(None).cast("bigint").alias("text_key"), "text")
     found = (
         by_id.union(without)
@@ -309,12 +311,13 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     """
     judged = near_duplicates(docs, doc_id=doc_id, text=text, **options)
     # A document of equal rows counts them all; rows of one id and different texts have classes apart.
-    kept = judged.filter("doc_id = class_id").groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows"))
+    own, n = free_name(docs, "_kept"), free_name(docs, "_rows")
+    kept = judged.filter("doc_id = class_id").groupBy(F.col("doc_id").alias(own)).agg(F.count(F.lit(1)).alias(n))
     kept = stage(kept, "ngram-kept")
-    joined = docs.join(kept, F.col(doc_id) == F.col("_kept"), "left").filter(
-        F.col(doc_id).isNull() | F.col("_kept").isNotNull()
+    joined = docs.join(kept.hint("merge"), F.col(doc_id) == F.col(own), "left").filter(
+        F.col(doc_id).isNull() | F.col(own).isNotNull()
     )
-    once = joined.filter(F.coalesce("_rows", F.lit(1)) == 1).select(*docs.columns)
-    if kept.filter("_rows > 1").isEmpty():
+    once = joined.filter(F.coalesce(n, F.lit(1)) == 1).select(*docs.columns)
+    if kept.filter(F.col(n) > 1).isEmpty():
         return once
-    return once.unionByName(joined.filter("_rows > 1").select(*docs.columns).dropDuplicates([doc_id, text]))
+    return once.unionByName(joined.filter(F.col(n) > 1).select(*docs.columns).dropDuplicates([doc_id, text]))

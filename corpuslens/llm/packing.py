@@ -187,7 +187,8 @@ def pack_documents(
     read, are stored.
     """
     carry = PLACE if in_stored_order else ()
-    placed = with_place(docs) if in_stored_order else docs
+    read = docs.select("doc_id", "text")
+    placed = with_place(read) if in_stored_order else read
     pieces = cut_pieces(placed, tokenizer or tokenizer_path(), capacities.tokens, end_id, with_ids, carry=carry)
     return pack_pieces(stage(pieces, "pieces"), capacities, carry)
 

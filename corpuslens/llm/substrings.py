@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.llm.arrays import Words, buffer, mix, slices, windows
+from corpuslens.llm.expressions import free_name
 from corpuslens.storage import stage
 
 #: Words of a window that may not start twice.
@@ -325,7 +326,8 @@ def find_repeats(docs: DataFrame, width: int = WIDTH, doc_id: str = "doc_id", te
     merged = hits.groupBy("doc_id").agg(F.flatten(F.collect_list("places")).alias("places"))
     known = stage(merged.join(copies.withColumn("is_copy", F.lit(True)), "doc_id", "full"), "repeats-known")
     work = stage(
-        given.join(known, "doc_id", "left")
+        # What texts are joined to grows with them, so it is never broadcast, at any size.
+        given.join(known.hint("merge"), "doc_id", "left")
         .select("doc_id", "text", "places", F.coalesce("is_copy", F.lit(False)).alias("is_copy"))
         .mapInArrow(extension.extend, _WORK),
         "repeats-work",
@@ -350,13 +352,14 @@ def cut_repeats(docs: DataFrame, width: int = WIDTH, doc_id: str = "doc_id", tex
     ``n_chars``, where there is one, is that of the new text. A row of a null id, which no span can
     name, keeps its text.
     """
+    own, spans_of = free_name(docs, "_id"), free_name(docs, "_spans")
     found = stage(
         find_repeats(docs, width, doc_id, text).filter("n_removed > 0 AND doc_id IS NOT NULL")
-        .groupBy(F.col("doc_id").alias("_id")).agg(F.first("spans").alias("_spans")),
+        .groupBy(F.col("doc_id").alias(own)).agg(F.first("spans").alias(spans_of)),
         "repeats-spans",
     )
     at = docs.columns.index(text)
-    joined = docs.join(found, F.col(doc_id) == F.col("_id"), "left").drop("_id")
+    joined = docs.join(found.hint("merge"), F.col(doc_id) == F.col(own), "left").drop(own)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,7 +380,7 @@ def cut_repeats(docs: DataFrame, width: int = WIDTH, doc_id: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays(arrays, names=schema_names)
 
     schema_names = docs.columns
-    changed = joined.select(*[F.col(c) for c in docs.columns], "_spans").mapInArrow(cut, schema)
+    changed = joined.select(*[F.col(c) for c in docs.columns], spans_of).mapInArrow(cut, schema)
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.char_length(text).cast(docs.schema["n_chars"].dataType))
     return changed

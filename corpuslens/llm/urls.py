@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuslens.llm.expressions import free_name
+
 #: Hex digits of a digest that the join compares; full digests are confirmed after it.
 PREFIX_DIGITS = 8
 #: Up to so many rules (some 20 MB) are broadcast; longer lists are joined by shuffle.
@@ -81,14 +83,15 @@ def judge_urls(
     )
     order = F.struct(F.char_length("_rule"), "_rule", F.col("_verdict") == "block")
     best = hits.groupBy("_url").agg(F.max_by(F.struct("_rule", "_verdict"), order).alias("_best"))
+    own, won = free_name(pages, "_url"), free_name(pages, "_best")
+    best = best.withColumnsRenamed({"_url": own, "_best": won})
     return (
-        pages.select(*[F.col(c) for c in kept])
-        .join(best, F.col(url) == F.col("_url"), "left")
+        pages.join(best, F.col(url) == F.col(own), "left")
         .select(
             *kept,
             url_host(F.col(url)).alias("host"),
             url_path(F.col(url)).alias("path"),
-            F.col("_best._rule").alias("rule"),
-            F.coalesce("_best._verdict", F.lit(default)).alias("verdict"),
+            F.col(won)["_rule"].alias("rule"),
+            F.coalesce(F.col(won)["_verdict"], F.lit(default)).alias("verdict"),
         )
     )

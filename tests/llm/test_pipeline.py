@@ -4,6 +4,8 @@ import __spark_entry__ as contract
 from brute import DATA, near_classes, odd_rows, prose, read, repeats, table
 from test_arrays_and_joins import check_packing
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from corpuslens.llm.mixing import mix_sources
 from corpuslens.storage import stage
@@ -66,3 +68,24 @@ def test_packing_follows_the_mix(spark):
         wanted = Counter(source[d] for d in order[: len(early)])
         found = Counter(source[d] for d in early)
         assert all(abs(found[s] - wanted[s]) < 0.06 * len(early) for s in set(source.values()))
+
+
+CLASHES = ["score", "predicted", "slot", "offset", "weight", "block", "release", "deadline", "_rows", "_kept", "_spans", "_id", "_part", "_file", "_row", "_slot", "_doc_id", "_source", "_text", "n_words"]
+
+
+def test_stages_keep_columns_of_their_own_names(spark):
+    docs = table(spark, [*odd_rows(), (70, "you idiot " * 5)]).withColumns({c: F.lit(f"own {c}") for c in CLASHES})
+    for name, function in corpus_pipeline.STAGES[:4]:
+        docs = stage(function(spark, docs, f"{DATA}/sf0.01"), name)
+        rows = docs.select(*CLASHES).distinct().collect()
+        assert rows == [tuple(f"own {c}" for c in CLASHES)], name
+    assert corpus_pipeline.packing(spark, docs, "").count() > 0
+
+
+def test_stages_may_be_chained_without_storing(spark):
+    sf_dir = f"{DATA}/sf0.001"
+    docs = read(spark, "sf0.001")
+    for _, function in corpus_pipeline.STAGES:
+        docs = function(spark, docs, sf_dir)
+    key = lambda r: (r.doc_id, r.piece, r.length, r.ids_crc32)
+    assert sorted(map(key, docs.collect())) == sorted(map(key, corpus_pipeline.run(spark, sf_dir).collect()))
