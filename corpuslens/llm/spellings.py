@@ -165,108 +165,126 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each word with its own name and that of the empty beginning."""
+    """Each word with its own name."""
     for words in _some(batches):
         _, names = _names(words)
         own = np.cumsum([len(w) + 1 for w in words]) - 1
-        yield pa.RecordBatch.from_arrays([pa.array(words), _fixed(names[own]), _fixed(np.repeat(names[:1], len(own), axis=0))], names=["word", "name", "node"])
+        yield pa.RecordBatch.from_arrays([pa.array(words), _fixed(names[own])], names=["word", "name"])
 
 
-def trie_edges(words: DataFrame) -> DataFrame:
-    """``node, label, child, word, below``: the edges of the words' compressed trie.
+def _paths(words: DataFrame) -> DataFrame:
+    """``word, path``: the nodes of the words' compressed trie on each word's way, in order.
 
-    Nodes are the beginnings at which words part or end, and the empty one, named by 128 bits of hash;
-    an edge is labelled with the letters up to the next node, and ``word`` is the word that ends there,
-    or null. ``below`` counts the words under ``child``.
+    Nodes are the beginnings at which words part or end, and the empty one, named by 128 bits of
+    hash; of each ``path`` has ``depth``, ``node``, the words ``below`` it and whether one ``ends`` there.
     """
     prefixes = stage(words.select("word").mapInArrow(_prefixes, "name binary, depth int, node binary, next string"), "prefixes")
     nodes = prefixes.groupBy("node").agg(
         F.count(F.lit(1)).alias("below"), F.min("next").alias("_least"), F.max("next").alias("_most"), F.min("depth").alias("_depth")
     )
     # A word that ends has no next letter, which sorts first.
-    kept = nodes.filter("_least <> _most OR _least = '' OR _depth = 0").select("node", "below")
-    stops = prefixes.join(kept, "node").groupBy("name").agg(F.array_sort(F.collect_list(F.struct("depth", "node", "below"))).alias("s"))
-    own = words.select("word").mapInArrow(_named, "word string, name binary, node binary").select("word", "name")
-    steps = stops.join(own, "name").select("word", "s", F.explode(F.sequence(F.lit(1), F.size("s") - 1)).alias("i"))
-    a, b = F.get("s", F.col("i") - 1), F.get("s", F.col("i"))
-    edges = steps.select(
-        a["node"].alias("node"), b["node"].alias("child"), b["below"].alias("below"),
-        F.substring("word", a["depth"] + 1, b["depth"] - a["depth"]).alias("label"),
+    kept = nodes.filter("_least <> _most OR _least = '' OR _depth = 0").select("node", "below", (F.col("_least") == "").alias("ends"))
+    paths = prefixes.join(kept, "node").groupBy("name").agg(
+        F.array_sort(F.collect_list(F.struct("depth", "node", "below", "ends"))).alias("path")
+    )
+    named = words.select("word").mapInArrow(_named, "word string, name binary")
+    return stage(paths.join(named, "name").select("word", "path"), "trie-paths")
+
+
+def _edges(paths: DataFrame) -> DataFrame:
+    """``node, deal, first, tail, n, child, ends, copies``: the trie's edges, hot nodes' in several copies.
+
+    An edge's label is its ``first`` letter and its ``tail``, ``n`` letters in all; ``ends`` is the word
+    that ends at ``child``, or null. A node with many words below, as the first ones have, has its
+    edges in ``copies`` of NODE_WORDS words each, numbered by ``deal``.
+    """
+    steps = paths.select("word", "path", F.explode(F.sequence(F.lit(1), F.size("path") - 1)).alias("k"))
+    a, b = F.get("path", F.col("k") - 1), F.get("path", F.col("k"))
+    flat = steps.select(
+        a["node"].alias("node"), b["node"].alias("child"), _copies(a).alias("_dealt"), _copies(b).alias("copies"),
+        _letter(F.col("word"), a["depth"]).alias("first"),
+        F.substring("word", a["depth"] + 2, b["depth"] - a["depth"] - 1).alias("tail"),
+        (b["depth"] - a["depth"]).alias("n"),
         F.when(b["depth"] == F.length("word"), F.col("word")).alias("word"),
     )
-    return edges.groupBy("node", "child").agg(F.first("label").alias("label"), F.max("below").alias("below"), F.max("word").alias("word"))
+    once = flat.groupBy("node", "child").agg(
+        *[F.first(c).alias(c) for c in ("first", "tail", "n", "_dealt", "copies")], F.max("word").alias("ends")
+    )
+    dealt = once.withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("_dealt") - 1)))
+    return stage(dealt.drop("_dealt"), "trie-edges")
 
 
-def _rest(i: Column, n: Column) -> Column:
-    """``n`` letters of the word from position ``i`` on, counted from 0."""
-    return F.substring("word", i + 1, n)
+def _copies(node: Column) -> Column:
+    return F.ceil(node["below"] / NODE_WORDS).cast("int")
 
 
-def near_words(words: DataFrame) -> DataFrame:
-    """``word, near``: all ordered pairs of the given distinct words at exactly one edit.
-
-    States (word, position, node, edits) are joined with the trie's edges level by level. Unedited, a
-    state stays on its own word's path. Two words at one edit part where their common beginning ends,
-    so the edit is made on an edge whose first letter is another: a letter replaced, or one of the
-    word's letters left out; a letter put in is the same pair seen from the other word. Edited states
-    follow only what equals the rest of their word. States that end with their word, at a node where
-    a word ends, are neighbours; the pair itself is checked before it is returned.
-
-    A node with many words below, as the first ones have, has its edges in several copies, each for
-    some of the words. The frontier is written to the shared folder level by level; levels are as many
-    as a word has nodes on its path at most.
+def _letter(word: Column, i: Column) -> Column:
+    """Letter ``i`` of a word, counted from 0."""
+    return F.substring(word, i + 1, F.lit(1))
+
+
+def _deal(copies: Column) -> Column:
+    return F.pmod(F.xxhash64("word"), copies).cast("int")
+
+
+def _parted(words: DataFrame, least: Column) -> DataFrame:
+    """``word, near``: pairs at one edit that part at depth ``least`` of the word or deeper.
+
+    Near words are as long as the word, or shorter by one. States (word, position, node, edits) move
+    along the trie's edges level by level. An unedited state stays on its own word's path, which is
+    known; two words at one edit part where their common beginning ends, so the edit is made there:
+    one of the word's letters is left out, or taken for the first of another edge. From then on a
+    state follows what equals the rest of its word, one edge a level, so the join is on node and
+    letter. States that end with their word where a word ends are neighbours.
     """
-    edges = trie_edges(words)
-    copies = F.ceil(F.col("below") / NODE_WORDS).cast("int")
-    stored = stage(edges.withColumn("copies", F.greatest(F.lit(1), copies)), "trie")
-    root = words.select("word").mapInArrow(_named, "word string, name binary, node binary")
-    total = words.count()
-    top = max(1, -(-total // NODE_WORDS))
-    copied = stored.join(
-        stored.select(F.col("child").alias("node"), F.col("copies").alias("_dealt")).distinct(), "node", "left"
-    ).withColumn("_dealt", F.coalesce("_dealt", F.lit(top)))
-    of_node = copied.groupBy("node").agg(
-        F.max("_dealt").alias("_dealt"),
-        F.collect_list(F.struct("label", "child", F.col("word").alias("ends"), "copies")).alias("edges"),
+    paths = _paths(words)
+    edges = _edges(paths)
+    length, i = F.length("word"), F.col("i")
+    start = paths.select("word", F.explode("path").alias("p")).select(
+        "word", F.col("p.depth").alias("i"), F.col("p.node").alias("node"), F.col("p.ends").alias("at_end"), _copies(F.col("p")).alias("copies")
+    )
+    start = stage(start.filter((i >= least) & (i < length)), "frontier")
+    found = start.filter((i == length - 1) & F.col("at_end")).select("word", F.left("word", length - 1).alias("near"))
+    left_out = start.filter((i < length - 1) & (_letter(F.col("word"), i) != _letter(F.col("word"), i + 1))).select(
+        "word", (i + 1).alias("i"), "node", "copies"
     )
-    dealt = stage(of_node.select("node", "edges", F.explode(F.sequence(F.lit(0), F.col("_dealt") - 1)).alias("deal")), "trie-edges")
+    fits = (i + F.col("n") <= length) & (F.substring("word", i + 2, F.col("n") - 1) == F.col("tail"))
+    asked = start.withColumn("deal", _deal(F.col("copies"))).select("word", "i", "node", "deal")
+    other = asked.join(edges, ["node", "deal"]).filter((F.col("first") != _letter(F.col("word"), i)) & fits)
 
-    def deal(copies: Column) -> Column:
-        return F.pmod(F.xxhash64("word"), copies).cast("int")
+    def after(met: DataFrame) -> DataFrame:
+        return stage(met.select("word", (i + F.col("n")).alias("i"), F.col("child").alias("node"), "ends", "copies"), "frontier")
 
-    frontier = root.select("word", F.lit(0).alias("i"), "node", F.lit(0).alias("edits"), deal(F.lit(top)).alias("deal"))
-    found: list[DataFrame] = []
+    moved = after(other)
+    frontier = left_out.unionByName(moved.filter(i < length).drop("ends"))
     while True:
-        frontier = stage(frontier, "frontier")
-        if frontier.isEmpty():
-            break
-        met = frontier.join(dealt, ["node", "deal"]).select("word", "i", "edits", F.explode("edges").alias("e"))
-        i, n, label = F.col("i"), F.length("e.label"), F.col("e.label")
-        along = _rest(i, n) == label
-        replaced = (F.col("edits") == 0) & ~along & (_rest(i + 1, n - 1) == F.substring(label, 2, 1 << 30)) & (i + n <= F.length("word"))
-        left_out = (F.col("edits") == 0) & ~along & (_rest(i + 1, n) == label)
-        moves = F.array_compact(F.array(
-            F.when(along, F.struct((i + n).alias("i"), F.col("edits").alias("edits"))),
-            F.when(replaced, F.struct((i + n).alias("i"), F.lit(1).alias("edits"))),
-            F.when(left_out, F.struct((i + n + 1).alias("i"), F.lit(1).alias("edits"))),
-        ))
-        moved = met.select("word", "e", F.explode(moves).alias("m")).select(
-            "word", F.col("m.i").alias("i"), F.col("e.child").alias("node"), F.col("m.edits").alias("edits"),
-            F.col("e.ends").alias("ends"), F.col("e.copies").alias("copies"),
-        )
-        moved = stage(moved, "frontier-moved")
-        # At its last letter an unedited word may leave that letter out.
-        over = F.length("word") - F.col("i")
-        hits = moved.filter(F.col("ends").isNotNull() & (((F.col("edits") == 1) & (over == 0)) | ((F.col("edits") == 0) & (over == 1))))
-        found.append(hits.select("word", F.col("ends").alias("near")))
-        frontier = moved.filter(over > 0).select("word", "i", "node", "edits", deal(F.col("copies")).alias("deal"))
-    pairs = found[0] if found else words.select("word", F.col("word").alias("near")).limit(0)
-    for more in found[1:]:
-        pairs = pairs.unionByName(more)
+        found = found.unionByName(moved.filter((i == length) & F.col("ends").isNotNull()).select("word", F.col("ends").alias("near")))
+        asked = frontier.select("word", "i", "node", _deal(F.col("copies")).alias("deal"), _letter(F.col("word"), i).alias("first"))
+        moved = after(asked.join(edges, ["node", "deal", "first"]).filter(fits))
+        frontier = moved.filter(i < length).drop("ends")
+        if moved.isEmpty():
+            return found
+
+
+def near_words(words: DataFrame) -> DataFrame:
+    """``word, near``: all ordered pairs of the given distinct words at exactly one edit, each once.
+
+    Of two words at one edit, the beginning or the end of at least half of the longer is common. The
+    trie of the words gives those that part in their second half, the trie of the reversed words the
+    others, so no state leaves its word's path near a root, where every letter has its edge. A letter
+    put in is a letter left out, seen from the other word. Pairs are checked before they are returned.
+
+    The frontier is written to the shared folder level by level; levels are as many as nodes on half
+    a word's path at most.
+    """
+    half = F.floor(F.length("word") / 2).cast("int")
+    ahead = _parted(words.select("word"), half)
+    behind = _parted(words.select(F.reverse("word").alias("word")), F.length("word") - half)
+    pairs = ahead.unionByName(behind.select(F.reverse("word").alias("word"), F.reverse("near").alias("near")))
     pairs = pairs.filter((F.col("word") != F.col("near")) & (F.levenshtein("word", "near", 1) == 1))
     shorter = F.length("near") < F.length("word")
     put_in = pairs.filter(shorter).select(F.col("near").alias("word"), F.col("word").alias("near"))
-    return pairs.unionByName(put_in)
+    return pairs.unionByName(put_in).distinct()
 
 
 def group_spellings(counted: DataFrame) -> DataFrame:
