@@ -1,10 +1,14 @@
 """Agglomerative clustering of article selections, many selections (blocks) at once.
 
-Every block is a selection of articles clustered on its own: its distance matrix, quadratic in its
-size by nature, is held by one task, so the size of a block is checked against a limit the caller
-sets, and the work grows with the number of blocks. One shuffle brings each block's pairs together;
-a small dense kernel then makes its tree under every linkage method. Ties go to the smaller cluster
-ids. Cluster ids are their smallest member.
+Every block is a selection of articles clustered on its own, and the work grows with the number of
+blocks. One shuffle brings the pairs of a block together, and a small dense kernel makes its tree
+under every linkage method. A block of more than TASK_ROWS articles is first made smaller by joins:
+round by round all reciprocal nearest neighbours merge at once, and the kernel takes over where few
+enough clusters are left, so no task holds more than a matrix of that size. Ties go to the smaller
+cluster ids. Cluster ids are their smallest member.
+
+A tree is a table of its merges, n - 1 for n articles. What asks for ancestors (flat clusters, the
+order of leaves) follows parent links by doubling; nothing is quadratic but the pairs asked for.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ from corpuslens.storage import stage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 METHODS = ("ward", "complete", "average")
+#: Clusters of a block whose distances one task holds.
+TASK_ROWS = 512
 CUT_SHARE = 0.70
 _LABEL = 45
 # Distances are compared at this precision, so that the order of a sum cannot break a tie.
@@ -42,8 +48,10 @@ def labels(articles: DataFrame, title: str = "title") -> DataFrame:
     return articles.withColumn("label", truncate_label(F.col(title), _LABEL))
 
 
-def check_block_sizes(docs: DataFrame, limit: int = CLUSTER_MAX_ROWS) -> DataFrame:
-    """Fail with a clear error when a block has more rows than a distance matrix may have."""
+def check_block_sizes(docs: DataFrame, limit: int | None = CLUSTER_MAX_ROWS) -> DataFrame:
+    """Fail with a clear error when a block has more rows than the caller wants pairs of; None wants all."""
+    if limit is None:
+        return docs
     largest = docs.groupBy("block").count().orderBy(F.desc("count"), "block").first()
     if largest is not None and largest["count"] > limit:
         raise ValueError(
@@ -56,7 +64,7 @@ def cosine_distance_edges(
     docs: DataFrame,
     lemmas: DataFrame | None = None,
     options: TfidfOptions = CLUSTERING,
-    limit: int = CLUSTER_MAX_ROWS,
+    limit: int | None = CLUSTER_MAX_ROWS,
 ) -> DataFrame:
     """Cosine distances of all articles of a block: ``(block, i, j, d)`` with ``i < j``.
 
@@ -89,110 +97,256 @@ def cosine_distance_edges(
 
 
 _TREE = (
-    "block {block}, method string, round int, i bigint, j bigint, height double, n_i bigint, "
-    "n_j bigint, node_i int, node_j int, s1 double, s2 double, leaf bigint, side string"
+    "block {block}, method string, round bigint, i bigint, j bigint, height double, n_i bigint, "
+    "n_j bigint, node_i bigint, node_j bigint, s1 double, s2 double"
 )
+_PAIR_STATE = ("size_{0}", "inside_{0}", "height_{0}", "node_{0}")
 
 
-def _merge(distance: np.ndarray, method: str) -> Iterator[tuple]:
-    """Merges one pair at a time: ``(round, a, b, height, n_a, n_b, node_a, node_b, s1, s2, left, right)``.
+def _distance(method: str, top, s1, s2, size_a, size_b, inside_a, inside_b, sqrt, at_least_0):
+    """Distance of two clusters by sums over the pairs between them, for arrays and columns alike.
 
-    For every two clusters ``top``, ``s1`` and ``s2`` are the maximum, sum and sum of squares of the
-    distances between their members, and ``inside`` is the sum of squares within one: the
-    Lance-Williams recurrences of the three methods reduce to these additive values.
+    ``top``, ``s1`` and ``s2`` are the maximum, sum and sum of squares of the distances between their
+    members, and ``inside`` is the sum of squares within one: the Lance-Williams recurrences of the
+    three methods reduce to these additive values.
     """
-    n = len(distance)
-    top, s1, s2 = distance.copy(), distance.copy(), distance**2
-    size, inside, height = np.ones(n), np.zeros(n), np.zeros(n)
-    node, alive = np.zeros(n, int), np.ones(n, bool)
-    members = [[k] for k in range(n)]
-    near = np.where(np.triu(np.ones((n, n), bool), 1), distance, np.inf)
-    for number in range(1, n):
+    pairs = size_a * size_b
+    if method == "complete":
+        return top
+    if method == "average":
+        return s1 / pairs
+    mean = s2 / pairs - inside_a / (size_a * size_a) - inside_b / (size_b * size_b)
+    return sqrt(at_least_0(2 * pairs / (size_a + size_b) * mean))
+
+
+def _merge(method: str, state: dict[str, np.ndarray], first: int) -> Iterator[tuple]:
+    """Merges one pair at a time: ``(round, a, b, height, n_a, n_b, node_a, node_b, s1, s2)``.
+
+    ``state`` holds the matrices ``top``, ``s1`` and ``s2`` and, of each cluster, ``size``, ``inside``,
+    ``height`` and the ``node`` that it is.
+    """
+    top, s1, s2 = state["top"], state["s1"], state["s2"]
+    size, inside, height, node = (state[k] for k in ("size", "inside", "height", "node"))
+    n = len(size)
+    alive = np.ones(n, bool)
+
+    def distances(a: np.ndarray, v: np.ndarray) -> np.ndarray:
+        known = (top[a, v], s1[a, v], s2[a, v], size[a], size[v], inside[a], inside[v])
+        d = _distance(method, *known, np.sqrt, lambda x: np.maximum(0.0, x))
+        return np.where(size[a] * size[v] == 1, top[a, v], np.round(d, _DIGITS))
+
+    near = np.full((n, n), np.inf)
+    upper = np.triu_indices(n, 1)
+    near[upper] = distances(*upper)
+    for number in range(first, first + n - 1):
         a, b = divmod(int(near.argmin()), n)
         h = max(near[a, b], height[a], height[b])
-        yield number, a, b, h, size[a], size[b], node[a], node[b], s1[a, b], s2[a, b], members[a], members[b]
+        yield number, a, b, h, size[a], size[b], node[a], node[b], s1[a, b], s2[a, b]
         inside[a] += inside[b] + s2[a, b]
         for sums, joined in ((s1, s1[a] + s1[b]), (s2, s2[a] + s2[b]), (top, np.maximum(top[a], top[b]))):
             sums[a], sums[:, a] = joined, joined
         size[a] += size[b]
         height[a], node[a] = h, number
-        members[a] = members[a] + members[b]
         alive[b] = False
         near[b, :] = near[:, b] = np.inf
         alive[a] = False
         v = np.flatnonzero(alive)
         alive[a] = True
-        pairs = size[a] * size[v]
-        if method == "complete":
-            d = top[a, v]
-        elif method == "average":
-            d = s1[a, v] / pairs
-        else:
-            mean = s2[a, v] / pairs - inside[a] / size[a] ** 2 - inside[v] / size[v] ** 2
-            d = np.sqrt(np.maximum(0.0, 2 * pairs / (size[a] + size[v]) * mean))
-        near[np.minimum(a, v), np.maximum(a, v)] = np.round(d, _DIGITS)
-
-
-def _block_tree(part: pd.DataFrame, methods: Sequence[str]) -> pd.DataFrame:
-    """All merges of one block, a row for each leaf of the cluster that a merge makes."""
+        near[np.minimum(a, v), np.maximum(a, v)] = distances(np.full(len(v), a), v)
+
+
+_MERGE = "method round i j height n_i n_j node_i node_j s1 s2".split()
+
+
+def _finished(part: pd.DataFrame, methods: Sequence[str], first: int) -> pd.DataFrame:
+    """All merges that are left of one block, under each method, from the state of its pairs."""
     ids = np.unique(part[["i", "j"]].to_numpy())
-    distance = np.zeros((len(ids), len(ids)))
+    n = len(ids)
     i, j = np.searchsorted(ids, part["i"]), np.searchsorted(ids, part["j"])
-    distance[i, j] = distance[j, i] = part["d"]
+    matrices = {}
+    for k in ("top", "s1", "s2"):
+        matrices[k] = np.zeros((n, n))
+        matrices[k][i, j] = matrices[k][j, i] = part[k]
+    clusters = {}
+    for k in ("size", "inside", "height", "node"):
+        clusters[k] = np.zeros(n)
+        clusters[k][i], clusters[k][j] = part[f"{k}_i"], part[f"{k}_j"]
     rows = []
     for method in methods:
-        for number, a, b, h, n_a, n_b, node_a, node_b, s1, s2, left, right in _merge(distance, method):
-            merge = (method, number, ids[a], ids[b], h, n_a, n_b, node_a, node_b, s1, s2)
-            rows += [(*merge, ids[x], side) for side, held in (("i", left), ("j", right)) for x in held]
-    names = "method round i j height n_i n_j node_i node_j s1 s2 leaf side".split()
-    made = pd.DataFrame(rows, columns=names).astype({"n_i": "int64", "n_j": "int64"})
+        state = {k: v.copy() for k, v in (matrices | clusters).items()}
+        for number, a, b, *rest in _merge(method, state, first):
+            rows.append((method, number, ids[a], ids[b], *rest))
+    whole = dict.fromkeys(("round", "n_i", "n_j", "node_i", "node_j"), "int64")
+    made = pd.DataFrame(rows, columns=_MERGE).astype(whole)
     made.insert(0, "block", part["block"].iloc[0])
     return made
 
 
-def merge_tree(distances: DataFrame, methods: Sequence[str] = METHODS) -> DataFrame:
-    """All merges of all blocks and methods, one row per member leaf.
+def _pair_state(distances: DataFrame) -> DataFrame:
+    """Every article a cluster of its own: the pairs with what is known of both their clusters."""
+    d = F.col("d")
+    single = [
+        v.alias(c.format(x))
+        for x in ("i", "j")
+        for c, v in zip(_PAIR_STATE, (F.lit(1.0), F.lit(0.0), F.lit(0.0), F.lit(0).cast("bigint")))
+    ]
+    return distances.select("block", "i", "j", d.alias("top"), d.alias("s1"), (d * d).alias("s2"), *single)
+
+
+def _round(state: DataFrame, number: int) -> tuple[DataFrame, DataFrame]:
+    """Merges of all reciprocal nearest neighbours of a state with ``method``, and the state after them.
 
-    ``distances`` holds every pair of a block, as :func:`cosine_distance_edges` gives it; a block
-    has to fit a task. The tree table carries what all later steps need: round, joined clusters
-    ``i`` and ``j``, height, sizes, sums of distances, and for each leaf the ``side`` it came from.
+    Pairs are ordered by distance, then by their clusters' ids. A pair that comes first among those
+    of both its clusters is merged by the sequential scan too, before either cluster meets another,
+    because a merge elsewhere brings no third cluster nearer than its parts were (all three methods
+    are reducible) and keeps the smaller id.
+    """
+    known = [F.col(c) for c in ("top", "s1", "s2", "size_i", "size_j", "inside_i", "inside_j")]
+    d = F.lit(None).cast("double")
+    for m in METHODS:
+        found = _distance(m, *known, F.sqrt, lambda x: F.greatest(x, F.lit(0.0)))
+        d = F.when(F.col("method") == m, found).otherwise(d)
+    single = F.col("size_i") * F.col("size_j") == 1
+    measured = state.withColumn("d", F.when(single, F.col("top")).otherwise(F.round(d, _DIGITS)))
+    ends = F.explode(F.array("i", "j")).alias("x")
+    nearest = measured.select(*_KEY, ends, F.struct("d", "i", "j").alias("p")).groupBy(*_KEY, "x").agg(F.min("p").alias("p"))
+    mutual = nearest.groupBy(*_KEY, "p").agg(F.count(F.lit(1)).alias("n")).filter("n = 2").select(*_KEY, "p.i", "p.j", "p.d")
+    merges = measured.drop("d").join(mutual, [*_KEY, "i", "j"])
+    merges = stage(
+        merges.select(
+            *_KEY, F.lit(number).cast("bigint").alias("round"), "i", "j",
+            F.greatest("d", "height_i", "height_j").alias("height"), F.col("size_i").cast("bigint").alias("n_i"),
+            F.col("size_j").cast("bigint").alias("n_j"), "node_i", "node_j", "s1", "s2",
+            (F.col("inside_i") + F.col("inside_j") + F.col("s2")).alias("inside"),
+        ),
+        "merges",
+    )
+    joined = merges.select(
+        *_KEY, F.explode(F.array("i", "j")).alias("old"), F.col("i").alias("new"),
+        (F.col("n_i") + F.col("n_j")).cast("double").alias("size"), "inside", "height", F.col("round").alias("node"),
+    )
+    moved = state
+    for x in ("i", "j"):
+        names = {"old": x, "new": f"new_{x}"} | {c: f"now_{c}_{x}" for c in ("size", "inside", "height", "node")}
+        moved = moved.join(joined.withColumnsRenamed(names), [*_KEY, x], "left")
+    a, b = (F.coalesce(f"new_{x}", x) for x in ("i", "j"))
+    now = [
+        F.coalesce(f"now_{c}_{x}", f"{c}_{x}").alias(f"{c}_{x}") for x in ("i", "j") for c in ("size", "inside", "height", "node")
+    ]
+    turned = moved.filter(a != b).select(*_KEY, a.alias("a"), b.alias("b"), "top", "s1", "s2", *now)
+    swap = F.col("a") > F.col("b")
+    sides = [
+        F.first(F.when(swap, F.col(f"{c}_{y}")).otherwise(F.col(f"{c}_{x}"))).alias(f"{c}_{x}")
+        for x, y in (("i", "j"), ("j", "i")) for c in ("size", "inside", "height", "node")
+    ]
+    after = turned.groupBy(*_KEY, F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j")).agg(
+        F.max("top").alias("top"), F.sum("s1").alias("s1"), F.sum("s2").alias("s2"), *sides
+    )
+    return merges.drop("inside"), stage(after, "clusters")
+
+
+def merge_tree(distances: DataFrame, methods: Sequence[str] = METHODS, task_rows: int = TASK_ROWS) -> DataFrame:
+    """All merges of all blocks and methods, one row each.
+
+    ``distances`` holds every pair of a block, as :func:`cosine_distance_edges` gives it. The tree
+    carries what all later steps need: round, joined clusters ``i`` and ``j``, height, sizes, sums of
+    distances, and the nodes joined: 0 is an article, else the round that made the cluster.
+
+    Blocks of up to ``task_rows`` articles are done by the kernel at once. The pairs of others are
+    merged by rounds of joins until so many clusters are left; keys are pairs, so a large block is
+    spread over all tasks. A round merges every pair of reciprocal nearest neighbours, as a rule a
+    fifth of the clusters; a block that grows by one article at a time takes as many rounds.
     """
     unknown = set(methods) - set(METHODS)
     if unknown:
         raise ValueError(f"unknown linkage methods {sorted(unknown)}")
     schema = _TREE.replace("{block}", distances.schema["block"].dataType.simpleString())
-    tree = (
-        distances.select("block", "i", "j", "d")
-        .groupBy("block")
-        .applyInPandas(lambda part: _block_tree(part, methods), schema)
+    state = stage(_pair_state(distances), "pairs")
+    most_pairs = task_rows * (task_rows - 1) // 2
+
+    def large(rows: DataFrame, keys: list[str]) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most_pairs).select(*keys)
+
+    blocks = stage(large(state, ["block"]), "large-blocks")
+    if blocks.isEmpty():
+        tree = state.groupBy("block").applyInPandas(lambda part: _finished(part, methods, 1), schema)
+        return stage(tree, "tree")
+    small = state.join(blocks, "block", "left_anti")
+    tree = [small.groupBy("block").applyInPandas(lambda part: _finished(part, methods, 1), schema)]
+    method = F.explode(F.array(*[F.lit(m) for m in methods])).alias("method")
+    open_ones = stage(state.join(blocks, "block", "left_semi").select("*", method), "clusters")
+    number = 0
+    while True:
+        keys = stage(large(open_ones, _KEY), "large-blocks")
+        rest = open_ones.join(keys, _KEY, "left_anti")
+        tree.append(_by_kernel(rest, number + 1, schema))
+        if keys.isEmpty():
+            break
+        number += 1
+        merges, open_ones = _round(open_ones.join(keys, _KEY, "left_semi"), number)
+        tree.append(merges)
+    whole = tree[0]
+    for part in tree[1:]:
+        whole = whole.unionByName(part)
+    return stage(whole, "tree")
+
+
+def _by_kernel(state: DataFrame, first: int, schema: str) -> DataFrame:
+    def finish(part: pd.DataFrame) -> pd.DataFrame:
+        return _finished(part, [part["method"].iloc[0]], first)
+
+    return state.groupBy(*_KEY).applyInPandas(finish, schema)
+
+
+def _steps(tree: DataFrame) -> DataFrame:
+    """The merges numbered from 0 as ``step``: by height, then size, then first member."""
+    by_height = Window.partitionBy(*_KEY).orderBy(
+        F.round("height", _HEIGHT_DIGITS), F.col("n_i") + F.col("n_j"), "i"
     )
-    return stage(tree, "tree")
+    return tree.withColumn("step", (F.row_number().over(by_height) - 1).cast("bigint"))
 
 
-def _merges(tree: DataFrame) -> DataFrame:
-    """One row per merge, numbered from 0 as ``step``: by height, then size, then first member."""
-    by_height = Window.partitionBy(*_KEY).orderBy(
-        F.round("height", _HEIGHT_DIGITS), F.col("n_i") + F.col("n_j"), "i"
+def _sides(tree: DataFrame, *more: str) -> DataFrame:
+    """Both sides of every merge: ``id`` and ``node`` of the cluster, and of the one it goes into."""
+    sides = F.explode(
+        F.array(*[F.struct(F.lit(x).alias("side"), F.col(x).alias("id"), F.col(f"node_{x}").alias("node")) for x in ("i", "j")])
     )
-    return (
-        tree.filter(F.col("leaf") == F.col("i"))
-        .drop("leaf", "side")
-        .withColumn("step", (F.row_number().over(by_height) - 1).cast("bigint"))
+    return tree.select(*_KEY, sides.alias("s"), F.col("i").alias("up_id"), F.col("round").alias("up_node"), *more).select(
+        *_KEY, "s.*", "up_id", "up_node", *more
     )
 
 
+def _to_the_top(links: DataFrame) -> DataFrame:
+    """``links`` with ``up_id`` and ``up_node`` of the last ancestor that links lead to, and ``add`` summed.
+
+    By doubling: every link is replaced by the one its end has, until none has one; as many rounds as
+    the depth has digits in binary.
+    """
+    columns = [*_KEY, "id", "node", "up_id", "up_node", "add"]
+    links = stage(links.select(*columns), "links")
+    while True:
+        ahead = links.select(
+            *_KEY, F.col("id").alias("up_id"), F.col("node").alias("up_node"), F.col("up_id").alias("next_id"),
+            F.col("up_node").alias("next_node"), F.col("add").alias("more"),
+        )
+        joined = links.join(ahead, [*_KEY, "up_id", "up_node"], "left").select(
+            *_KEY, "id", "node", F.coalesce("next_id", "up_id").alias("up_id"), F.coalesce("next_node", "up_node").alias("up_node"),
+            (F.col("add") + F.coalesce("more", F.lit(0))).alias("add"), F.col("next_id").isNotNull().alias("moved"),
+        )
+        moved = stage(joined, "links")
+        links = moved.select(*columns)
+        if moved.filter("moved").isEmpty():
+            return links
+
+
 def _numbered_merges(tree: DataFrame) -> DataFrame:
     """Merges with the node numbers of their two sides: leaves 0..n-1, then n + step."""
-    merges = _merges(tree)
+    merges = _steps(tree)
     whole = Window.partitionBy(*_KEY)
     by_id = Window.partitionBy(*_KEY).orderBy("id")
     leaf_nodes = (
-        tree.select(*_KEY, F.col("leaf").alias("id"))
-        .distinct()
-        .select(
-            *_KEY, "id", F.lit(0).alias("node"),
-            (F.row_number().over(by_id) - 1).cast("bigint").alias("number"),
-        )
+        _sides(tree).filter("node = 0")
+        .select(*_KEY, "id", "node", (F.row_number().over(by_id) - 1).cast("bigint").alias("number"))
     )
     inner_nodes = merges.select(
         *_KEY, F.col("i").alias("id"), F.col("round").alias("node"),
@@ -222,14 +376,34 @@ def linkage(tree: DataFrame) -> DataFrame:
     )
 
 
+def _places(tree: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Merges with ``left`` (the side drawn there), and the places at which all their sides begin."""
+    drawn = F.when(F.col("number_i") < F.col("number_j"), "i").otherwise("j")
+    merges = stage(_numbered_merges(tree).withColumn("left", drawn), "numbered")
+    before = F.when(F.col("side") == F.col("left"), 0).when(F.col("left") == "i", F.col("n_i")).otherwise(F.col("n_j"))
+    return merges, _to_the_top(_sides(merges, "left", "n_i", "n_j").withColumn("add", before.cast("bigint")))
+
+
 def cophenetic_distances(tree: DataFrame) -> DataFrame:
-    """Height at which each pair of leaves first joins: ``(block, method, i, j, height)``."""
-    key = [*_KEY, "round", "i"]
-    left = tree.filter(F.col("side") == "i").select(*key, "height", F.col("leaf").alias("x"))
-    right = tree.filter(F.col("side") == "j").select(*key, F.col("leaf").alias("y"))
-    return left.join(right, key).select(
-        *_KEY, F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "height"
+    """Height at which each pair of leaves first joins: ``(block, method, i, j, height)``.
+
+    In drawn order the leaves of a cluster stand together, so a merge's pairs are those of two runs of
+    the block's leaves.
+    """
+    merges, places = _places(tree)
+    leaves = places.filter("node = 0").groupBy(*_KEY).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("add", "id"))), lambda x: x["id"]).alias("order")
+    )
+    begins = places.select(*_KEY, F.col("id").alias("i"), F.col("node").alias("round"), "add")
+    n_left = F.when(F.col("left") == "i", F.col("n_i")).otherwise(F.col("n_j")).cast("int")
+    n_right = (F.col("n_i") + F.col("n_j")).cast("int") - n_left
+    # The last merge has no place among the sides: it begins at 0.
+    at = F.coalesce("add", F.lit(0)).cast("int") + 1
+    runs = merges.join(begins, [*_KEY, "i", "round"], "left").join(leaves, _KEY).select(
+        *_KEY, "height", F.slice("order", at, n_left).alias("a"), F.slice("order", at + n_left, n_right).alias("b")
     )
+    pairs = runs.select(*_KEY, "height", F.explode("a").alias("x"), "b").select(*_KEY, "height", "x", F.explode("b").alias("y"))
+    return pairs.select(*_KEY, F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "height")
 
 
 def cophenetic_scores(tree: DataFrame) -> DataFrame:
@@ -240,7 +414,7 @@ def cophenetic_scores(tree: DataFrame) -> DataFrame:
     """
     pairs = F.col("n_i") * F.col("n_j")
     h = F.col("height")
-    sums = _merges(tree).groupBy(*_KEY).agg(
+    sums = tree.groupBy(*_KEY).agg(
         F.sum(pairs).alias("n"), F.sum("s1").alias("d"), F.sum("s2").alias("dd"),
         F.sum(h * pairs).alias("c"), F.sum(h * h * pairs).alias("cc"),
         F.sum(h * F.col("s1")).alias("dc"),
@@ -280,31 +454,18 @@ def best_method(tree: DataFrame) -> DataFrame:
 def cut_clusters(tree: DataFrame, share: float = CUT_SHARE) -> DataFrame:
     """Flat clusters below ``share`` of the greatest merge height: ``(block, method, leaf, cluster)``.
 
-    A cluster is named by its smallest member.
+    A cluster is named by its smallest member. Heights never fall on the way up, so the merges below
+    the cut are whole subtrees, and a leaf's cluster is the last of them that its links lead to.
     """
-    top = Window.partitionBy(*_KEY)
-    below = F.col("height") < F.lit(share) * F.col("_top")
-    return (
-        tree.withColumn("_top", F.max("height").over(top))
-        .groupBy(*_KEY, "leaf")
-        .agg(F.max_by("i", F.when(below, F.col("round"))).alias("i"))
-        .select(*_KEY, "leaf", F.coalesce("i", "leaf").alias("cluster"))
-    )
+    whole = Window.partitionBy(*_KEY)
+    low = tree.withColumn("_top", F.max("height").over(whole)).filter(F.col("height") < F.lit(share) * F.col("_top"))
+    tops = _to_the_top(_sides(low).withColumn("add", F.lit(0).cast("bigint"))).filter("node = 0")
+    leaves = _sides(tree).filter("node = 0").select(*_KEY, F.col("id").alias("leaf"))
+    named = tops.select(*_KEY, F.col("id").alias("leaf"), F.col("up_id").alias("cluster"))
+    return leaves.join(named, [*_KEY, "leaf"], "left").select(*_KEY, "leaf", F.coalesce("cluster", "leaf").alias("cluster"))
 
 
 def leaf_order(tree: DataFrame) -> DataFrame:
-    """Left-to-right position of every leaf in the drawn tree."""
-    left_side = F.when(F.col("number_i") < F.col("number_j"), "i").otherwise("j")
-    turns = _numbered_merges(tree).select(*_KEY, "round", "i", "step", left_side.alias("left"))
-    path = (
-        tree.select(*_KEY, "round", "i", "side", "leaf")
-        .join(turns, [*_KEY, "round", "i"])
-        .withColumn("turn", F.when(F.col("side") == F.col("left"), "0").otherwise("1"))
-        .groupBy(*_KEY, "leaf")
-        .agg(F.sort_array(F.collect_list(F.struct("step", "turn")), asc=False).alias("p"))
-        .select(*_KEY, "leaf", F.array_join("p.turn", "").alias("path"))
-    )
-    drawn = Window.partitionBy(*_KEY).orderBy("path")
-    return path.select(
-        *_KEY, "leaf", (F.row_number().over(drawn) - 1).cast("bigint").alias("position")
-    )
+    """Left-to-right position of every leaf in the drawn tree: the leaves to the left of its ancestors."""
+    _, places = _places(tree)
+    return places.filter("node = 0").select(*_KEY, F.col("id").alias("leaf"), F.col("add").alias("position"))

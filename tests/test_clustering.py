@@ -148,3 +148,37 @@ def test_article_in_two_blocks(spark):
         edges = clustering.cosine_distance_edges(df).filter("block = 'x'").collect()
         found.append(sorted((r.i, r.j, r.d) for r in edges))
     assert len(found[0]) == 6 and found[0] == found[1]
+
+
+@pytest.mark.parametrize("digits", [1, 9])
+def test_large_blocks_by_rounds_equal_the_kernel(spark, digits):
+    """Reciprocal neighbours merged by joins give the kernel's tree, with many ties and without."""
+    rng = random.Random(digits)
+    point = {i: (rng.random(), rng.random()) for i in range(80)}
+    rows = [
+        ("big", i, j, round(math.dist(point[i], point[j]), digits)) for i in point for j in point if i < j
+    ] + [("small", i, j, 0.5 + (i + j) / 100) for i in range(8) for j in range(i + 1, 8)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    found = {}
+    for task_rows in (512, 16):
+        tree = clustering.merge_tree(table, task_rows=task_rows)
+        key = lambda r: (r.block, r.method, r.step)
+        links = sorted(clustering.linkage(tree).collect(), key=key)
+        cuts = sorted(map(tuple, clustering.cut_clusters(tree).collect()))
+        order = sorted(map(tuple, clustering.leaf_order(tree).collect()))
+        scores = {(r.block, r.method): round(r.ccc, 9) for r in clustering.cophenetic_scores(tree).collect()}
+        coph = sorted((*r[:4], round(r.height, 9)) for r in clustering.cophenetic_distances(tree).collect())
+        found[task_rows] = [(key(r), r.left, r.right, r.size, round(r.height, 9)) for r in links], cuts, order, scores, coph
+    assert found[16] == found[512]
+
+
+def test_a_chain_of_merges(spark):
+    """A tree as deep as it has articles: links are followed by doubling, clusters cut within it."""
+    n = 100
+    rows = [("c", i, j, 1.0 + 0.01 * j) for i in range(n) for j in range(i + 1, n)]
+    tree = clustering.merge_tree(spark.createDataFrame(rows, SCHEMA), ("complete", "average"))
+    order = clustering.leaf_order(tree).collect()
+    assert len(order) == 2 * n and {r.position for r in order} == set(range(n))
+    cuts = clustering.cut_clusters(tree, 0.8).filter("method = 'complete'").collect()
+    low = {j for j in range(1, n) if 1 + 0.01 * j < 0.8 * (1 + 0.01 * (n - 1))} | {0}
+    assert {r.leaf: r.cluster for r in cuts} == {i: 0 if i in low else i for i in range(n)}
