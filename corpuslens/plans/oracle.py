@@ -473,8 +473,8 @@ _PART_LABELS = _dedup_labels(_PARTS)
 
 # ---- corpus similarity
 
-_SIMILAR = f"""
-    WITH cleaned AS (SELECT doc_id, preprocessed AS text FROM ({_LEMMATIZED})),
+_CORPUS_WEIGHTS = f"""
+    cleaned AS (SELECT doc_id, preprocessed AS text FROM ({_LEMMATIZED})),
     toks AS (SELECT doc_id, unnest({_tokens("text")}) AS term FROM cleaned),
     tf AS (SELECT doc_id, term, count(*) AS tf FROM toks GROUP BY ALL),
     total AS (SELECT count(*) AS n FROM documents),
@@ -483,7 +483,10 @@ _SIMILAR = f"""
     raw AS (SELECT doc_id, term, (ln(tf) + 1) * idf AS r FROM tf JOIN idf USING (term)),
     names AS (SELECT text, min(doc_id) AS doc_id, count(*) AS copies FROM cleaned GROUP BY text),
     w AS (SELECT doc_id, term, r / sqrt(sum(r * r) OVER (PARTITION BY doc_id)) AS w FROM raw
-          WHERE doc_id IN (SELECT doc_id FROM names)),
+          WHERE doc_id IN (SELECT doc_id FROM names))
+"""
+_SIMILAR = f"""
+    WITH {_CORPUS_WEIGHTS},
     pairs AS (SELECT a.doc_id AS a_id, b.doc_id AS b_id, sum(a.w * b.w) AS s
       FROM w a JOIN w b ON a.term = b.term AND a.doc_id < b.doc_id GROUP BY ALL
       HAVING sum(a.w * b.w) >= 0.8::DOUBLE)
@@ -500,6 +503,16 @@ _TOP_SIMILAR = f"""
     WHERE rank <= 3
 """
 
+_NEAREST = f"""
+    WITH {_CORPUS_WEIGHTS},
+    pairs AS (SELECT a.doc_id AS id, b.doc_id AS partner, round(sum(a.w * b.w), 9) AS s
+      FROM w a JOIN w b ON a.term = b.term AND a.doc_id < b.doc_id GROUP BY ALL),
+    ends AS (SELECT id, partner, s FROM pairs UNION ALL SELECT partner, id, s FROM pairs),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY s DESC, partner)::INTEGER AS rank FROM ends)
+    SELECT id, partner, round(s, 6)::DOUBLE AS similarity, rank, copies
+    FROM ranked JOIN names ON names.doc_id = partner WHERE rank <= 3
+"""
+
 # ---- clustering
 
 _BLANKS = "chr(32) || chr(9) || chr(10) || chr(13)"
@@ -806,6 +819,7 @@ ORACLE_SQL: dict[str, str] = {
     "near_duplicate_pairs": f"WITH {_near_pairs(_PAGES)} SELECT a_id, b_id, score FROM near",
     "similarity_join": _SIMILAR,
     "top_similar": _TOP_SIMILAR,
+    "nearest_articles": _NEAREST,
     "distance_edges": f"WITH {_DISTANCES} SELECT block, i, j, round(d, 6) AS d FROM dist",
     "linkage": _LINKAGE,
     "cophenetic_distances": _of_tree(

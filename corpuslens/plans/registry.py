@@ -364,6 +364,12 @@ def similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(simjoin.similarity_join(texts, 0.8), "similarity")
 
 
+def nearest_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lemmas = inputs.plural_lemmas(spark, sf_dir)
+    texts = preprocess.preprocess(inputs.documents(spark, sf_dir), lemmas=lemmas)
+    return _rounded(simjoin.nearest_articles(texts, 3), "similarity")
+
+
 def top_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simjoin.top_similar(similarity_join(spark, sf_dir), 3)
 
@@ -536,6 +542,7 @@ QUERIES: dict[str, Query] = {
         near_duplicate_pairs,
         similarity_join,
         top_similar,
+        nearest_articles,
         distance_edges,
         cluster_labels,
         linkage,
