@@ -513,6 +513,15 @@ _NEAREST = f"""
     FROM ranked JOIN names ON names.doc_id = partner WHERE rank <= 3
 """
 
+_SIM_TOPK = """
+    SELECT id, partner, round(s, 6)::DOUBLE AS similarity, rank FROM (
+      SELECT id, partner, s, row_number() OVER (PARTITION BY id ORDER BY s DESC, partner)::INTEGER AS rank
+      FROM (SELECT a.vec_id AS id, b.vec_id AS partner,
+          round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) AS s
+        FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id))
+    WHERE rank <= 5
+"""
+
 # ---- clustering
 
 _BLANKS = "chr(32) || chr(9) || chr(10) || chr(13)"
@@ -820,6 +829,7 @@ ORACLE_SQL: dict[str, str] = {
     "similarity_join": _SIMILAR,
     "top_similar": _TOP_SIMILAR,
     "nearest_articles": _NEAREST,
+    "sim_topk": _SIM_TOPK,
     "distance_edges": f"WITH {_DISTANCES} SELECT block, i, j, round(d, 6) AS d FROM dist",
     "linkage": _LINKAGE,
     "cophenetic_distances": _of_tree(

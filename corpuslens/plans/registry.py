@@ -30,6 +30,7 @@ from corpuslens.operators import (
     simjoin,
     tfidf,
     trends,
+    vectorjoin,
     wordcloud,
 )
 from corpuslens.plans import inputs
@@ -370,6 +371,11 @@ def nearest_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(simjoin.nearest_articles(texts, 3), "similarity")
 
 
+def sim_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = inputs.table(spark, sf_dir, "embeddings")
+    return _rounded(vectorjoin.nearest_by_vector(vectors, 5, "vec_id", "embedding"), "similarity")
+
+
 def top_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simjoin.top_similar(similarity_join(spark, sf_dir), 3)
 
@@ -543,6 +549,7 @@ QUERIES: dict[str, Query] = {
         similarity_join,
         top_similar,
         nearest_articles,
+        sim_topk,
         distance_edges,
         cluster_labels,
         linkage,
