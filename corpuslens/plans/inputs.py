@@ -82,6 +82,14 @@ def part_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An embedding for every document, the vectors taken by turns: ``doc_id, vector``."""
+    vectors = table(spark, sf_dir, "embeddings")
+    turn = F.pmod(F.col("doc_id"), vectors.agg(F.count(F.lit(1))).scalar())
+    ids = documents(spark, sf_dir).select("doc_id", turn.alias("vec_id"))
+    return ids.join(vectors, "vec_id").select("doc_id", F.col("embedding").alias("vector"))
+
+
 def publications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as publications: order year, customer's nation as journal, segment as type.
 

@@ -37,6 +37,7 @@ from corpuslens.plans import inputs
 from corpuslens.plans.unify import unify
 from corpuslens.sources.exports import read_exports
 from corpuslens.sources.unified import read_unified
+from corpuslens.schema import rows_with_columns
 from corpuslens.storage import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -238,6 +239,25 @@ def similarity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.similarity_report(pairs)
 
 
+def document_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report over whole documents, each with its successor."""
+    pairs = similarity.attach_vectors(
+        inputs.document_pairs(spark, sf_dir), inputs.document_vectors(spark, sf_dir), "doc_id", "vector", "emb"
+    )
+    pairs = similarity.attach_vectors(pairs, _document_word_vectors(spark, sf_dir), "doc_id", "vector", "wv")
+    return similarity.similarity_report(pairs)
+
+
+def required_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each text table that a report by language can use: none where the column is absent."""
+    counts = []
+    for name in ("documents", "benchmark", "pages"):
+        usable = rows_with_columns(inputs.table(spark, sf_dir, name), "text", "lang")
+        given = F.count_if(F.col("text").isNotNull() & F.col("lang").isNotNull())
+        counts.append(usable.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), given.alias("n_given")))
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 # ---- term precision
 
 
@@ -523,6 +543,8 @@ QUERIES: dict[str, Query] = {
         sim_embedding,
         sim_word_vectors,
         similarity_report,
+        document_report,
+        required_columns,
         term_precision,
         precision_summary,
         infer_country,

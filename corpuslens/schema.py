@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ARTICLE_SCHEMA = T.StructType(
@@ -50,3 +53,16 @@ def require_columns(df: DataFrame, *names: str) -> DataFrame:
     if absent:
         raise MissingColumnsError(f"missing columns {absent}; available: {df.columns}")
     return df
+
+
+def rows_with_columns(df: DataFrame, *names: str) -> DataFrame:
+    """``df``, or no rows of it and a warning where a column is absent, which is then null.
+
+    For reports over tables of any origin, which go on without what a table can't give;
+    :func:`require_columns` fails instead.
+    """
+    absent = [n for n in names if n not in df.columns]
+    if not absent:
+        return df
+    warnings.warn(f"no rows used: missing columns {absent}; available: {df.columns}", stacklevel=2)
+    return df.withColumns({n: F.lit(None).cast("string") for n in absent}).filter(F.lit(False))
