@@ -184,6 +184,8 @@ def _paths(words: DataFrame) -> DataFrame:
     )
     # A word that ends has no next letter, which sorts first.
     kept = nodes.filter("_least <> _most OR _least = '' OR _depth = 0").select("node", "below", (F.col("_least") == "").alias("ends"))
+    # Stored, so that the join deals both sides itself and may split those of a hot node.
+    kept = stage(kept, "trie-nodes")
     paths = prefixes.join(kept, "node").groupBy("name").agg(
         F.array_sort(F.collect_list(F.struct("depth", "node", "below", "ends"))).alias("path")
     )
