@@ -142,3 +142,12 @@ def test_selection(spark):
         selection.clusterable(df.drop("title"))
     looked = selection.title_lookup(df, df.filter("ord = 4")).collect()
     assert [tuple(r) for r in looked] == [("t1", "x" * 46)]
+
+
+def test_lemmatize_sends_no_occurrences(spark):
+    """Occurrences stay with their document; rows with one key are one document, a null key too."""
+    docs = spark.createDataFrame([(1, ["cats", "cats", "dog"]), (2, None), (None, ["dogs"]), (3, ["b", "d"]), (3, ["a"])], "doc_id int, tokens array<string>")
+    lemmas = spark.createDataFrame([("cats", "cat"), ("dogs", "dog"), ("dog", None)], "token string, lemma string")
+    found = preprocess.lemmatize(docs, lemmas, "doc_id", "tokens")
+    assert "posexplode" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.doc_id: r.tokens for r in found.collect()} == {1: ["cat", "cat", "dog"], 2: [], None: ["dog"], 3: ["a", "b", "d"]}
