@@ -21,19 +21,19 @@ def cloud_tokens(text: Column) -> Column:
     return F.filter(bare, lambda t: ~t.rlike(r"(?U)^\d+$"))
 
 
-def _merge_plurals(counts: DataFrame) -> DataFrame:
-    """Add the count of ``words`` to ``word`` where both occur; ``-ss`` endings stay."""
-    word = F.col("word")
-    stem = F.when(
-        word.endswith("s") & ~word.endswith("ss"), F.substring(word, F.lit(1), F.length(word) - 1)
-    )
-    singular = counts.select(F.col("word").alias("singular"))
-    return (
-        counts.withColumn("stem", stem)
-        .join(singular, F.col("stem") == F.col("singular"), "left")
-        .withColumn("standard", F.coalesce("singular", "word"))
-        .select("word", "standard", "n")
-    )
+def _stem(word: Column) -> Column:
+    """``word`` without a final single ``s``: words with one stem are a singular and its plural.
+
+    A stem ends in no single ``s`` of its own, so no word is both a plural and another's singular.
+    """
+    plural = word.endswith("s") & ~word.endswith("ss")
+    return F.when(plural, F.substring(word, F.lit(1), F.length(word) - 1)).otherwise(word)
+
+
+def _standard() -> Column:
+    """The word that a group by ``stem`` counts as: the singular, or the plural where it stands alone."""
+    given = F.bool_or(F.col("word") == F.col("stem"))
+    return F.when(given, F.col("stem")).otherwise(F.concat("stem", F.lit("s")))
 
 
 def _log_likelihood(k: Column, n: Column, x: Column) -> Column:
@@ -92,28 +92,28 @@ def word_weights(
         .agg(F.count(F.lit(1)).alias("n")),
         "units",
     )
+    single = counted.filter(F.col("second").isNull()).select(F.col("first").alias("word"), "n")
+    # Where singular and plural both occur, both count as the singular.
     words = stage(
-        _merge_plurals(
-            counted.filter(F.col("second").isNull()).select(F.col("first").alias("word"), "n")
+        single.withColumn("stem", _stem(F.col("word"))).groupBy("stem").agg(
+            _standard().alias("standard"), F.sum("n").alias("n"), F.collect_list("word").alias("words")
         ),
         "words",
     )
-    unigrams = words.groupBy("standard").agg(F.sum("n").alias("n"))
+    unigrams = words.select("standard", "n")
     total = words.agg(F.sum("n").cast("double")).scalar()
+    # Distinct pairs placed once by their first word, for the grouping and the first join.
     pairs = (
-        _merge_plurals(
-            counted.filter(F.col("second").isNotNull()).select(
-                F.concat_ws(" ", "first", "second").alias("word"), "n"
-            )
-        )
-        .groupBy(F.col("standard").alias("pair"))
-        .agg(F.sum("n").alias("n"))
+        counted.filter(F.col("second").isNotNull())
+        .repartition("first")
+        .select("first", F.col("second").alias("word"), _stem(F.col("second")).alias("stem"), "n")
+        .groupBy("first", "stem")
+        .agg(_standard().alias("second"), F.sum("n").alias("n"))
+        .select("first", "second", "n")
     )
-    named = words.select("word", "standard").join(
-        unigrams.withColumnRenamed("n", "total_n"), "standard"
-    )
-    for position, side in ((0, "first"), (1, "second")):
-        pairs = pairs.withColumn(side, F.split("pair", " ")[position]).join(
+    named = words.select(F.explode("words").alias("word"), "standard", F.col("n").alias("total_n"))
+    for side in ("first", "second"):
+        pairs = pairs.join(
             named.withColumnsRenamed(
                 {"word": side, "standard": f"{side}_word", "total_n": f"{side}_n"}
             ),
@@ -123,7 +123,10 @@ def word_weights(
         *(F.col(c).cast("double") for c in ("n", "first_n", "second_n")), total
     )
     strong = stage(
-        pairs.filter(score > threshold).select("pair", "first_word", "second_word", "n"), "pairs"
+        pairs.filter(score > threshold).select(
+            F.concat_ws(" ", "first", "second").alias("pair"), "first_word", "second_word", "n"
+        ),
+        "pairs",
     )
     taken = strong.select(
         F.explode(F.array("first_word", "second_word")).alias("standard"), "n"
