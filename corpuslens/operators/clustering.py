@@ -13,16 +13,20 @@ order of leaves) follows parent links by doubling; nothing is quadratic but the
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
+import math
 import sys
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuslens.functions.text import truncate_label
+from corpuslens.functions.text import truncate_label, word_tokens
 from corpuslens.operators.preprocess import preprocess
 from corpuslens.operators.selection import CLUSTER_MAX_ROWS
 from corpuslens.operators.tfidf import CLUSTERING, TfidfOptions, tfidf
@@ -68,13 +72,81 @@ def cosine_distance_edges(
 ) -> DataFrame:
     """Cosine distances of all articles of a block: ``(block, i, j, d)`` with ``i < j``.
 
-    ``docs`` is ``(block, doc_id, text)``; an article may stand in several blocks. Only articles
-    sharing a term meet in the term join; the others are completed with distance 1. Blocks are
-    size-checked first, which bounds both joins.
+    ``docs`` is ``(block, doc_id, text)``; an article may stand in several blocks. A block of up to
+    TASK_ROWS articles is one group: its words come together once, and terms, weights and distances
+    are made there. In larger blocks only articles sharing a term meet, in a join by term; the others
+    are completed with distance 1. Blocks are size-checked first.
     """
     docs = stage(docs.select("block", "doc_id", "text"), "selection")
-    ids = check_block_sizes(docs, limit).select("block", "doc_id")
+    check_block_sizes(docs, limit)
     cleaned = preprocess(docs, ["block", "doc_id"], lemmas=lemmas)
+    ids = docs.select("block", "doc_id")
+    sizes = ids.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+    large = stage(sizes.filter(F.col("n") > TASK_ROWS).select("block"), "large-blocks")
+    words = cleaned.select("block", "doc_id", F.array_join(word_tokens(F.col("text"), options.stopwords), " ").alias("words"))
+    schema = ", ".join(f"{n} {docs.schema[c].dataType.simpleString()}" for n, c in (("block", "block"), ("i", "doc_id"), ("j", "doc_id")))
+    if large.isEmpty():
+        return _edges_by_block(ids, words, options, f"{schema}, d double")
+    near = _edges_by_block(
+        ids.join(large, "block", "left_anti"), words.join(large, "block", "left_anti"), options, f"{schema}, d double"
+    )
+    cleaned = stage(cleaned.join(large, "block", "left_semi"), "cleaned")
+    return near.unionByName(_edges_by_term(ids.join(large, "block", "left_semi"), cleaned, options))
+
+
+def _edges_by_block(ids: DataFrame, words: DataFrame, options: TfidfOptions, schema: str) -> DataFrame:
+    def edges(group: pa.Table) -> pa.Table:
+        given = group.column("given")
+        return _block_edges(group.filter(given), group.filter(pc.invert(given)), options)
+
+    rows = ids.select("block", "doc_id", F.lit(None).cast("string").alias("words"), F.lit(True).alias("given"))
+    rows = rows.unionByName(words.withColumn("given", F.lit(False))).filter(F.col("block").isNotNull())
+    return rows.groupBy("block").applyInArrow(edges, schema)
+
+
+def _block_edges(given: pa.Table, texts: pa.Table, options: TfidfOptions) -> pa.Table:
+    """Distances of a block's articles from their words, weighed as :func:`tfidf` does by block.
+
+    Rows of one id make one article, and a pair comes once for each two rows of ``given``.
+    """
+    low, high = options.ngrams
+    counts: list[Counter] = []
+    for text in texts.column("words").to_pylist():
+        tokens = text.split(" ") if text else []
+        grams = (tokens[i : i + n] for n in range(low, high + 1) for i in range(len(tokens) - n + 1))
+        counts.append(Counter(map(" ".join, grams)))
+    df, cf = Counter(t for c in counts for t in c), Counter()
+    for c in counts:
+        cf.update(c)
+    n_docs = texts.num_rows - texts.column("words").null_count
+    terms = [t for t, n in df.items() if options.min_df <= n <= n_docs * options.max_df]
+    if options.max_features is not None:
+        terms = sorted(terms, key=lambda t: (-cf[t], t))[: options.max_features]
+    place = {t: k for k, t in enumerate(terms)}
+    idf = np.array([math.log((n_docs + 1) / (df[t] + 1)) + 1 for t in terms])
+    block, kind = given.column("block")[0:1], given.schema.field("doc_id").type
+    ids, times = np.unique([x for x in given.column("doc_id").to_pylist() if x is not None], return_counts=True)
+    weights, square = np.zeros((len(ids), len(terms))), np.zeros(len(ids))
+    row = {x: k for k, x in enumerate(ids.tolist())}
+    for name, c in zip(texts.column("doc_id").to_pylist(), counts):
+        kept = [(place[t], n) for t, n in c.items() if t in place]
+        if name is None or not kept:
+            continue
+        at, n = np.array(kept).T
+        w = (np.log(n) + 1 if options.sublinear_tf else n) * idf[at]
+        weights[row[name], at] += w
+        square[row[name]] += w @ w
+    weights /= np.sqrt(np.where(square > 0, square, 1.0))[:, None]
+    a, b = np.triu_indices(len(ids), 1)
+    d = np.round(np.maximum(0.0, 1 - (weights @ weights.T)[a, b]), _DIGITS)
+    each = times[a] * times[b]
+    a, b, d = (np.repeat(x, each) for x in (a, b, d))
+    named = pa.array(ids.tolist(), kind)
+    same = block.take(pa.array(np.zeros(len(a), np.int64))) if len(a) else block[:0]
+    return pa.table({"block": same, "i": named.take(pa.array(a)), "j": named.take(pa.array(b)), "d": pa.array(d)})
+
+
+def _edges_by_term(ids: DataFrame, cleaned: DataFrame, options: TfidfOptions) -> DataFrame:
     weights = tfidf(cleaned, options, by="block")
     a, b = weights.alias("a"), weights.alias("b")
     together = (F.col("a.block") == F.col("b.block")) & (F.col("a.doc_id") < F.col("b.doc_id"))
@@ -261,18 +333,22 @@ def merge_tree(distances: DataFrame, methods: Sequence[str] = METHODS, task_rows
     if unknown:
         raise ValueError(f"unknown linkage methods {sorted(unknown)}")
     schema = _TREE.replace("{block}", distances.schema["block"].dataType.simpleString())
-    state = stage(_pair_state(distances), "pairs")
+    distances = stage(distances.select("block", "i", "j", "d"), "pairs")
     most_pairs = task_rows * (task_rows - 1) // 2
 
     def large(rows: DataFrame, keys: list[str]) -> DataFrame:
         return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most_pairs).select(*keys)
 
-    blocks = stage(large(state, ["block"]), "large-blocks")
+    def whole_tree(part: pd.DataFrame) -> pd.DataFrame:
+        single = {c.format(x): float(c == "size_{0}") for x in ("i", "j") for c in _PAIR_STATE}
+        return _finished(part.assign(top=part["d"], s1=part["d"], s2=part["d"] ** 2, **single), methods, 1)
+
+    blocks = stage(large(distances, ["block"]), "large-blocks")
     if blocks.isEmpty():
-        tree = state.groupBy("block").applyInPandas(lambda part: _finished(part, methods, 1), schema)
-        return stage(tree, "tree")
-    small = state.join(blocks, "block", "left_anti")
-    tree = [small.groupBy("block").applyInPandas(lambda part: _finished(part, methods, 1), schema)]
+        return stage(distances.groupBy("block").applyInPandas(whole_tree, schema), "tree")
+    small = distances.join(blocks, "block", "left_anti")
+    tree = [small.groupBy("block").applyInPandas(whole_tree, schema)]
+    state = _pair_state(distances)
     method = F.explode(F.array(*[F.lit(m) for m in methods])).alias("method")
     open_ones = stage(state.join(blocks, "block", "left_semi").select("*", method), "clusters")
     number = 0

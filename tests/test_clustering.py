@@ -182,3 +182,22 @@ def test_a_chain_of_merges(spark):
     cuts = clustering.cut_clusters(tree, 0.8).filter("method = 'complete'").collect()
     low = {j for j in range(1, n) if 1 + 0.01 * j < 0.8 * (1 + 0.01 * (n - 1))} | {0}
     assert {r.leaf: r.cluster for r in cuts} == {i: 0 if i in low else i for i in range(n)}
+
+
+@pytest.mark.parametrize("cap", [3000, 5])
+def test_blocks_in_a_task_equal_blocks_by_joins(spark, monkeypatch, cap):
+    """Distances made in one group are those of the term join, with repeated, null and empty rows."""
+    rng = random.Random(3)
+    words = ["ant", "bee", "cat's", "dog", "été", "fox", "gnu"]
+    docs = [(b, i, " ".join(rng.choices(words, k=rng.randint(0, 6)))) for b in ("x", "y", None) for i in range(7)]
+    docs += [docs[2], ("x", None, "bee fox"), ("y", 30, None), ("z", 1, "ant")]
+    df = spark.createDataFrame(docs, "block string, doc_id bigint, text string")
+    lemmas = spark.createDataFrame([("fox", "ant")], "token string, lemma string")
+    options = clustering.TfidfOptions((1, 2), 1, 0.95, cap, True)
+    found = {}
+    for rows in (512, 3):
+        monkeypatch.setattr(clustering, "TASK_ROWS", rows)
+        for table in (None, lemmas):
+            edges = clustering.cosine_distance_edges(df, table, options).collect()
+            found[rows, table is None] = sorted((r.block, r.i, r.j, round(r.d, 9)) for r in edges)
+    assert found[512, True] == found[3, True] and found[512, False] == found[3, False] and len(found[3, True]) > 40
