@@ -1,7 +1,9 @@
+from collections import Counter
 import math
 import re
 
 import pytest
+from corpuslens.functions import termcounts
 from corpuslens.functions import text as T
 from corpuslens.operators import keywords, precision, preprocess, selection, tfidf
 from corpuslens.schema import MissingColumnsError
@@ -151,3 +153,20 @@ def test_lemmatize_sends_no_occurrences(spark):
     found = preprocess.lemmatize(docs, lemmas, "doc_id", "tokens")
     assert "posexplode" not in found._jdf.queryExecution().executedPlan().toString()
     assert {r.doc_id: r.tokens for r in found.collect()} == {1: ["cat", "cat", "dog"], 2: [], None: ["dog"], 3: ["a", "b", "d"]}
+
+
+def test_terms_are_counted_some_documents_at_a_time(spark, monkeypatch):
+    """Occurrences never become rows: a task's distinct n-grams do, each with its count."""
+    monkeypatch.setattr(termcounts, "_SLICE_TOKENS", 7)
+    texts = ["Aa bb aa bb aa", "", None, "x aa", "bb aa bb né Né", "aa bb", "cc", "aa bb cc dd ee ff gg hh ii"]
+    rows = [(i % 5, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    words = [re.findall(r"\w\w+", (t or "").lower()) for t in texts]
+    grams = [[" ".join(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)] for w in words]
+    counted = tfidf.ngram_counts(docs, 1, 3)
+    assert "Generate" not in counted._jdf.queryExecution().executedPlan().toString()
+    assert {r.ngram: r.n for r in counted.collect()} == Counter(g for some in grams for g in some)
+    found = tfidf.term_counts(docs, tfidf.TfidfOptions((1, 3))).collect()
+    expected = [(d, g, n) for (d, t), some in zip(rows, grams) for g, n in Counter(some).items()]
+    expected += [(d, None, 0) for d, t in rows if t is not None]
+    assert Counter(map(tuple, found)) == Counter(expected)
