@@ -170,3 +170,25 @@ def test_terms_are_counted_some_documents_at_a_time(spark, monkeypatch):
     expected = [(d, g, n) for (d, t), some in zip(rows, grams) for g, n in Counter(some).items()]
     expected += [(d, None, 0) for d, t in rows if t is not None]
     assert Counter(map(tuple, found)) == Counter(expected)
+
+
+def test_terms_of_one_document_are_not_sent_back(spark, monkeypatch):
+    """Chunks get the weights of shared terms only; rows with one id, or none, have one norm."""
+    monkeypatch.setattr(tfidf, "_CHUNK_LEAST", 40)
+    texts = [(i % 9, f"shared own{i} own{i} alone{i} common{i % 3}") for i in range(12)] + [(None, "shared xx"), (None, "xx yy"), (50, None)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    options = tfidf.TfidfOptions((1, 1), 1, 0.95, None, True)
+    chunked, terms, alone = tfidf._by_chunks(docs, options, "doc_id", "text", False)
+    assert chunked.select("chunk").distinct().count() > 2 and alone == pytest.approx(math.log(15 / 2) + 1)
+    assert {r.term for r in terms.collect()} == {"shared", "common0", "common1", "common2", "xx"}
+    n, df = 14, Counter(t for _, x in texts if x for t in set(x.split()))
+    raw = [(d, t, (math.log(c) + 1) * (math.log((n + 1) / (df[t] + 1)) + 1)) for d, x in texts if x for t, c in Counter(x.split()).items() if df[t] <= 0.95 * n]
+    norm = Counter()
+    for d, _, w in raw:
+        norm[d] += w * w
+    found = sorted(((r.doc_id or -1, r.term, r.w) for r in tfidf.tfidf(docs, options).collect()))
+    expected = sorted((d or -1, t, w / norm[d] ** 0.5) for d, t, w in raw)
+    assert [x[:2] for x in found] == [x[:2] for x in expected]
+    assert all(x[2] == pytest.approx(y[2], abs=1e-12) for x, y in zip(found, expected))
+    vectors = {r.doc_id: {round(e.w, 9) for e in r.v} for r in tfidf.tfidf_vectors(docs, options).collect()}
+    assert None not in vectors and len(vectors) == 9 and all(vectors[d] <= {round(x[2] * k, 9) for x in expected if x[0] == (d or -1) for k in (1, 2)} for d in vectors)
