@@ -2,6 +2,7 @@ from collections import Counter
 import math
 import re
 
+import numpy as np
 import pytest
 from corpuslens.functions import termcounts
 from corpuslens.functions import text as T
@@ -190,5 +191,5 @@ def test_terms_of_one_document_are_not_sent_back(spark, monkeypatch):
     expected = sorted((d or -1, t, w / norm[d] ** 0.5) for d, t, w in raw)
     assert [x[:2] for x in found] == [x[:2] for x in expected]
     assert all(x[2] == pytest.approx(y[2], abs=1e-12) for x, y in zip(found, expected))
-    vectors = {r.doc_id: {round(e.w, 9) for e in r.v} for r in tfidf.tfidf_vectors(docs, options).collect()}
+    vectors = {r.doc_id: {round(x, 9) for x in np.frombuffer(r.ws)} for r in tfidf.tfidf_vectors(docs, options).collect()}
     assert None not in vectors and len(vectors) == 9 and all(vectors[d] <= {round(x[2] * k, 9) for x in expected if x[0] == (d or -1) for k in (1, 2)} for d in vectors)
