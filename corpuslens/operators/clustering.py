@@ -13,9 +13,7 @@ order of leaves) follows parent links by doubling; nothing is quadratic but the
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator, Sequence
-import math
 import sys
 
 import numpy as np
@@ -26,6 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuslens.functions.termcounts import coded_terms
 from corpuslens.functions.text import truncate_label, word_tokens
 from corpuslens.operators.preprocess import preprocess
 from corpuslens.operators.selection import CLUSTER_MAX_ROWS
@@ -79,7 +78,8 @@ def cosine_distance_edges(
     """
     docs = stage(docs.select("block", "doc_id", "text"), "selection")
     check_block_sizes(docs, limit)
-    cleaned = preprocess(docs, ["block", "doc_id"], lemmas=lemmas)
+    # Rows without a block have no pairs; left out here, they don't part two readings of the same tokens later.
+    cleaned = preprocess(docs.filter(F.col("block").isNotNull()), ["block", "doc_id"], lemmas=lemmas)
     ids = docs.select("block", "doc_id")
     sizes = ids.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
     large = stage(sizes.filter(F.col("n") > TASK_ROWS).select("block"), "large-blocks")
@@ -104,38 +104,49 @@ def _edges_by_block(ids: DataFrame, words: DataFrame, options: TfidfOptions, sch
     return rows.groupBy("block").applyInArrow(edges, schema)
 
 
+def _features(terms: pa.Array, df: np.ndarray, cf: np.ndarray, n_docs: int, options: TfidfOptions) -> np.ndarray:
+    """Places of the terms that the options keep, -1 for others; of equally frequent terms the first by name are kept."""
+    kept = np.flatnonzero((df >= options.min_df) & (df <= n_docs * options.max_df))
+    if options.max_features is not None and len(kept) > options.max_features:
+        least = np.partition(cf[kept], -options.max_features)[-options.max_features]
+        more, equal = kept[cf[kept] > least], kept[cf[kept] == least]
+        order = pc.sort_indices(terms.take(pa.array(equal))).to_numpy()
+        kept = np.concatenate([more, equal[order[: options.max_features - len(more)]]])
+    place = np.full(len(terms), -1, np.int64)
+    place[kept] = np.arange(len(kept))
+    return place
+
+
 def _block_edges(given: pa.Table, texts: pa.Table, options: TfidfOptions) -> pa.Table:
     """Distances of a block's articles from their words, weighed as :func:`tfidf` does by block.
 
     Rows of one id make one article, and a pair comes once for each two rows of ``given``.
     """
-    low, high = options.ngrams
-    counts: list[Counter] = []
-    for text in texts.column("words").to_pylist():
-        tokens = text.split(" ") if text else []
-        grams = (tokens[i : i + n] for n in range(low, high + 1) for i in range(len(tokens) - n + 1))
-        counts.append(Counter(map(" ".join, grams)))
-    df, cf = Counter(t for c in counts for t in c), Counter()
-    for c in counts:
-        cf.update(c)
-    n_docs = texts.num_rows - texts.column("words").null_count
-    terms = [t for t, n in df.items() if options.min_df <= n <= n_docs * options.max_df]
-    if options.max_features is not None:
-        terms = sorted(terms, key=lambda t: (-cf[t], t))[: options.max_features]
-    place = {t: k for k, t in enumerate(terms)}
-    idf = np.array([math.log((n_docs + 1) / (df[t] + 1)) + 1 for t in terms])
+    words = texts.column("words").combine_chunks()
+    n_docs = len(words) - words.null_count
+    lists = pc.split_pattern(pc.if_else(pc.equal(words, ""), pa.scalar(None, words.type), words), " ")
+    row, code, n, names = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], [pa.array([], pa.large_string())]
+    for at, gram, times, own in coded_terms(lists, *options.ngrams):
+        row.append(at)
+        code.append(gram + sum(map(len, names)))
+        n.append(times)
+        names.append(own)
+    coded = pa.concat_arrays(names).dictionary_encode()
+    row, n = np.concatenate(row), np.concatenate(n)
+    code = coded.indices.to_numpy(zero_copy_only=False)[np.concatenate(code)]
+    df, cf = (np.bincount(code, x, len(coded.dictionary)) for x in (None, n))
+    place = _features(coded.dictionary, df, cf, n_docs, options)
+    idf = np.log((n_docs + 1) / (df + 1)) + 1
     block, kind = given.column("block")[0:1], given.schema.field("doc_id").type
     ids, times = np.unique([x for x in given.column("doc_id").to_pylist() if x is not None], return_counts=True)
-    weights, square = np.zeros((len(ids), len(terms))), np.zeros(len(ids))
-    row = {x: k for k, x in enumerate(ids.tolist())}
-    for name, c in zip(texts.column("doc_id").to_pylist(), counts):
-        kept = [(place[t], n) for t, n in c.items() if t in place]
-        if name is None or not kept:
-            continue
-        at, n = np.array(kept).T
-        w = (np.log(n) + 1 if options.sublinear_tf else n) * idf[at]
-        weights[row[name], at] += w
-        square[row[name]] += w @ w
+    known = {x: k for k, x in enumerate(ids.tolist())}
+    article = np.array([-1 if x is None else known[x] for x in texts.column("doc_id").to_pylist()], np.int64)
+    kept = (place[code] >= 0) & (article[row] >= 0)
+    at, code, n = article[row[kept]], code[kept], n[kept]
+    w = ((np.log(n) + 1) if options.sublinear_tf else n) * idf[code]
+    width = int(place.max(initial=-1)) + 1
+    weights = np.bincount(at * width + place[code], w, len(ids) * width).astype(float).reshape(len(ids), width)
+    square = np.bincount(at, w * w, len(ids))
     weights /= np.sqrt(np.where(square > 0, square, 1.0))[:, None]
     a, b = np.triu_indices(len(ids), 1)
     d = np.round(np.maximum(0.0, 1 - (weights @ weights.T)[a, b]), _DIGITS)

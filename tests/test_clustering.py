@@ -1,8 +1,10 @@
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
-from corpuslens.operators import clustering
+from corpuslens.operators import clustering, preprocess
 
 SCHEMA = "block string, i bigint, j bigint, d double"
 
@@ -201,3 +203,45 @@ def test_blocks_in_a_task_equal_blocks_by_joins(spark, monkeypatch, cap):
             edges = clustering.cosine_distance_edges(df, table, options).collect()
             found[rows, table is None] = sorted((r.block, r.i, r.j, round(r.d, 9)) for r in edges)
     assert found[512, True] == found[3, True] and found[512, False] == found[3, False] and len(found[3, True]) > 40
+
+
+def test_block_edges_by_hand():
+    """A block's distances, whatever its slices: ties of the cap go to the first terms, rows of one id add up."""
+    from collections import Counter
+
+    rng = np.random.default_rng(9)
+    texts = [" ".join(f"t{int(x)}" for x in rng.zipf(1.4, 12) if x < 40) for _ in range(30)] + ["", None, "é1 é2", "é2 t1"]
+    ids = [*range(33), 5]
+    options = clustering.TfidfOptions((1, 2), 1, 0.9, 50, True)
+    given = pa.table({"block": pa.array([7] * len(ids)), "doc_id": pa.array(ids), "words": pa.nulls(len(ids), pa.string())})
+    rows = pa.table({"block": pa.array([7] * len(ids)), "doc_id": pa.array(ids), "words": pa.array(texts)})
+    grams = [Counter(w := (t or "").split()) + Counter(map(" ".join, zip(w, w[1:]))) for t in texts]
+    df, cf = Counter(x for g in grams for x in g), sum(grams, Counter())
+    n = len(texts) - 1
+    terms = sorted((x for x in df if df[x] <= 0.9 * n), key=lambda x: (-cf[x], x))[:50]
+    raw, norm = Counter(), Counter()
+    for d, g in zip(ids, grams):
+        for x in set(g) & set(terms):
+            w = (np.log(g[x]) + 1) * (np.log((n + 1) / (df[x] + 1)) + 1)
+            raw[d, x] += w
+            norm[d] += w * w
+    got = clustering._block_edges(given, rows, options)
+    pairs = {(i, j): d for i, j, d in zip(*(got.column(c).to_pylist() for c in "ijd"))}
+    assert len(pairs) == 33 * 32 / 2 and got.num_rows == len(pairs) + 32
+    for (i, j), d in pairs.items():
+        cos = sum(raw[i, x] * raw[j, x] for x in terms) / ((norm[i] * norm[j]) ** 0.5 or 1.0)
+        assert d == pytest.approx(max(0.0, 1 - cos), abs=1e-9)
+
+
+def test_lemmas_find_their_rows_where_they_are(spark):
+    """Tokens of a document are shuffled once."""
+    docs = spark.createDataFrame([(1, 2, ["aas", "b"]), (1, None, ["aas"])], "block int, doc_id int, tokens array<string>")
+    lemmas = spark.createDataFrame([("aas", "aa")], "token string, lemma string")
+    found = preprocess.lemmatize(docs, lemmas, ["block", "doc_id"], "tokens")
+    assert {(r.block, r.doc_id): r.tokens for r in found.collect()} == {(1, 2): ["aa", "b"], (1, None): ["aa"]}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = preprocess.lemmatize(docs, lemmas, ["block", "doc_id"], "tokens")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(_key") <= 3 and "isnull" not in plan.split("SortMergeJoin [_key")[0][-200:]
